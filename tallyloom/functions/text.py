@@ -94,3 +94,11 @@ def snake_case_columns(df: DataFrame, keep_punctuation: bool = False) -> DataFra
 
 def slash_to_underscore(df: DataFrame) -> DataFrame:
     return _rename(df, [n.replace("/", "_") for n in df.columns])
+
+
+def first_label(rules: list[tuple[str, Column]], default: str) -> Column:
+    """Label of the first condition that holds, in the order given."""
+    out = None
+    for label, condition in rules:
+        out = F.when(condition, label) if out is None else out.when(condition, label)
+    return F.lit(default) if out is None else out.otherwise(default)

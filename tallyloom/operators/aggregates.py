@@ -36,6 +36,9 @@ def exact_percentiles(
     Rows collapse to (group, value, count); a running count is taken within value cells of the
     group, offset by the counts of the lower cells, and the two rows around each rank are picked.
     """
+    if not keys:
+        whole = exact_percentiles(df.withColumn("_all", F.lit(1)), ["_all"], value, probabilities, cells)
+        return whole.drop("_all")
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
     span = counts.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.sum("_n").alias("_total"))
     spread = F.col("_hi") - F.col("_lo")

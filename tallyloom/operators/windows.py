@@ -89,3 +89,15 @@ def trailing_sum(
     n = F.datediff(F.col(day), F.lit("1970-01-01").cast("date"))
     w = Window.partitionBy(*keys).orderBy(n).rangeBetween(-(days - 1), 0)
     return daily.withColumn(out, F.sum(value).over(w))
+
+
+def top_by_quota(
+    df: DataFrame, keys: list[str], order: list[Column], quota: str, largest: int
+) -> DataFrame:
+    """First rows per key up to the row's own quota column.
+
+    ``largest`` bounds the quotas; it lets Spark cut each map task's rows per key before the shuffle.
+    """
+    w = Window.partitionBy(*keys).orderBy(*order)
+    ranked = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= largest)
+    return ranked.where(F.col("_rn") <= F.col(quota)).drop("_rn")
