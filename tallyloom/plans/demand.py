@@ -116,3 +116,117 @@ def seasonality_index(
     return out.join(moved, "year_week", "left").withColumn(
         "year_week_apply", F.coalesce("_moved", "year_week_apply")
     ).drop("_moved")
+
+
+# fixed values of the correction rules
+HISTORY_DAYS = 180  # corrected history behind the quartiles
+MEAN_DAYS = 30  # corrected history behind the replacement mean
+SETTLE_DAYS = 30  # an item younger than this has no outlier test
+INACTIVE_DAYS = 30  # out-of-stock days within the window that make an item inactive
+COSTLY = 300_000  # unit cost above which the group bound does not widen the item bound
+INITIAL_RATE = 0.03  # corrected quantity of an item that is too young
+INITIAL_NOTE = "INITIAL CORRECTED SALES"
+INACTIVE_NOTE = "TEMPORARY INNACTIVE"
+
+CORRECTED_SCHEMA = (
+    "inactive_range BIGINT, base_qty DOUBLE, is_promotion INT, is_oos INT, upper_outlier DOUBLE, lower_outlier DOUBLE, "
+    "is_outlier INT, is_corrected INT, avg_corrected DOUBLE, corrected_qty DOUBLE, note STRING"
+)
+
+
+def correct_day(
+    today: DataFrame,
+    history: DataFrame,
+    keys: list[str],
+    on: date | str,
+    history_days: int = HISTORY_DAYS,
+    mean_days: int = MEAN_DAYS,
+    settle_days: int = SETTLE_DAYS,
+    inactive_days: int = INACTIVE_DAYS,
+) -> DataFrame:
+    """Corrected sales of one day.
+
+    ``today`` has ``keys, first_day, base_qty, promo_qty, coupon_qty, stock_qty, unit_cost, pct_95,
+    has_gift, is_component``; ``history`` has ``keys, calday, corrected_qty, is_oos`` with one row per
+    key and day, so a key never has more than ``history_days`` rows in the single aggregate below.
+    """
+    d = day(on)
+    c = F.col("calday")
+    past = history.where((c >= F.date_sub(d, history_days)) & (c < d)).groupBy(*keys).agg(
+        F.percentile("corrected_qty", F.array(F.lit(0.25), F.lit(0.75))).alias("_q"),
+        F.avg(F.when(c >= F.date_sub(d, mean_days), F.coalesce("corrected_qty", F.lit(0.0)))).alias("_mean"),
+        F.sum(F.when(c > F.date_sub(d, inactive_days), F.col("is_oos"))).alias("_oos"),
+    )
+
+    def not_negative(name: str) -> Column:
+        return F.greatest(F.coalesce(F.col(name), F.lit(0.0)), F.lit(0.0))
+
+    base = not_negative("base_qty")
+    rows = today.join(past, keys, "left").withColumns(
+        {"base_qty": base, "coupon_qty": not_negative("coupon_qty"), "stock_qty": F.coalesce("stock_qty", F.lit(0.0))}
+    )
+    q1, q3 = F.col("_q")[0], F.col("_q")[1]
+    group_bound = F.when(F.coalesce("unit_cost", F.lit(0.0)) > COSTLY, 0.0).otherwise(F.coalesce("pct_95", F.lit(0.0)))
+    settled = d >= F.date_add("first_day", settle_days)
+    promoted = (F.col("coupon_qty") > F.col("base_qty") * 0.5) | (F.col("has_gift") & (F.col("base_qty") > 0))
+    rows = rows.withColumns(
+        {
+            "_settled": settled,
+            "is_promotion": promoted.cast("int"),
+            "is_oos": ((F.col("base_qty") == 0) & (F.col("stock_qty") <= 0)).cast("int"),
+            # no history, no bound: greatest() would otherwise skip the missing quartiles
+            "upper_outlier": F.when(settled & F.col("_q").isNotNull(), F.greatest(q3 + (q3 - q1) * 1.5, group_bound)),
+            "lower_outlier": F.when(settled, q1 - (q3 - q1) * 1.5),
+        }
+    )
+    above = F.coalesce(F.col("base_qty") > F.col("upper_outlier"), F.lit(False))
+    rows = rows.withColumns(
+        {
+            "is_outlier": F.when(F.col("_settled"), above.cast("int")),
+            "inactive_range": F.coalesce("_oos", F.lit(0)) + F.col("is_oos"),
+        }
+    )
+    inactive = F.col("inactive_range") >= inactive_days
+    replaced = (F.col("is_promotion") == 1) | (F.col("is_oos") == 1)
+    outlier = F.coalesce(F.col("is_outlier") == 1, F.lit(False))
+    young = ~F.col("_settled") & ~F.col("is_component")
+    return rows.select(
+        d.alias("calday"),
+        *keys,
+        F.col("inactive_range").cast("bigint").alias("inactive_range"),
+        "base_qty",
+        "is_promotion",
+        "is_oos",
+        "upper_outlier",
+        "lower_outlier",
+        "is_outlier",
+        (replaced | outlier).cast("int").alias("is_corrected"),
+        F.when(inactive, 0.0).otherwise(F.col("_mean")).alias("avg_corrected"),
+        F.when(young, INITIAL_RATE)
+        .when(inactive, 0.0)
+        .when(replaced, F.coalesce("_mean", F.lit(0.0)))
+        .when(outlier, F.col("upper_outlier"))
+        .otherwise(F.col("base_qty"))
+        .alias("corrected_qty"),
+        F.when(young, INITIAL_NOTE).when(inactive, INACTIVE_NOTE).alias("note"),
+    )
+
+
+def outlier_correct(
+    daily: DataFrame, table: str, keys: list[str], first: date, last: date, **rules: int
+) -> None:
+    """Correct the days ``first`` .. ``last`` in order into the day-partitioned ``table``.
+
+    Day t reads corrected day t-1, so days are separate jobs; the state is the written table, which
+    also cuts the lineage and lets a lost run continue at the next day. ``daily`` is the input of
+    ``correct_day`` with a ``calday`` column; history must already lie in ``table``.
+    """
+    from tallyloom.sinks.tables import replace_days
+
+    spark = daily.sparkSession
+    on = first
+    while on <= last:
+        history = spark.read.parquet(table)
+        today = daily.where(F.col("calday") == day(on)).drop("calday")
+        replace_days(correct_day(today, history, keys, on, **rules), table, "calday", "outlier_correct")
+        on += timedelta(days=1)
