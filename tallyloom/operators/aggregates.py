@@ -29,36 +29,48 @@ def zero_fill(df: DataFrame, entities: DataFrame, keys: list[str], measures: lis
 
 
 def exact_percentiles(
-    df: DataFrame, keys: list[str], value: str, probabilities: dict[str, float], cells: int = 64
+    df: DataFrame, keys: list[str], value: str, probabilities: dict[str, float], few_values: bool = False, cells: int = 64
 ) -> DataFrame:
-    """Exact linearly interpolated percentiles per group without holding a group in one task.
+    """Exact linearly interpolated percentiles per group (or of the whole, without keys).
 
-    Rows collapse to (group, value, count); a running count is taken within value cells of the
-    group, offset by the counts of the lower cells, and the two rows around each rank are picked.
+    ``few_values`` says that a group has a bounded number of distinct values (whole quantities, weeks
+    of a calendar): then one aggregate does it, whose state per group is a count per value.
+
+    Otherwise no task holds a group: rows collapse to (group, value, count), a running count is taken
+    within value cells of the group and offset by the counts of the lower cells, and only the rows
+    around the wanted ranks are picked.
     """
-    if not keys:
-        whole = exact_percentiles(df.withColumn("_all", F.lit(1)), ["_all"], value, probabilities, cells)
-        return whole.drop("_all")
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    span = counts.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.sum("_n").alias("_total"))
+    rows = df.where(F.col(value).isNotNull())
+    if few_values:
+        wanted = F.percentile(value, F.array(*[F.lit(p) for p in probabilities.values()])).alias("_p")
+        picked = rows.groupBy(*keys).agg(wanted)
+        return picked.select(*keys, *[F.col("_p")[i].alias(n) for i, n in enumerate(probabilities)])
+    counts = rows.groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    # the span comes from the counts, whose exchange is reused: the rows themselves are read once
+    ends = [F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.sum("_n").alias("_total")]
+    if keys:
+        spanned = counts.join(counts.groupBy(*keys).agg(*ends), keys)
+    else:
+        whole = counts.agg(F.struct(*ends)).scalar()
+        spanned = counts.withColumns({c: whole[c] for c in ("_lo", "_hi", "_total")})
     spread = F.col("_hi") - F.col("_lo")
     cell = F.when(spread == 0, 0).otherwise(F.floor((F.col(value) - F.col("_lo")) / spread * cells)).cast("int")
-    placed = counts.join(span, keys).withColumn("_cell", cell)
-    before = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy(*keys, "_cell").agg(F.sum("_n").alias("_c"))
-        .select(*keys, "_cell", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
+    within = Window.partitionBy(*keys, "_cell")
+    placed = spanned.withColumn("_cell", cell).withColumns(
+        {
+            "_upto": F.sum("_n").over(within.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)),
+            "_in_cell": F.sum("_n").over(within),
+        }
     )
-    inside = Window.partitionBy(*keys, "_cell").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        placed.withColumn("_upto", F.sum("_n").over(inside))
-        .join(offsets, [*keys, "_cell"])
-        .withColumn("_upto", F.col("_upto") + F.col("_before"))
-        .withColumn("_from", F.col("_upto") - F.col("_n"))
+    before = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy(*keys, "_cell").agg(F.first("_in_cell").alias("_c")).select(
+        *keys, "_cell", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before")
     )
+    ranked = placed.join(offsets, [*keys, "_cell"]).withColumn("_upto", F.col("_upto") + F.col("_before"))
 
     def at(position: Column) -> Column:
-        return F.max(F.when((F.col("_from") <= position) & (position < F.col("_upto")), F.col(value)))
+        here = (F.col("_upto") - F.col("_n") <= position) & (position < F.col("_upto"))
+        return F.max(F.when(here, F.col(value)))
 
     picks = []
     for name, p in probabilities.items():

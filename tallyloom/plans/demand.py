@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.dates import day
 from tallyloom.functions.numbers import clamp, safe_ratio
 from tallyloom.operators.aggregates import exact_percentiles
+from tallyloom.session import broadcast_days
 
 MIN_LEADTIME, MAX_LEADTIME = 2, 10  # fixed values: shortest gap that counts, longest lead time reported
 
@@ -31,8 +32,11 @@ def leadtime_stats(df: DataFrame, keys: list[str], ordered: Column, received: Co
 
 
 def upper_bounds(sales: DataFrame, keys: list[str], value: str, sale_day: str, excluded_days: DataFrame) -> DataFrame:
-    """80/85/90/95th percentile of positive sales per group, without the excluded days."""
-    kept = sales.where(F.col(value) > 0).join(excluded_days, sale_day, "left_anti")
+    """80/85/90/95th percentile of positive sales per group, without the excluded days.
+
+    Measured weights may be any number, so no bound on the distinct values of a group is assumed.
+    """
+    kept = sales.where(F.col(value) > 0).join(broadcast_days(excluded_days, sale_day), sale_day, "left_anti")
     wanted = {"pct_80": 0.8, "pct_85": 0.85, "pct_90": 0.9, "pct_95": 0.95}
     return exact_percentiles(kept, keys, value, wanted)
 
@@ -93,17 +97,24 @@ def seasonality_index(
     positive indexes since ``recent_from`` (``yyyy.ww``), and applied two weeks earlier next year unless
     ``calendar_override`` (``year_week, year_week_apply``) names another week.
     """
-    entities = weekly.select(*keys).distinct()
-    calendar = weeks.groupBy().agg(F.array_sort(F.collect_set(F.struct("calyear", "calweek", "cnt_isoweek"))).alias("_w"))
-    dense = entities.withColumn("_w", calendar.scalar()).select(*keys, F.inline("_w"))
-    grid = dense.join(weekly, [*keys, "calyear", "calweek"], "left").withColumn(value, F.coalesce(value, F.lit(0.0)))
+    calendar = weeks.agg(F.array_sort(F.collect_set(F.struct("calyear", "calweek", "cnt_isoweek")))).scalar()
+    number = F.col("calyear") * 100 + F.col("calweek")
+    known = F.map_from_entries(F.collect_list(F.struct(number, F.col(value))))
+    # one shuffle by group; the windows, bounds and join below stay on its partitioning
+    grid = (
+        weekly.groupBy(*keys).agg(known.alias("_known"))
+        .select(*keys, "_known", F.inline(calendar))
+        .select(*keys, "calyear", "calweek", "cnt_isoweek", F.coalesce(F.col("_known")[number], F.lit(0.0)).alias(value))
+    )
     year = Window.partitionBy(*keys, "calyear")
     ahead = year.orderBy("calweek").rowsBetween(0, 3)
     index = F.coalesce(F.try_divide(F.avg(value).over(ahead), F.avg(value).over(year)), F.lit(1.0))
     year_week = F.concat(F.col("calyear").cast("string"), F.lit("."), F.lpad(F.col("calweek").cast("string"), 2, "0"))
     indexed = grid.withColumns({"year_week": year_week, "seasonality_index": index})
     positive = indexed.where((F.col("seasonality_index") > 0) & (F.col("year_week") >= recent_from))
-    bounds = exact_percentiles(positive, keys, "seasonality_index", {"lower_value": 0.05, "upper_value": 0.95})
+    bounds = exact_percentiles(
+        positive, keys, "seasonality_index", {"lower_value": 0.05, "upper_value": 0.95}, few_values=True
+    )
     clipped = clip_to(indexed.join(bounds, keys, "left"), "seasonality_index", F.col("lower_value"), F.col("upper_value"))
     early = F.col("calweek") - 2 <= 0
     apply_year = F.when(early, F.col("calyear")).otherwise(F.col("calyear") + 1)

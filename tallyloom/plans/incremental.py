@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import clean_date_list, day
+from tallyloom.session import broadcast_days
 
 CHANGE_LOG = (
     "proc_date DATE, calday_list STRING, dataset_affect STRING, table_affect STRING, start_date DATE, end_date DATE, table_etl STRING"
@@ -62,7 +63,7 @@ def only_changed(fact: DataFrame, day_column: str, changes: DataFrame) -> DataFr
     days = changes.select(F.explode(F.split("calday_list", ",")).alias("_d")).select(
         F.col("_d").try_cast("date").alias(day_column)
     )
-    return fact.join(days.distinct(), day_column, "left_semi")
+    return fact.join(broadcast_days(days, day_column), day_column, "left_semi")
 
 
 def log_rows(changes: DataFrame, pending: DataFrame, dataset: str, table: str, as_of: date | str) -> tuple[DataFrame, DataFrame]:

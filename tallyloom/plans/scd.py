@@ -53,11 +53,27 @@ def close_versions(target: DataFrame, batch: DataFrame, keys: list[str]) -> Data
 
 
 def scd2_apply(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Close changed versions, then add the batch versions whose fingerprint has no open version."""
-    closed = close_versions(target, batch, keys)
-    known = target.where(F.col("end_date") == _open()).select(*keys, "hash_id")
-    unseen = batch.join(known, [*keys, "hash_id"], "left_anti")
-    return closed.unionByName(unseen.select(*target.columns))
+    """Continue a dimension with the versions of a batch, in one pass over target and batch.
+
+    The key's first batch version decides: if it repeats the open version, that version takes its end
+    and the repeat is dropped; else the open version ends the day before. All later batch versions are
+    added, so periods of a key never overlap. A key has at most one version per load day.
+    """
+    w = Window.partitionBy(*keys)
+    both = target.withColumn("_new", F.lit(False)).unionByName(batch.select(*target.columns).withColumn("_new", F.lit(True)))
+    is_open = ~F.col("_new") & (F.col("end_date") == _open())
+    first = F.min(F.when(F.col("_new"), F.struct("start_date", "end_date", "hash_id"))).over(w)
+    marked = both.withColumns(
+        {"_open": is_open, "_first": first, "_open_hash": F.max(F.when(is_open, F.col("hash_id"))).over(w)}
+    )
+    same = F.col("_first.hash_id") == F.col("_open_hash")
+    repeat = F.col("_new") & (F.col("start_date") == F.col("_first.start_date")) & same
+    ended = (
+        F.when(F.col("_open") & same, F.col("_first.end_date"))
+        .when(F.col("_open") & F.col("_first").isNotNull(), F.date_sub("_first.start_date", 1))
+        .otherwise(F.col("end_date"))
+    )
+    return marked.where(~F.coalesce(repeat, F.lit(False))).withColumn("end_date", ended).select(*target.columns)
 
 
 def soft_delete(
@@ -83,9 +99,10 @@ def scd2_presence(snapshots: DataFrame, keys: list[str], snapshot_day: str, last
     """
     seen = snapshots.select(*keys, F.col(snapshot_day).alias("_d")).distinct()
     calendar = seen.select("_d").distinct()
+    # one row per snapshot day
     following = calendar.select("_d", F.lead("_d").over(Window.orderBy("_d")).alias("_next_snapshot"))
     w = Window.partitionBy(*keys).orderBy("_d")
-    marked = seen.join(following, "_d").withColumn("_next_seen", F.lead("_d").over(w))
+    marked = seen.join(F.broadcast(following), "_d").withColumn("_next_seen", F.lead("_d").over(w))
     # the key is absent from the next snapshot on
     left_at = F.when(
         F.col("_next_snapshot").isNotNull() & ~F.col("_next_seen").eqNullSafe(F.col("_next_snapshot")),

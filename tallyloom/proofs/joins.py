@@ -325,6 +325,6 @@ def jn_asof_snapshot(t):
         .groupBy("user_id", event_day().alias("snap_day")).agg(F.count("*").alias("n_snap"))
     )
     last = F.lit("2024-01-31").cast("date")
-    calendar = J.day_to_snapshot(snapshots, "snap_day", last, "calday", "snap_day")
-    facts = t.events.select("event_id", "user_id", event_day().alias("calday")).join(calendar, "calday")
-    return facts.join(snapshots, ["user_id", "snap_day"], "left").select("event_id", "snap_day", "n_snap")
+    facts = t.events.select("event_id", "user_id", event_day().alias("calday"))
+    joined = J.asof_snapshot_join(facts, snapshots, ["user_id"], "calday", "snap_day", last)
+    return joined.select("event_id", "snap_day", "n_snap")

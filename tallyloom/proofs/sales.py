@@ -11,7 +11,7 @@ from tallyloom.proofs.common import event_day, r6, ship_day, sql_total, total
 from tallyloom.proofs.registry import proof
 from tallyloom.session import fresh_dir
 from tallyloom.sinks import tables as W
-from tallyloom.sources.constants import values
+from tallyloom.sources.constants import date_spine, values
 
 
 @proof(
@@ -25,7 +25,8 @@ def x_upper_bounds(t):
     brands = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     sales = t.lineitem.withColumn("calday", ship_day()).join(brands, "l_partkey")
     # holiday weeks: the first seven days of February of every year in the data
-    holidays = sales.select("calday").where((F.month("calday") == 2) & (F.day("calday") <= 7)).distinct()
+    days = date_spine(t.spark, "1995-01-01", "2001-12-31")
+    holidays = days.where((F.month("calday") == 2) & (F.day("calday") <= 7))
     bounds = demand.upper_bounds(sales, ["p_brand"], "l_quantity", "calday", holidays)
     return bounds.select("p_brand", *[r6(F.col(c)).alias(c) for c in bounds.columns if c != "p_brand"])
 
@@ -121,7 +122,31 @@ def x_sell_rate(t):
     return clipped.select("user_id", *[r6(F.col(c)).alias(c) for c in clipped.columns if c != "user_id"])
 
 
-@proof("x_outlier_correct")
+def _outlier_sql():
+    """The seven day passes written out: each day's rows read the corrected rows before it."""
+    steps = []
+    for i, d in enumerate(range(23, 30)):
+        on = f"DATE '2024-01-{d}'"
+        past = "seed" if i == 0 else f"all{i}"
+        steps.append(
+            f"""q{i + 1} AS (SELECT user_id, quantile_cont(corrected_qty, 0.25) AS q1, quantile_cont(corrected_qty, 0.75) AS q3,
+                       AVG(CASE WHEN calday >= {on} - 30 THEN corrected_qty END) AS mean FROM {past} WHERE calday < {on} AND calday >= {on} - 180 GROUP BY 1),
+            r{i + 1} AS (SELECT s.calday, s.user_id, s.base_qty, CAST(s.coupon_qty > s.base_qty * 0.5 AS INTEGER) AS promo,
+                       {on} >= first_day + 10 AS settled, q3, mean, GREATEST(q3 + (q3 - q1) * 1.5, 50.0) AS upper
+                     FROM sold s JOIN firsts USING (user_id) LEFT JOIN q{i + 1} USING (user_id) WHERE s.calday = {on}),
+            c{i + 1} AS (SELECT calday, user_id, base_qty, promo, CASE WHEN settled THEN CAST(COALESCE(q3 IS NOT NULL AND base_qty > upper, FALSE) AS INTEGER) END AS outl,
+                       CASE WHEN NOT settled THEN 0.03 WHEN promo = 1 OR base_qty = 0 AND FALSE THEN COALESCE(mean, 0) WHEN q3 IS NOT NULL AND base_qty > upper THEN upper ELSE base_qty END AS corrected_qty FROM r{i + 1}),
+            all{i + 1} AS (SELECT calday, user_id, corrected_qty FROM {past} UNION ALL SELECT calday, user_id, corrected_qty FROM c{i + 1})"""
+        )
+    days = " UNION ALL ".join(f"SELECT * FROM c{i + 1}" for i in range(7))
+    return f"""WITH sold AS (SELECT user_id, CAST(ts AS DATE) AS calday, {sql_total("value")} AS base_qty,
+                        {sql_total("CASE WHEN event_type = 'click' THEN value ELSE 0 END")} AS coupon_qty FROM events GROUP BY 1, 2),
+            firsts AS (SELECT user_id, MIN(calday) AS first_day FROM sold GROUP BY 1),
+            seed AS (SELECT calday, user_id, base_qty AS corrected_qty FROM sold WHERE calday < DATE '2024-01-23'), {", ".join(steps)}
+        SELECT calday, user_id, base_qty, promo AS is_promotion, outl AS is_outlier, ROUND(corrected_qty, 8) AS corrected_qty FROM ({days})"""
+
+
+@proof("x_outlier_correct", _outlier_sql())
 def x_outlier_correct(t):
     """Three weeks of history as they were sold, then seven days corrected one after the other."""
     table = fresh_dir(t.spark, "corrected")
@@ -144,4 +169,4 @@ def x_outlier_correct(t):
     W.replace_days(W.align_schema(seed, f"calday DATE, user_id BIGINT, {demand.CORRECTED_SCHEMA}"), table, "calday")
     demand.outlier_correct(daily, table, ["user_id"], date(2024, 1, 23), date(2024, 1, 29), settle_days=10)
     out = t.spark.read.parquet(table).where(F.col("calday") >= day("2024-01-23"))
-    return out.select("calday", "user_id", "base_qty", "is_promotion", "is_outlier", r6(F.col("corrected_qty")).alias("corrected_qty"))
+    return out.select("calday", "user_id", "base_qty", "is_promotion", "is_outlier", F.round("corrected_qty", 8).alias("corrected_qty"))

@@ -44,9 +44,7 @@ def stock_and_receipts(t):
     return stock.withColumn("stock_value", F.col("stock_value").cast("double")), receipts
 
 
-@proof(
-    "x_fifo_aging",
-    f"""WITH stock AS (SELECT l_partkey, floor(SUM(l_quantity) * 0.4) AS sq FROM lineitem GROUP BY 1),
+FIFO_SQL = f"""WITH stock AS (SELECT l_partkey, floor(SUM(l_quantity) * 0.4) AS sq FROM lineitem GROUP BY 1),
          st AS (SELECT *, floor(sq * 2.5) AS sv FROM stock),
          r AS (SELECT l_partkey, CAST(l_shipdate AS DATE) AS gr_date, SUM(l_quantity) AS gq, SUM(l_quantity * 2) AS gv FROM lineitem
                WHERE CAST(l_shipdate AS DATE) <= DATE '{STOCK_DAY}' GROUP BY 1, 2),
@@ -67,14 +65,24 @@ def stock_and_receipts(t):
          three AS (SELECT l_partkey, NULL::DATE AS gr_date, 721 AS aging_days, '7' AS band_id, 3 AS flag, 0.0::DOUBLE AS aging_qty, sv - gv AS aging_value
                    FROM st JOIN g2 USING (l_partkey) WHERE ROUND(sv - gv, 3) > 0.001)
         SELECT l_partkey, gr_date, CAST(aging_days AS INTEGER) AS aging_days, band_id, CAST(flag AS INTEGER) AS flag, aging_qty::DOUBLE AS aging_qty, aging_value::DOUBLE AS aging_value
-        FROM upto2 UNION ALL SELECT * FROM three""",
-)
+        FROM upto2 UNION ALL SELECT * FROM three"""
+
+
+@proof("x_fifo_aging", FIFO_SQL)
 def x_fifo_aging(t):
     stock, receipts = stock_and_receipts(t)
     return B.fifo_aging(stock, receipts, ["l_partkey"], STOCK_DAY, BANDS, "7")
 
 
-@proof("x_aging_clusters")
+@proof(
+    "x_aging_clusters",
+    f"""WITH w AS (SELECT f.*, p_type, p_brand, p_size FROM ({FIFO_SQL}) f JOIN part ON l_partkey = p_partkey),
+             n AS (SELECT p_type, p_brand, COUNT(DISTINCT CASE WHEN band_id >= '5' THEN l_partkey END) AS n_old, COUNT(DISTINCT l_partkey) AS n FROM w GROUP BY 1, 2),
+             c AS (SELECT *, CASE WHEN n_old = 0 THEN 'No' WHEN n_old < 0.33 * n THEN 'Local' WHEN n_old > 0.67 * n THEN 'Regional' ELSE 'Local - Regional' END AS aging_cluster FROM n)
+        SELECT aging_cluster, band_id, COUNT(*) AS n,
+               ROUND(SUM(GREATEST(p_size * 10 * CASE WHEN p_size > 25 THEN 0.75::DOUBLE ELSE 0.63::DOUBLE END - aging_days, 0)), 3) AS days_left
+        FROM w JOIN c USING (p_type, p_brand) GROUP BY 1, 2""",
+)
 def x_aging_clusters(t):
     stock, receipts = stock_and_receipts(t)
     aged = B.fifo_aging(stock, receipts, ["l_partkey"], STOCK_DAY, BANDS, "7")

@@ -65,12 +65,8 @@ def wr_close_version(t):
     return scd.close_versions(first_part(t), second_part(t), ["user_id"]).drop("hash_id")
 
 
-@proof(
-    "x_scd2_apply",
-    f"""{CLOSE_SQL} SELECT user_id, status, start_date, end_date FROM closed
-        UNION ALL SELECT user_id, status, start_date, end_date FROM src
-        WHERE NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.user_id = src.user_id AND tgt.h = src.h AND tgt.end_date = DATE '2400-01-01')""",
-)
+# applying the later loads to the earlier dimension gives what one build over all loads gives
+@proof("x_scd2_apply", USER_VERSIONS_SQL)
 def x_scd2_apply(t):
     return scd.scd2_apply(first_part(t), second_part(t), ["user_id"]).drop("hash_id")
 

@@ -131,7 +131,7 @@ def win_share_of_total(t):
 )
 def win_percentile(t):
     lines = t.lineitem.join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey")
-    q = A.exact_percentiles(lines, ["p_brand"], "l_quantity", {"pct_80": 0.8, "pct_95": 0.95})
+    q = A.exact_percentiles(lines, ["p_brand"], "l_quantity", {"pct_80": 0.8, "pct_95": 0.95}, few_values=True)
     return q.select("p_brand", r6(F.col("pct_80")).alias("pct_80"), r6(F.col("pct_95")).alias("pct_95"))
 
 

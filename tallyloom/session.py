@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 
 def build_session(app: str = "tallyloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -54,6 +55,24 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def broadcast_days(df: DataFrame, column: str) -> DataFrame:
+    """Broadcast the distinct days of a date column: a calendar, so a few thousand rows at most."""
+    if df.schema[column].dataType != DateType():
+        raise TypeError(f"{column} is not a date")
+    return F.broadcast(df.select(column).distinct())
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast ``df`` when its row count is proven small, else leave the choice to AQE."""
     return F.broadcast(df) if has_at_most(df, max_rows) else df
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop file system and path object of a path, whatever storage it names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = file_system(spark, path)
+    return fs.exists(p)

@@ -18,9 +18,10 @@ from dataclasses import dataclass
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructType
 
 from tallyloom.operators.sets import union_by_name
+from tallyloom.session import broadcast_days, file_system, path_exists
 
 ACTION = "_action"
 
@@ -55,20 +56,14 @@ def _stats(path: str, operation: str, obs: Observation) -> WriteStats:
     return WriteStats(path, operation, **{k: int(v or 0) for k, v in seen.items()})
 
 
-def _fs_path(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The table, or None when nothing was written yet."""
-    fs, p = _fs_path(spark, path)
-    return spark.read.parquet(path) if fs.exists(p) else None
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
 def _swap_in(spark: SparkSession, staged: str, path: str) -> None:
-    fs, dst = _fs_path(spark, path)
-    src, old = (_fs_path(spark, p)[1] for p in (staged, f"{path}.old-{uuid.uuid4().hex}"))
+    fs, dst = file_system(spark, path)
+    src, old = (file_system(spark, p)[1] for p in (staged, f"{path}.old-{uuid.uuid4().hex}"))
     if fs.exists(dst) and not fs.rename(dst, old):
         raise OSError(f"cannot move {path} aside")
     if not fs.rename(src, dst):
@@ -175,7 +170,8 @@ def _touched(target: DataFrame, batch: DataFrame, day: str | None) -> DataFrame:
     """The part of the target that a batch can change: its days, or everything if not partitioned."""
     if day is None:
         return target
-    return target.join(batch.select(day).distinct(), day, "left_semi")
+    days = broadcast_days(batch, day) if batch.schema[day].dataType == DateType() else batch.select(day).distinct()
+    return target.join(days, day, "left_semi")
 
 
 def replace_keys(df: DataFrame, path: str, keys: list[str], day: str | None = None) -> WriteStats:

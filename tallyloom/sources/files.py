@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyloom.functions.dates import stamp_from_filename
+from tallyloom.session import path_exists
 
 FIRST_LOAD = "1900-01-01"  # fixed value: last refresh of a source that was never read
 
@@ -25,13 +25,10 @@ def read_parquet_partition(spark: SparkSession, base: str, d: date | str) -> Dat
 
 def read_parquet_safe(spark: SparkSession, path: str, schema: str | StructType) -> tuple[DataFrame, list[str]]:
     """The frame and its files, or an empty frame of the same schema when there is nothing to read."""
-    try:
-        df = spark.read.schema(schema).parquet(path)
-        return df, df.inputFiles()
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema), []
+    df = spark.read.schema(schema).parquet(path)
+    return df, df.inputFiles()
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | StructType, header: bool = True, sep: str = ",") -> DataFrame:
