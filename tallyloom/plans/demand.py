@@ -232,12 +232,13 @@ def outlier_correct(
     also cuts the lineage and lets a lost run continue at the next day. ``daily`` is the input of
     ``correct_day`` with a ``calday`` column; history must already lie in ``table``.
     """
-    from tallyloom.sinks.tables import replace_days
+    from tallyloom.sinks.tables import align_schema, replace_days
 
     spark = daily.sparkSession
     on = first
     while on <= last:
         history = spark.read.parquet(table)
         today = daily.where(F.col("calday") == day(on)).drop("calday")
-        replace_days(correct_day(today, history, keys, on, **rules), table, "calday", "outlier_correct")
+        corrected = align_schema(correct_day(today, history, keys, on, **rules), history.schema)
+        replace_days(corrected, table, "calday", "outlier_correct")
         on += timedelta(days=1)

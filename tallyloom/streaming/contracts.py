@@ -129,3 +129,29 @@ def validated(messages: DataFrame, contracts: dict[str, Contract], hub: str = "h
     """Messages with ``is_valid`` and ``error``."""
     checked = messages.withColumn("_check", check_by_hub(F.col(hub), F.col(json), contracts))
     return checked.select(*messages.columns, "_check.is_valid", "_check.error")
+
+
+def contract_from_schema(schema: dict, definitions: dict | None = None) -> Contract:
+    """Contract from a JSON-Schema-like dictionary.
+
+    Understood are ``type`` (name or list), ``properties``, ``required``, ``additionalProperties: False``,
+    ``items`` and ``$ref`` to ``#/definitions/..``; the type ``datetime`` is the 14-digit stamp.
+    """
+    definitions = schema.get("definitions", {}) if definitions is None else definitions
+
+    def resolve(part: dict) -> dict:
+        ref = part.get("$ref")
+        return definitions[ref.rsplit("/", 1)[-1]] if ref else part
+
+    def rule(part: dict) -> Rule:
+        part = resolve(part)
+        kind = part.get("type", list(_REPORTED))
+        types = (kind,) if isinstance(kind, str) else tuple(kind)
+        items = part.get("items")
+        return Rule(types, contract_from_schema(resolve(items), definitions) if items else None)
+
+    return Contract(
+        {name: rule(part) for name, part in schema.get("properties", {}).items()},
+        tuple(schema.get("required", ())),
+        schema.get("additionalProperties") is False,
+    )
