@@ -28,8 +28,14 @@ def zero_fill(df: DataFrame, entities: DataFrame, keys: list[str], measures: lis
     return entities.join(df, keys, "left").select(*keys, *[F.coalesce(m, F.lit(0)).alias(m) for m in measures])
 
 
+def magnitude_cell(c: Column) -> Column:
+    """Monotone integer cell of a number: sixteen per doubling, whatever the range of the data."""
+    size = F.floor(F.log2(F.abs(c.cast("double"))) * 16) + 20_000
+    return F.when(c == 0, 0).when(c > 0, size).otherwise(-size).cast("int")
+
+
 def exact_percentiles(
-    df: DataFrame, keys: list[str], value: str, probabilities: dict[str, float], few_values: bool = False, cells: int = 64
+    df: DataFrame, keys: list[str], value: str, probabilities: dict[str, float], few_values: bool = False
 ) -> DataFrame:
     """Exact linearly interpolated percentiles per group (or of the whole, without keys).
 
@@ -37,51 +43,48 @@ def exact_percentiles(
     of a calendar): then one aggregate does it, whose state per group is a count per value.
 
     Otherwise no task holds a group: rows collapse to (group, value, count), a running count is taken
-    within value cells of the group and offset by the counts of the lower cells, and only the rows
-    around the wanted ranks are picked.
+    within magnitude cells of the group and offset by the counts of the lower cells, and only the rows
+    around the wanted ranks are picked. The rows themselves are read and shuffled once.
     """
     rows = df.where(F.col(value).isNotNull())
     if few_values:
         wanted = F.percentile(value, F.array(*[F.lit(p) for p in probabilities.values()])).alias("_p")
         picked = rows.groupBy(*keys).agg(wanted)
         return picked.select(*keys, *[F.col("_p")[i].alias(n) for i, n in enumerate(probabilities)])
-    counts = rows.groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    # the span comes from the counts, whose exchange is reused: the rows themselves are read once
-    ends = [F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.sum("_n").alias("_total")]
-    if keys:
-        spanned = counts.join(counts.groupBy(*keys).agg(*ends), keys)
-    else:
-        whole = counts.agg(F.struct(*ends)).scalar()
-        spanned = counts.withColumns({c: whole[c] for c in ("_lo", "_hi", "_total")})
-    spread = F.col("_hi") - F.col("_lo")
-    cell = F.when(spread == 0, 0).otherwise(F.floor((F.col(value) - F.col("_lo")) / spread * cells)).cast("int")
+    counts = rows.groupBy(*keys, value).agg(F.count("*").alias("_n")).withColumn("_cell", magnitude_cell(F.col(value)))
     within = Window.partitionBy(*keys, "_cell")
-    placed = spanned.withColumn("_cell", cell).withColumns(
+    placed = counts.withColumns(
         {
             "_upto": F.sum("_n").over(within.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)),
             "_in_cell": F.sum("_n").over(within),
         }
     )
-    before = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per group and cell: a few hundred per group
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.groupBy(*keys, "_cell").agg(F.first("_in_cell").alias("_c")).select(
-        *keys, "_cell", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before")
+        *keys,
+        "_cell",
+        F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"),
+        F.sum("_c").over(group).alias("_total"),
     )
     ranked = placed.join(offsets, [*keys, "_cell"]).withColumn("_upto", F.col("_upto") + F.col("_before"))
 
-    def at(position: Column) -> Column:
-        here = (F.col("_upto") - F.col("_n") <= position) & (position < F.col("_upto"))
+    def position(p: float) -> Column:
+        return (F.col("_total") - 1) * F.lit(p)
+
+    def at(where: Column) -> Column:
+        here = (F.col("_upto") - F.col("_n") <= where) & (where < F.col("_upto"))
         return F.max(F.when(here, F.col(value)))
 
     picks = []
     for name, p in probabilities.items():
-        where = (F.col("_total") - 1) * F.lit(p)
-        picks += [at(F.floor(where)).alias(f"_l_{name}"), at(F.ceil(where)).alias(f"_u_{name}")]
+        picks += [at(F.floor(position(p))).alias(f"_l_{name}"), at(F.ceil(position(p))).alias(f"_u_{name}")]
     picked = ranked.groupBy(*keys).agg(F.first("_total").alias("_total"), *picks)
     out = []
     for name, p in probabilities.items():
-        where = (F.col("_total") - 1) * F.lit(p)
         low, high = F.col(f"_l_{name}"), F.col(f"_u_{name}")
-        out.append((low + (high - low) * (where - F.floor(where))).alias(name))
+        out.append((low + (high - low) * (position(p) - F.floor(position(p)))).alias(name))
     return picked.select(*keys, *out)
 
 

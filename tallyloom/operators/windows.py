@@ -101,3 +101,39 @@ def top_by_quota(
     w = Window.partitionBy(*keys).orderBy(*order)
     ranked = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= largest)
     return ranked.where(F.col("_rn") <= F.col(quota)).drop("_rn")
+
+
+def trailing_sums(
+    daily: DataFrame, keys: list[str], day: str, measures: list[str], horizons: list[int], out: str, last: Column
+) -> DataFrame:
+    """Sums over the last h calendar days, for every h and every day with a row in the longest horizon.
+
+    ``daily`` has one row per key and day. A trailing sum only changes when a day enters or leaves its
+    window, so each row becomes one entry and one exit per horizon; the running sum of these changes
+    holds until the next change and is then repeated per day. Nothing is multiplied by the length of a
+    horizon, and days without rows get their sums too. Measures should be whole or decimal: entries and
+    exits then cancel exactly. Results are named ``measure_{h}d``.
+    """
+    longest = max(horizons)
+    names = [f"{m}_{h}d" for h in horizons for m in measures]
+
+    def change(offset: int, sign: int, of: list[int]) -> Column:
+        sums = [
+            (F.col(m) * sign if h in of else F.lit(None).cast(daily.schema[m].dataType)).alias(f"{m}_{h}d")
+            for h in horizons
+            for m in measures
+        ]
+        present = F.lit(sign if longest in of else 0).alias("_n")
+        return F.struct(F.date_add(F.col(day), offset).alias("_at"), present, *sums)
+
+    changes = [change(0, 1, horizons), *[change(h, -1, [h]) for h in horizons]]
+    moved = daily.select(*keys, F.inline(F.array(*changes))).where(F.col("_at") <= last)
+    per_day = moved.groupBy(*keys, "_at").agg(F.sum("_n").alias("_n"), *[F.sum(n).alias(n) for n in names])
+    w = Window.partitionBy(*keys).orderBy("_at")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    until = F.coalesce(F.date_sub(F.lead("_at").over(w), 1), last)
+    running = per_day.select(
+        *keys, "_at", until.alias("_to"), F.sum("_n").over(upto).alias("_n"), *[F.sum(n).over(upto).alias(n) for n in names]
+    )
+    live = running.where(F.col("_n") > 0)
+    return live.select(*keys, F.explode(F.sequence("_at", "_to")).alias(out), *names)

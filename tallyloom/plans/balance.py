@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.dates import day
 from tallyloom.functions.numbers import least_positive
 from tallyloom.operators.joins import full_merge
+from tallyloom.operators.windows import trailing_sums
 
 
 def balance_from_movements(
@@ -139,22 +140,10 @@ def rolling_cost(
 ) -> DataFrame:
     """Trailing cost and quantity sums for every day that has any cost in the longest horizon.
 
-    Costs are summed per key and day, then each day row is repeated for the days it feeds and summed
-    with one conditional sum per horizon. The unit value takes the shortest horizon with a quantity.
+    Costs are summed per key and day; the unit value takes the shortest horizon with a quantity.
     """
-    longest = max(horizons)
-    daily = costs.groupBy(*keys, cost_day).agg(F.sum(cost).alias("_c"), F.sum(qty).alias("_q"))
-    until = F.least(F.date_add(F.col(cost_day), longest - 1), day(last))
-    fed = daily.withColumn("calday", F.explode(F.sequence(F.col(cost_day), until)))
-    age = F.datediff(F.col("calday"), F.col(cost_day))
-    sums = []
-    for h in horizons:
-        inside = age < h
-        sums += [
-            F.sum(F.when(inside, F.col("_c")).otherwise(0)).alias(f"cost_{h}d"),
-            F.sum(F.when(inside, F.col("_q")).otherwise(0)).alias(f"qty_{h}d"),
-        ]
-    rolled = fed.groupBy(*keys, "calday").agg(*sums)
+    daily = costs.groupBy(*keys, cost_day).agg(F.sum(cost).alias("cost"), F.sum(qty).alias("qty"))
+    rolled = trailing_sums(daily, keys, cost_day, ["cost", "qty"], horizons, "calday", day(last))
     unit = F.coalesce(*[unit_cost(f"cost_{h}d", f"qty_{h}d") for h in sorted(horizons)])
     return rolled.withColumn("unit_value", unit)
 

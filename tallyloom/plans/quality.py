@@ -23,18 +23,20 @@ def column_profile(df: DataFrame) -> DataFrame:
     """One row per column: nulls, distinct values, range of whole numbers, lengths of text.
 
     Columns become rows ``(column, value, length)`` and are counted by value first, so a distinct count
-    is a count of groups spread over the cluster, whatever the number of columns.
+    is a count of groups spread over the cluster, whatever the number of columns. Long values travel as
+    their digest.
     """
     parts = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         whole = isinstance(f.dataType, (T.IntegerType, T.LongType))
         text = isinstance(f.dataType, T.StringType)
+        nested = isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))
+        value = F.to_json(c) if nested else c.cast("string")
         parts.append(
             F.struct(
                 F.lit(f.name).alias("column_name"),
-                # nested values have no text cast that keeps them apart, their JSON form does
-                (F.to_json(c) if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)) else c.cast("string")).alias("value"),
+                F.when(F.length(value) > 64, F.concat(F.lit("sha2:"), F.sha2(value, 256))).otherwise(value).alias("value"),
                 (c.cast("bigint") if whole else F.lit(None).cast("bigint")).alias("number"),
                 (F.length(c) if text else F.lit(None).cast("int")).alias("len"),
             )

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.text import strip_zeros
 from tallyloom.operators import joins as J
+from tallyloom.operators import windows as N
 from tallyloom.operators.filters import valid_on
 from tallyloom.proofs.common import AS_OF, event_day, order_day, ship_day, sql_total, total
 from tallyloom.proofs.registry import proof
@@ -104,10 +105,9 @@ def jn_range_trailing(t):
     daily = t.events.groupBy("event_type", event_day().alias("calday")).agg(
         F.sum(F.col("value").cast("decimal(18,2)")).alias("v"), F.count("*").alias("n")
     )
-    fed = J.feed_following_days(daily, "calday", "spine_day", 7, daily.agg(F.max("calday")).scalar())
-    return fed.groupBy("spine_day", "event_type").agg(
-        F.sum("v").cast("double").alias("value_7d"), F.sum("n").alias("n_7d")
-    )
+    last = daily.agg(F.max("calday")).scalar()
+    fed = N.trailing_sums(daily, ["event_type"], "calday", ["v", "n"], [7], "spine_day", last)
+    return fed.select("spine_day", "event_type", F.col("v_7d").cast("double").alias("value_7d"), F.col("n_7d"))
 
 
 @proof(

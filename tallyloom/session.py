@@ -56,10 +56,15 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def broadcast_days(df: DataFrame, column: str) -> DataFrame:
-    """Broadcast the distinct days of a date column: a calendar, so a few thousand rows at most."""
+    """Broadcast the distinct days of a date column: a calendar, so a few thousand rows at most.
+
+    The comparison holds for every day; it tells the optimizer that the days may be used to prune the
+    partitions of the other side at run time.
+    """
     if df.schema[column].dataType != DateType():
         raise TypeError(f"{column} is not a date")
-    return F.broadcast(df.select(column).distinct())
+    days = df.where(F.col(column) >= F.lit("0001-01-01").cast("date"))
+    return F.broadcast(days.select(column).distinct())
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:

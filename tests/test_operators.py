@@ -134,3 +134,25 @@ def test_carry_forward(spark, rows):
     df = spark.createDataFrame([(1, "2024-01-01", "a"), (1, "2024-01-03", "b")], "k int, d string, v string")
     got = J.carry_forward(df.withColumn("d", F.col("d").cast("date")), ["k"], "d", "calday", "2024-01-04")
     assert [r[0] for r in rows(got.select(F.concat(F.day("calday"), "v")))] == ["1a", "2a", "3b", "4b"]
+
+
+def test_trailing_sums_equal_a_range_join(spark, skewed, rows):
+    daily = skewed.groupBy("key", "day").agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).alias("v")).where("pmod(hash(key, day), 3) = 0")
+    last = F.lit("2024-01-12").cast("date")
+    got = N.trailing_sums(daily, ["key"], "day", ["n", "v"], [2, 4], "at", last)
+    spine = spark.sql("SELECT explode(sequence(DATE'2024-01-01', DATE'2024-01-12')) AS at")
+    near = daily.join(spine, (F.col("day") > F.date_sub("at", 4)) & (F.col("day") <= F.col("at")))
+    short = F.col("day") > F.date_sub("at", 2)
+    want = near.groupBy("key", "at").agg(
+        F.sum(F.when(short, F.col("n")).otherwise(0)), F.sum(F.when(short, F.col("v")).otherwise(0)), F.sum("n"), F.sum("v")
+    )
+    filled = got.na.fill(0, ["n_2d"]).withColumn("v_2d", F.coalesce("v_2d", F.lit(0)).cast("decimal(28,2)"))
+    assert rows(filled.selectExpr("key", "at", "n_2d", "cast(v_2d as double)", "n_4d", "cast(v_4d as double)")) == rows(want.select("key", "at", *[F.col(f"`{c}`").cast("double" if "v" in c else "bigint") for c in want.columns[2:]]))
+
+
+def test_exact_percentiles_with_negative_and_far_values(spark):
+    data = [(float(v),) for v in (-1e9, -5, -0.25, 0, 0, 0.25, 3, 7, 7, 1e12)]
+    df = spark.createDataFrame(data, "v double")
+    for p in (0.0, 0.1, 0.33, 0.5, 0.9, 1.0):
+        want = df.agg(F.percentile("v", F.lit(p))).first()[0]
+        assert abs(A.exact_percentiles(df, [], "v", {"m": p}).first()["m"] - want) <= 1e-9 * max(1.0, abs(want))

@@ -92,3 +92,10 @@ def test_write_log(spark, tmp_path):
     for i in (1, 2):
         W.log_write(spark, log, i, W.WriteStats("/x/orders", "upsert", inserted=i))
     assert W.latest_change(spark, log, "orders").first()["load_id"] == 2
+
+
+def test_batch_days_prune_the_target_scan(spark, path):
+    W.replace_days(frame(spark, FIRST), path, "day")
+    spark.createDataFrame(SECOND, "day date, k int, v string").write.parquet(path + "-batch")
+    touched = W._touched(spark.read.parquet(path), spark.read.parquet(path + "-batch"), "day")
+    assert "dynamicpruning" in touched._jdf.queryExecution().executedPlan().toString()
