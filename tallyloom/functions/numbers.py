@@ -45,9 +45,14 @@ def convert_unit(quantity: Column, numerator: Column, denominator: Column) -> Co
     return F.try_divide(quantity * numerator, denominator)
 
 
-def exact(c: Column, scale: int = 2) -> Column:
-    """Decimal form of a money or quantity column, so sums do not depend on row order."""
-    return c.cast(f"decimal(18,{scale})")
+def in_units(c: Column, scale: int = 2) -> Column:
+    """A number of at most ``scale`` decimals as a whole number of its smallest unit (such as cents)."""
+    return F.rint(c.cast("double") * F.lit(10.0**scale)).cast("bigint")
+
+
+def exact_sum(c: Column, scale: int = 2) -> Column:
+    """Sum that does not depend on row order: whole units are added, then scaled back once."""
+    return F.sum(in_units(c, scale)) / F.lit(10.0**scale)
 
 
 def band(c: Column, cuts: list[tuple[float, str]], top: str) -> Column:

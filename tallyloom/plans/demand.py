@@ -122,11 +122,13 @@ def seasonality_index(
     shifted = F.concat(apply_year.cast("string"), F.lit("."), F.lpad(apply_week.cast("string"), 2, "0"))
     out = clipped.withColumn("year_week_apply", shifted)
     if calendar_override is None:
-        return out
-    moved = calendar_override.select("year_week", F.col("year_week_apply").alias("_moved"))
-    return out.join(moved, "year_week", "left").withColumn(
-        "year_week_apply", F.coalesce("_moved", "year_week_apply")
-    ).drop("_moved")
+        out = out.withColumn("_moved", F.lit(None).cast("string"))
+    else:
+        out = out.join(calendar_override.select("year_week", F.col("year_week_apply").alias("_moved")), "year_week", "left")
+    out = out.withColumn("year_week_apply", F.coalesce("_moved", "year_week_apply"))
+    # where several weeks apply to one, the override comes first; readers take rn = 1
+    same = Window.partitionBy(*keys, "year_week_apply").orderBy(F.col("_moved").isNull(), "year_week")
+    return out.withColumn("rn", F.row_number().over(same)).drop("_moved")
 
 
 # fixed values of the correction rules

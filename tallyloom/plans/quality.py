@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.operators.aggregates import zero_fill
+from tallyloom.sinks.tables import align_schema
 
 
 def column_sums(df: DataFrame, columns: list[str] | str) -> DataFrame:
@@ -148,3 +149,17 @@ def audit_reconcile(streamed: DataFrame, landed: DataFrame, invalid: DataFrame)
     return joined.select(
         "hub", "proc_date", "streaming_count", "landed_count", "invalid_record_count", "schema_match_status", "schema_mismatches"
     )
+
+
+def audit_result(final: DataFrame, schema: str | T.StructType, constants: dict[str, str]) -> DataFrame:
+    """Reconciled counts as rows of the consolidated audit table, in its column order and types."""
+    named = final.withColumns(
+        {
+            "load_date": F.to_date("proc_date", "yyyyMMdd"),
+            "table_name": F.col("hub"),
+            "source_object_count": F.col("streaming_count").cast("string"),
+            "target_object_count": F.col("landed_count").cast("string"),
+        }
+        | {name: F.lit(value) for name, value in constants.items()}
+    )
+    return align_schema(named, schema)

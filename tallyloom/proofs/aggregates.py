@@ -9,7 +9,7 @@ from tallyloom.operators import aggregates as A
 from tallyloom.operators import sets as S
 from tallyloom.operators.windows import latest
 from tallyloom.plans import demand
-from tallyloom.proofs.common import event_day, net, order_day, r6, ship_day, sql_total, total
+from tallyloom.proofs.common import event_day, net_total, order_day, r6, ship_day, sql_total, total
 from tallyloom.proofs.registry import proof
 from tallyloom.sources.constants import values
 
@@ -25,7 +25,7 @@ from tallyloom.sources.constants import values
 def agg_basic(t):
     return t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(
         total("l_quantity").alias("sum_qty"),
-        F.sum(net()).cast("double").alias("revenue"),
+        net_total().alias("revenue"),
         F.min("l_quantity").alias("min_qty"),
         F.max("l_extendedprice").alias("max_price"),
         r6(total("l_quantity") / F.count("*")).alias("avg_qty"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyloom.functions.numbers import exact
+from tallyloom.functions.numbers import exact_sum, in_units
 
 AS_OF = "2024-01-15"
 
@@ -15,11 +15,12 @@ def col(c: str | Column) -> Column:
 
 
 def total(c: str | Column) -> Column:
-    return F.sum(exact(col(c))).cast("double")
+    return exact_sum(col(c))
 
 
-def net(price: str = "l_extendedprice", discount: str = "l_discount") -> Column:
-    return F.col(price).cast("decimal(12,2)") * (F.lit(1) - F.col(discount).cast("decimal(4,2)"))
+def net_total(price: str = "l_extendedprice", discount: str = "l_discount") -> Column:
+    """Sum of price less discount; the product of two 2-decimal numbers has four decimals."""
+    return F.sum(in_units(F.col(price)) * (F.lit(100) - in_units(F.col(discount)))) / F.lit(10_000.0)
 
 
 def r6(c: Column) -> Column:

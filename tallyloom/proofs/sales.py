@@ -79,11 +79,12 @@ def _weekly(t):
                               / NULLIF(AVG(rev) OVER (PARTITION BY p_brand, calyear), 0), 1) AS idx FROM g),
              p AS (SELECT p_brand, quantile_cont(idx, 0.05) AS lo, quantile_cont(idx, 0.95) AS hi FROM s WHERE idx > 0 AND year_week >= '1996.01' GROUP BY 1),
              ov AS (SELECT * FROM (VALUES {", ".join(str(r) for r in OVERRIDE)}) o(year_week_apply, year_week))
-        SELECT p_brand, calyear, calweek, year_week, ROUND(lo, 6) AS lower_value, ROUND(hi, 6) AS upper_value,
+        SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY p_brand, year_week_apply ORDER BY is_shifted, year_week) AS INTEGER) AS rn FROM (
+        SELECT p_brand, calyear, calweek, year_week, ov.year_week_apply IS NULL AS is_shifted, ROUND(lo, 6) AS lower_value, ROUND(hi, 6) AS upper_value,
                ROUND(CASE WHEN idx < lo THEN lo WHEN idx > hi THEN hi ELSE idx END, 6) AS seasonality_index,
                COALESCE(ov.year_week_apply, CASE WHEN calweek - 2 <= 0 THEN calyear || '.' || lpad(CAST(calweek - 2 + cnt_isoweek AS VARCHAR), 2, '0')
                         ELSE (calyear + 1) || '.' || lpad(CAST(calweek - 2 AS VARCHAR), 2, '0') END) AS year_week_apply
-        FROM s LEFT JOIN p USING (p_brand) LEFT JOIN ov USING (year_week)""",
+        FROM s LEFT JOIN p USING (p_brand) LEFT JOIN ov USING (year_week))""".replace("SELECT *, CAST(ROW", "SELECT * EXCLUDE (is_shifted), CAST(ROW"),
 )
 def x_seasonality_index(t):
     ends = t.lineitem.agg(F.min(ship_day()).alias("a"), F.max(ship_day()).alias("b"))
@@ -95,7 +96,7 @@ def x_seasonality_index(t):
         _weekly(t), ["p_brand"], weeks.join(per_year, "calyear"), "rev", "1996.01", override
     )
     return out.select(
-        "p_brand", "calyear", "calweek", "year_week", "year_week_apply",
+        "p_brand", "calyear", "calweek", "year_week", "year_week_apply", "rn",
         *[r6(F.col(c)).alias(c) for c in ("lower_value", "upper_value", "seasonality_index")],
     )
 

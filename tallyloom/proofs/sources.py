@@ -80,7 +80,7 @@ def src_parquet_modified_after(t):
 def src_new_files(t):
     path = fresh_dir(t.spark, "arrivals")
     rows = t.customer.select("c_custkey", "c_mktsegment")
-    rows.repartition(1).write.partitionBy("c_mktsegment").csv(path)
+    rows.repartition("c_mktsegment").write.partitionBy("c_mktsegment").csv(path)
     now = _now()
     seen = files.new_files(t.spark, path, now - timedelta(days=1), now + timedelta(days=1))
     later = files.new_files(t.spark, path, now + timedelta(days=2), now + timedelta(days=3))
@@ -91,16 +91,19 @@ def src_new_files(t):
     )
 
 
-@proof("src_json_multiline", "SELECT n_nationkey AS id, n_name AS name, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey")
+@proof(
+    "src_json_multiline",
+    "SELECT s_suppkey AS id, s_name AS name, n_name AS nation FROM supplier JOIN nation ON s_nationkey = n_nationkey",
+)
 def src_json_multiline(t):
     path = fresh_dir(t.spark, "docs")
-    rows = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    pretty = F.to_json(F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.struct(F.col("r_name").alias("name")).alias("region")), {"pretty": "true"})
-    doc = rows.select("r_name", pretty.alias("doc"))
-    grouped = doc.groupBy("r_name").agg(F.concat(F.lit("["), F.array_join(F.collect_list("doc"), ",\n"), F.lit("]")).alias("doc"))
-    grouped.select("doc").repartition(5).write.text(path)
-    read = files.read_json_multiline(t.spark, path, "id INT, name STRING, region STRUCT<name: STRING>")
-    return read.select("id", "name", F.col("region.name").alias("region"))
+    rows = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    record = F.struct(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.struct(F.col("n_name").alias("name")).alias("nation"))
+    # a document of at most a hundred records per file, printed over many lines
+    documents = rows.groupBy(F.floor(F.col("s_suppkey") / 100).alias("doc")).agg(F.collect_list(record).alias("records"))
+    documents.select("doc", F.to_json("records", {"pretty": "true"})).write.partitionBy("doc").text(path)
+    read = files.read_json_multiline(t.spark, path, "id BIGINT, name STRING, nation STRUCT<name: STRING>")
+    return read.select("id", "name", F.col("nation.name").alias("nation"))
 
 
 @proof("src_xml_rowtag", "SELECT s_suppkey, s_name, s_acctbal FROM supplier")

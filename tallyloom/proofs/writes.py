@@ -164,10 +164,10 @@ def wr_partitioned_parquet(t):
     return back.groupBy(*keys).agg(F.count("*").alias("n"), total("value").alias("v"))
 
 
-@proof("wr_single_file", "SELECT n_nationkey, n_name, 1::BIGINT AS n_files FROM nation")
+@proof("wr_single_file", "SELECT s_suppkey, s_name, 1::BIGINT AS n_files FROM supplier")
 def wr_single_file(t):
     path = fresh_dir(t.spark, "single")
-    W.write_single_file(t.nation.repartition(4).select("n_nationkey", "n_name"), path)
+    W.write_single_file(t.supplier.repartition(4).select("s_suppkey", "s_name"), path)
     back = t.spark.read.parquet(path)
     return back.withColumn("n_files", F.lit(len(back.inputFiles())).cast("bigint"))
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType
 
 from tallyloom.operators.sets import union_by_name
-from tallyloom.session import broadcast_days, file_system, path_exists
+from tallyloom.session import broadcast_days, file_system, has_at_most, path_exists
 
 ACTION = "_action"
 
@@ -146,12 +146,11 @@ def write_dated(df: DataFrame, path: str, parts: tuple[str, ...] = ("yyyy", "mm"
 
 
 def write_single_file(df: DataFrame, path: str, max_rows: int = 1_000_000) -> WriteStats:
-    """One snappy file, for small extracts. Larger data is written as more files of ``max_rows`` each."""
+    """One snappy file, for small extracts. Larger data keeps its tasks and gets files of ``max_rows`` each."""
+    small = has_at_most(df, max_rows)
     out, obs = _observed(df)
-    (
-        out.coalesce(1).write.mode("append").option("compression", "snappy")
-        .option("maxRecordsPerFile", max_rows).parquet(path)
-    )
+    writer = (out.coalesce(1) if small else out).write.mode("append").option("compression", "snappy")
+    writer.option("maxRecordsPerFile", max_rows).parquet(path)
     return _stats(path, "single_file", obs)
 
 

@@ -8,23 +8,23 @@ in the JVM.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import parse_compact_ts
 
-# contract type -> the types that a VARIANT value of it may report
+# contract type -> the types that a scalar VARIANT value of it may report
 _REPORTED = {
     "string": "STRING",
     "number": "BIGINT|DOUBLE|FLOAT|DECIMAL.*",
     "integer": "BIGINT|DECIMAL\\([0-9]+,0\\)",
     "boolean": "BOOLEAN",
     "null": "VOID",
-    "array": "ARRAY.*",
-    "object": "OBJECT.*",
 }
+# nested contract type -> the type its values can be read as, and no others
+_READ_AS = {"array": "array<variant>", "object": "map<string,variant>"}
 STAMP = "datetime"  # a 14-digit text stamp
 
 
@@ -56,12 +56,16 @@ def _type_of(v: Column) -> Column:
 
 
 def _fits(v: Column, rule: Rule) -> Column:
-    plain = "|".join(_REPORTED[t] for t in rule.types if t != STAMP)
-    ok = _type_of(v).rlike(f"^({plain})$") if plain else F.lit(False)
+    """Nested types are tested by reading the value as such: naming the type of a nested value would
+    walk through all of it."""
+    plain = "|".join(_REPORTED[t] for t in rule.types if t in _REPORTED)
+    tests = [F.try_variant_get(v, "$", _READ_AS[t]).isNotNull() for t in rule.types if t in _READ_AS]
+    if plain:
+        tests.append(_type_of(v).rlike(f"^({plain})$"))
     if STAMP in rule.types:
         text = F.try_variant_get(v, "$", "string")
-        ok = ok | ((_type_of(v) == "STRING") & parse_compact_ts(text).isNotNull())
-    return ok
+        tests.append((_type_of(v) == "STRING") & parse_compact_ts(text).isNotNull())
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
 def _no_text() -> Column:
@@ -101,7 +105,7 @@ def _verdict(v: Column, contract: Contract) -> Column:
     errors = F.array_join(_errors(v, contract), " | ")
     text = (
         F.when(v.isNull(), "malformed JSON")
-        .when(~_type_of(v).rlike("^OBJECT"), "message is not an object")
+        .when(F.try_variant_get(v, "$", _READ_AS["object"]).isNull(), "message is not an object")
         .otherwise(F.nullif(errors, F.lit("")))
     )
     return F.struct(text.isNull().alias("is_valid"), text.alias("error"))
@@ -145,7 +149,7 @@ def contract_from_schema(schema: dict, definitions: dict | None = None) -> Contr
 
     def rule(part: dict) -> Rule:
         part = resolve(part)
-        kind = part.get("type", list(_REPORTED))
+        kind = part.get("type", [*_REPORTED, *_READ_AS])
         types = (kind,) if isinstance(kind, str) else tuple(kind)
         items = part.get("items")
         return Rule(types, contract_from_schema(resolve(items), definitions) if items else None)

@@ -225,3 +225,9 @@ def test_changed_days_skips_consumed(spark):
     pending = incremental.dependencies(log, seen, "m", "t", "2024-01-04")
     got = incremental.changed_days(log, pending, "2024-01-04").first()
     assert (got.start_date, got.end_date, got.table_etl, got.calday_list) == (date(2024, 1, 2), date(2024, 1, 3), "g.a,g.b", "2024-01-02,2024-01-03")
+
+
+def test_audit_result_takes_the_target_schema(spark):
+    final = spark.createDataFrame([("h", "20240115", 5, 4)], "hub string, proc_date string, streaming_count bigint, landed_count bigint")
+    got = quality.audit_result(final, "load_date DATE, source_name STRING, table_name STRING, source_object_count STRING, remark STRING", {"source_name": "EventHub"})
+    assert tuple(got.first()) == (date(2024, 1, 15), "EventHub", "h", "5", None)
