@@ -54,12 +54,19 @@ def bom_explode(sales: DataFrame, bom: DataFrame, keys: list[str], item: str, qt
 
 
 def sell_rate(
-    history: DataFrame, keys: list[str], value: str, sale_day: str, as_of: date | str, horizons: tuple[int, int, int]
+    history: DataFrame,
+    keys: list[str],
+    value: str,
+    sale_day: str,
+    as_of: date | str,
+    horizons: tuple[int, int, int],
+    note: str | None = None,
 ) -> DataFrame:
     """Means over three trailing horizons and the trend short / middle, in one conditional aggregate.
 
-    ``history`` has one row per key and day. A key whose middle mean is zero, or whose trend is, has
-    trend 1 or 0 as the rules say.
+    ``history`` has one row per key and day up to the day before ``as_of``. The rate is the middle mean,
+    or zero for a key whose ``note`` of yesterday says that it is inactive; a trend of zero or without
+    a middle mean counts as 1.
     """
     short, middle, long = horizons
     d = F.col(sale_day)
@@ -68,11 +75,15 @@ def sell_rate(
         return F.avg(F.when(d >= F.date_sub(day(as_of), days), F.coalesce(F.col(value), F.lit(0.0))))
 
     recent = history.where((d >= F.date_sub(day(as_of), long)) & (d < day(as_of)))
-    means = recent.groupBy(*keys).agg(mean(short).alias("ma_short"), mean(middle).alias("ma_middle"), mean(long).alias("ma_long"))
-    trend = F.when(F.coalesce(F.col("ma_middle"), F.lit(0.0)) == 0, 0.0).otherwise(F.col("ma_short") / F.col("ma_middle"))
-    return means.withColumn("sell_rate", F.col("ma_middle")).withColumn(
-        "sale_trend", F.when(F.coalesce(trend, F.lit(0.0)) == 0, 1.0).otherwise(trend)
+    yesterday = F.lit(None).cast("string") if note is None else F.max(F.when(d == F.date_sub(day(as_of), 1), F.col(note)))
+    means = recent.groupBy(*keys).agg(
+        mean(short).alias("ma_short"), mean(middle).alias("ma_middle"), mean(long).alias("ma_long"), yesterday.alias("_note")
     )
+    trend = F.when(F.coalesce(F.col("ma_middle"), F.lit(0.0)) == 0, 0.0).otherwise(F.col("ma_short") / F.col("ma_middle"))
+    rate = F.when(F.col("_note") == INACTIVE_NOTE, 0.0).otherwise(F.col("ma_middle"))
+    return means.withColumns(
+        {"sell_rate": rate, "sale_trend": F.when(F.coalesce(trend, F.lit(0.0)) == 0, 1.0).otherwise(trend)}
+    ).drop("_note")
 
 
 def clip_to(df: DataFrame, column: str, low: Column, high: Column) -> DataFrame:

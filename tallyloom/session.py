@@ -33,15 +33,14 @@ def build_session(app: str = "tallyloom", master: str | None = None, **conf: str
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written intermediates.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset (local tests) a
-    local temporary folder is made and set for the rest of the session.
+    A cluster names it in ``spark.checkpoint.dir``. Only where neither that nor a checkpoint folder is
+    set (local tests) a temporary folder is made, and kept as the session's checkpoint folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="tallyloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyloom-"))
+        root = context.getCheckpointDir()
     return root
 
 

@@ -231,3 +231,25 @@ def test_audit_result_takes_the_target_schema(spark):
     final = spark.createDataFrame([("h", "20240115", 5, 4)], "hub string, proc_date string, streaming_count bigint, landed_count bigint")
     got = quality.audit_result(final, "load_date DATE, source_name STRING, table_name STRING, source_object_count STRING, remark STRING", {"source_name": "EventHub"})
     assert tuple(got.first()) == (date(2024, 1, 15), "EventHub", "h", "5", None)
+
+
+def test_sell_rate_rules(spark, rows):
+    data = [(k, date(2024, 1, i), v, note) for k, v, note in ((1, 2.0, None), (2, 0.0, None), (3, 4.0, demand.INACTIVE_NOTE)) for i in range(1, 11)]
+    history = spark.createDataFrame(data, "k int, d date, v double, note string")
+    got = demand.sell_rate(history, ["k"], "v", "d", "2024-01-11", (2, 5, 10), note="note")
+    assert rows(got, "k", "ma_long", "sell_rate", "sale_trend") == [(1, 2.0, 2.0, 1.0), (2, 0.0, 0.0, 1.0), (3, 4.0, 0.0, 1.0)]
+
+
+def test_availability_needs_yesterday_for_opening_stock(spark, rows):
+    def dated(data, ddl):
+        return spark.createDataFrame(data, ddl)
+
+    days = [date(2024, 1, i) for i in (1, 2, 3)]
+    listing = dated([(1, d, 5, True, False) for d in days], "k int, calday date, min_stock int, is_active boolean, is_blocked boolean")
+    stock = dated([(1, days[0], 6.0), (1, days[2], 2.0)], "k int, calday date, closing_qty double")
+    sales = dated([(1, days[0], 1.0, 10.0), (1, days[1], 2.0, 20.0)], "k int, calday date, sale_qty double, revenue double")
+    pending = dated([(1, days[2], 3.0)], "k int, calday date, pending_qty double")
+    got = marts.availability_kpis(listing, stock, sales, pending, ["k"], horizon=2)
+    assert rows(got, "opening_qty", "sale_qty_2d", "revenue_2d", "dr_count", "dr_sum", "adj_dr") == sorted(
+        [(0.0, 1.0, 10.0, 1, 1, 1), (6.0, 3.0, 30.0, 1, 0, 0), (0.0, 2.0, 20.0, 1, 0, 1)], key=str
+    )
