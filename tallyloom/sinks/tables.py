@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType
 
 from tallyloom.operators.sets import union_by_name
-from tallyloom.session import broadcast_days, file_system, has_at_most, path_exists
+from tallyloom.session import broadcast_days, broadcast_if_small, file_system, has_at_most, path_exists
 
 ACTION = "_action"
 
@@ -173,6 +173,20 @@ def _touched(target: DataFrame, batch: DataFrame, day: str | None) -> DataFrame:
     return target.join(days, day, "left_semi")
 
 
+def _batch_keys(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct keys of a batch, broadcast when they are proven few.
+
+    Then the target is only streamed past them and not shuffled, which is the usual case of a small
+    batch and a large table; with many keys Spark joins the two by shuffle.
+    """
+    return broadcast_if_small(batch.select(*keys).distinct(), 500_000)
+
+
+def _hits(target: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of the target that occur in the batch: no more than the batch has."""
+    return target.select(*keys).join(wanted, keys, "left_semi").distinct()
+
+
 def replace_keys(df: DataFrame, path: str, keys: list[str], day: str | None = None) -> WriteStats:
     """Drop target rows whose key occurs in the batch, then add the batch.
 
@@ -182,7 +196,7 @@ def replace_keys(df: DataFrame, path: str, keys: list[str], day: str | None = No
     target = read_table(df.sparkSession, path)
     if target is None:
         return _write_back(df, path, day, "replace_keys")
-    kept = _touched(target, df, day).join(df.select(*keys).distinct(), keys, "left_anti")
+    kept = _touched(target, df, day).join(_batch_keys(df, keys), keys, "left_anti")
     rows = union_by_name(_tag(kept, "keep"), _tag(df, "insert"))
     return _write_back(rows, path, day, "replace_keys")
 
@@ -192,8 +206,7 @@ def insert_absent(df: DataFrame, path: str, keys: list[str], day: str | None = N
     target = read_table(df.sparkSession, path)
     fresh = df
     if target is not None:
-        known = _touched(target, df, day).select(*keys)
-        fresh = df.join(known, keys, "left_anti")
+        fresh = df.join(_hits(_touched(target, df, day), _batch_keys(df, keys), keys), keys, "left_anti")
     out, obs = _observed(fresh)
     writer = out.write.mode("append")
     (writer.partitionBy(day) if day else writer).parquet(path)
@@ -201,24 +214,17 @@ def insert_absent(df: DataFrame, path: str, keys: list[str], day: str | None = N
 
 
 def upsert(df: DataFrame, path: str, keys: list[str], day: str | None = None) -> WriteStats:
-    """Update every column of matched keys and insert the rest. Batch keys must be unique.
-
-    Target and batch are stacked and each key keeps its batch row if it has one: one aggregate with
-    map-side combine instead of a join of two large sides.
-    """
+    """Update every column of matched keys and insert the rest. Batch keys must be unique."""
     target = read_table(df.sparkSession, path)
     if target is None:
         return _write_back(df, path, day, "upsert")
     columns = target.columns
-    rest = [c for c in columns if c not in keys]
-    old = _touched(target, df, day).select(*columns, F.lit(0).alias("_new"))
-    new = df.select(*columns, F.lit(1).alias("_new"))
-    picked = old.unionByName(new).groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), "_new").alias("_r"), F.max("_new").alias("_new"), F.count("*").alias("_n")
-    )
-    action = F.when(F.col("_new") == 0, "keep").when(F.col("_n") > 1, "update").otherwise("insert")
-    rows = picked.withColumn(ACTION, action).select(*keys, "_r.*", ACTION).select(*columns, ACTION)
-    return _write_back(rows, path, day, "upsert")
+    old, wanted = _touched(target, df, day), _batch_keys(df, keys)
+    kept = _tag(old.join(wanted, keys, "left_anti"), "keep")
+    hits = _hits(old, wanted, keys).withColumn("_hit", F.lit(True))
+    action = F.when(F.col("_hit"), "update").otherwise("insert")
+    changed = _tag(df.select(*columns).join(hits, keys, "left"), action).drop("_hit")
+    return _write_back(union_by_name(kept, changed).select(*columns, ACTION), path, day, "upsert")
 
 
 # --- write log ------------------------------------------------------------------------------
