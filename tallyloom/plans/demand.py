@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import day
-from tallyloom.functions.numbers import clamp, safe_ratio
+from tallyloom.functions.numbers import clamp
 from tallyloom.operators.aggregates import exact_percentiles
 from tallyloom.session import broadcast_days
 

@@ -1,17 +1,13 @@
 """Proofs of aggregations, ordering and set operations."""
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numbers import noise_floor, safe_ratio, signed
 from tallyloom.operators import aggregates as A
 from tallyloom.operators import sets as S
-from tallyloom.operators.windows import latest
 from tallyloom.plans import demand
 from tallyloom.proofs.common import event_day, net_total, order_day, r6, ship_day, sql_total, total
 from tallyloom.proofs.registry import proof
-from tallyloom.sources.constants import values
 
 
 @proof(

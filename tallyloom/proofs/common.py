@@ -41,3 +41,8 @@ def order_day() -> Column:
 
 def event_day() -> Column:
     return F.to_date("ts")
+
+
+def wall_time(ts: Column) -> Column:
+    """A timestamp without zone, as the test tables hold them."""
+    return ts.cast("timestamp_ntz")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import nested, numbers, text
 from tallyloom.functions.dates import add_partition_columns
-from tallyloom.proofs.common import event_day, r6, sql_total, total
+from tallyloom.proofs.common import r6, sql_total, total
 from tallyloom.proofs.registry import proof
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import day
 from tallyloom.plans import incremental, quality
-from tallyloom.proofs.common import event_day, order_day, sql_total, total
+from tallyloom.proofs.common import event_day, sql_total
 from tallyloom.proofs.registry import proof
 from tallyloom.sinks.tables import WriteStats
 from tallyloom.streaming.contracts import Contract, Rule, array_of, optional, validated

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallyloom.functions import dates, keys, nested, numbers, text
-from tallyloom.proofs.common import AS_OF, event_day, order_day, r6, ship_day, sql_total, total
+from tallyloom.proofs.common import event_day, order_day, r6, total, wall_time
 from tallyloom.proofs.registry import proof
 from tallyloom.sources.constants import values
 
@@ -115,7 +115,7 @@ def fn_parse_compact_date(t):
     compact = F.when(F.col("o_orderstatus") == "P", "00000000").otherwise(F.date_format("o_orderdate", "yyyyMMdd"))
     stamp = F.date_format("o_orderdate", "yyyyMMddHHmmss")
     return t.orders.select(
-        "o_orderkey", dates.parse_compact_date(compact).alias("d"), dates.parse_compact_ts(stamp).alias("ts")
+        "o_orderkey", dates.parse_compact_date(compact).alias("d"), wall_time(dates.parse_compact_ts(stamp)).alias("ts")
     )
 
 
@@ -135,12 +135,12 @@ def fn_parse_multi_format(t):
         .when(kind == "signup", F.date_format("ts", FORMATS[3]))
         .otherwise("not a time")
     )
-    return t.events.select("event_id", dates.parse_first(raw, FORMATS).alias("parsed"))
+    return t.events.select("event_id", wall_time(dates.parse_first(raw, FORMATS)).alias("parsed"))
 
 
 @proof("fn_parse_ampm", "SELECT event_id, date_trunc('second', ts) AS parsed FROM events")
 def fn_parse_ampm(t):
-    return t.events.select("event_id", dates.parse_ampm(F.date_format("ts", "M/d/yyyy h:m:s a")).alias("parsed"))
+    return t.events.select("event_id", wall_time(dates.parse_ampm(F.date_format("ts", "M/d/yyyy h:m:s a"))).alias("parsed"))
 
 
 @proof(
@@ -188,7 +188,7 @@ def fn_date_parts(t):
 )
 def fn_tz_shift(t):
     utc = F.col("ts").cast("timestamp")
-    return t.events.select("event_id", dates.local_ts(utc).alias("local_ts"), dates.local_day(utc).alias("local_day"))
+    return t.events.select("event_id", wall_time(dates.local_ts(utc)).alias("local_ts"), dates.local_day(utc).alias("local_day"))
 
 
 @proof(
@@ -198,7 +198,7 @@ def fn_tz_shift(t):
 def fn_epoch_ms(t):
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     days = F.unix_date(event_day())
-    return t.events.select("event_id", dates.epoch_ms(ms).alias("back"), F.date_from_unix_date(days).alias("back_day"))
+    return t.events.select("event_id", wall_time(dates.epoch_ms(ms)).alias("back"), F.date_from_unix_date(days).alias("back_day"))
 
 
 @proof(

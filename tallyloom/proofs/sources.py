@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import add_partition_columns
-from tallyloom.proofs.common import AS_OF, event_day, order_day, sql_total, total
+from tallyloom.proofs.common import AS_OF, event_day, order_day, wall_time
 from tallyloom.proofs.registry import proof
 from tallyloom.session import fresh_dir
 from tallyloom.sinks import tables as W
@@ -160,5 +160,5 @@ def fn_ts_from_filename(t):
     # the stamp is taken from the directory level that carries the name
     rows = t.spark.read.schema("s_suppkey BIGINT").csv(named)
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    stamped = rows.withColumn("name", name).withColumn("file_ts", files.stamp_from_filename(F.col("name")))
+    stamped = rows.withColumn("name", name).withColumn("file_ts", wall_time(files.stamp_from_filename(F.col("name"))))
     return stamped.groupBy(F.regexp_replace("name", r"\.xml$", "").alias("stem"), "file_ts").agg(F.count("*").alias("n"))

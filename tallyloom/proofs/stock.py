@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import day
 from tallyloom.plans import balance as B
-from tallyloom.proofs.common import event_day, r6, ship_day, sql_total, total
+from tallyloom.proofs.common import event_day, ship_day
 from tallyloom.proofs.registry import proof
 
 LAST = "2001-12-31"
