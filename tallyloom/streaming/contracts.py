@@ -130,9 +130,12 @@ def check_by_hub(hub: Column, json: Column, contracts: dict[str, Contract]) -> C
 
 
 def validated(messages: DataFrame, contracts: dict[str, Contract], hub: str = "hub", json: str = "json_str") -> DataFrame:
-    """Messages with ``is_valid`` and ``error``."""
-    checked = messages.withColumn("_check", check_by_hub(F.col(hub), F.col(json), contracts))
-    return checked.select(*messages.columns, "_check.is_valid", "_check.error")
+    """Messages with ``is_valid`` and ``error``.
+
+    The result is generated from a one-element array: a later filter on it then stays above the check
+    instead of being pushed below, which would evaluate the check twice.
+    """
+    return messages.select("*", F.inline(F.array(check_by_hub(F.col(hub), F.col(json), contracts))))
 
 
 def contract_from_schema(schema: dict, definitions: dict | None = None) -> Contract:
