@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,18 @@ def unwrapped(df: DataFrame) -> DataFrame:
     return df.select(f"{ROW}.*")
 
 
+def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``mapInArrow`` whose workers find this package where the driver found it, if nothing else tells them."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", root)
+    return df.mapInArrow(fn, schema)
+
+
+def schema_of(df: DataFrame) -> str:
+    """The columns of ``df`` as DDL."""
+    return df.schema.simpleString()[len("struct<") : -1]
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; the rule that holds documents out. A null id is in fold 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus, F.lit(0))

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import ROW, ascii_lower, wrapped, written
+from tallyloom.llm.common import ROW, ascii_lower, map_batches, schema_of, wrapped, written
 
 MAX_DEPTH = 16
 
@@ -150,14 +150,9 @@ def index_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     id_at, text_at = docs.columns.index(id_col), docs.columns.index(text_col)
     rows = docs.withColumn(id_col, F.col(f"`{id_col}`").cast("long"))
-    schema = wrapped(rows).schema.simpleString()[len("struct<doc:") : -1]
-    staged = written(
-        wrapped(rows).mapInArrow(
-            lambda batches: _collapse(batches, text_at, id_at),
-            f"{ROW} {schema}, row_no long, local_group long, key long, n long, top_id long, top_row long",
-        ),
-        "exact-rows",
-    )
+    rows = wrapped(rows)
+    columns = f"{schema_of(rows)}, row_no: long, local_group: long, key: long, n: long, top_id: long, top_row: long"
+    staged = written(map_batches(rows, lambda batches: _collapse(batches, text_at, id_at), columns), "exact-rows")
     entries = staged.where(F.col("key").isNotNull())
     prefix = F.shiftrightunsigned("key", 64 - MAX_DEPTH).cast("int")
     counts = {r[0]: r[1] for r in entries.groupBy(prefix).count().collect()}  # at most 2**MAX_DEPTH rows
@@ -176,7 +171,7 @@ def index_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .drop("owner")
         .sortWithinPartitions("bucket", "key")
     )
-    return staged, written(placed.mapInArrow(_resolve, INDEX), "exact-index")
+    return staged, written(map_batches(placed, _resolve, INDEX), "exact-index")
 
 
 def with_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = 16_384) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import exact_dedup
+from tallyloom.llm import exact_dedup, simhash
 
 PLANS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,3 +42,9 @@ SQL_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdef
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup.with_classes(docs).select(F.col("doc")["doc_id"].alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op10_simhash")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.with_components(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(F.col("doc")["doc_id"].alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
