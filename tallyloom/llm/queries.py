@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import exact_dedup, simhash
+from tallyloom.llm import exact_dedup, language_id, simhash
+from tallyloom.llm.common import remainder
 
 PLANS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,3 +49,16 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.with_components(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return found.select(F.col("doc")["doc_id"].alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def learned_languages(docs: DataFrame) -> language_id.Filter:
+    """The filter from documents whose remainder by three is not one."""
+    return language_id.learn(docs.where(remainder(F.col("doc_id"), 3) != 1), F.col("text"), F.col("lang"))
+
+
+@query("op2_language_id")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.with_language(docs, learned_languages(docs), keep=["doc_id"])
+    doc_id = F.col("doc")["doc_id"]
+    return found.select(doc_id.alias("doc_id"), (remainder(doc_id, 3) == 1).alias("held_out"), "lang_pred", "score", "support")
