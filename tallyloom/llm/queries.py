@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import exact_dedup, language_id, simhash
+from tallyloom.llm import exact_dedup, language_id, packing, simhash, token_counts
 from tallyloom.llm.common import remainder
+from tallyloom.session import fresh_dir
 
 PLANS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +64,16 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language_id.with_language(docs, learned_languages(docs), keep=["doc_id"])
     doc_id = F.col("doc")["doc_id"]
     return found.select(doc_id.alias("doc_id"), (remainder(doc_id, 3) == 1).alias("held_out"), "lang_pred", "score", "support")
+
+
+@query("op1_best_fit_packing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"])
+    return packed.select(F.col("doc")["doc_id"].alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op6_token_counts")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = token_counts.with_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), token_counts.Cache(spark, fresh_dir(spark, "token-cache")))
+    return found.select(F.col("doc")["doc_id"].alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
