@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import exact_dedup, language_id, packing, simhash, token_counts
+from tallyloom.llm import decontaminate, exact_dedup, language_id, packing, simhash, token_counts
 from tallyloom.llm.common import remainder
 from tallyloom.session import fresh_dir
 
@@ -77,3 +77,24 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = token_counts.with_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), token_counts.Cache(spark, fresh_dir(spark, "token-cache")))
     return found.select(F.col("doc")["doc_id"].alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+def _sql_shingles(name: str, source: str, key: str) -> str:
+    """Distinct five-word shingles of a table, in DuckDB."""
+    return f"""{name} AS (SELECT DISTINCT {key}, array_to_string(words[i:i + 4], ' ') AS shingle
+        FROM (SELECT {key}, words, unnest(range(1, len(words) - 3)) AS i
+              FROM (SELECT {key}, string_split(trim(regexp_replace({SQL_LOWER}, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g')), ' ') AS words FROM {source})))"""
+
+
+@query(
+    "op8_decontaminate",
+    f"""
+    WITH {_sql_shingles("d", "documents", "doc_id")}, {_sql_shingles("b", "benchmark", "item_id")},
+         q AS (SELECT item_id, count(*) AS item_shingles FROM b GROUP BY item_id)
+    SELECT doc_id, item_id, count(*) AS shared, item_shingles, count(*) / item_shingles AS containment
+    FROM d JOIN b USING (shingle) JOIN q USING (item_id) GROUP BY doc_id, item_id, item_shingles HAVING count(*) >= 0.8 * item_shingles
+    """,
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_key")
