@@ -1,11 +1,11 @@
 """SimHash near-duplicates: segment-popcount embedding, grid join under Manhattan distance, exact verification.
 
-A 64-bit fingerprint is cut into 16 segments of four bits; the vector of their bit counts is its embedding,
-packed four bits a count into one long. One differing bit moves one count by one at most, so the Manhattan
+A 64-bit fingerprint is cut into 32 segments of two bits; the vector of their bit counts is its embedding, packed
+two bits a count into one long. (Coarser segments let unrelated fingerprints meet, more of them as the corpus grows.) One differing bit moves one count by one at most, so the Manhattan
 distance of two embeddings is a lower bound of the Hamming distance of their fingerprints.
 
 Range join on the grid of embeddings: two vectors at Manhattan distance two or less have a common cell within
-one step of both. Every distinct fingerprint is sent to its own cell and the cells one step away (33 at most),
+one step of both. Every distinct fingerprint is sent to its own cell and the cells one step away (65 at most),
 and only fingerprints that meet another one in some cell go on.
 
 Exact verification by the same meeting in the middle, bit by bit: two fingerprints differ in two bits or fewer
@@ -84,21 +84,19 @@ def _mask(pattern: int) -> Column:
 
 
 def embedding(fp: Column) -> Column:
-    """Bit counts of the 16 segments of four bits, packed in the order of the segments; never negative."""
+    """Bit counts (0 to 2) of the 32 segments of two bits, packed in the order of the segments."""
     odd, even = F.shiftrightunsigned(fp, 1).bitwiseAND(_mask(0x5555555555555555)), fp.bitwiseAND(_mask(0x5555555555555555))
-    pairs = odd.bitwiseXOR(even).bitwiseOR(F.shiftleft(odd.bitwiseAND(even), 1))
-    low = _mask(0x3333333333333333)
-    return pairs.bitwiseAND(low) + F.shiftrightunsigned(pairs, 2).bitwiseAND(low)
+    return odd.bitwiseXOR(even).bitwiseOR(F.shiftleft(odd.bitwiseAND(even), 1))
 
 
 def _cells(fingerprints: DataFrame) -> DataFrame:
-    """``fp`` with its grid cell and those one step away, counts kept within 0 and 4."""
-    steps = F.explode(F.array(*[F.lit(i) for i in range(-16, 17)])).alias("step")
-    at = fingerprints.select("fp", embedding(F.col("fp")).alias("vector"), steps).selectExpr(
-        "fp", "vector", "step", "shiftleft(1L, greatest(abs(step) - 1, 0) * 4) AS unit", "shiftrightunsigned(vector, greatest(abs(step) - 1, 0) * 4) & 15 AS held"
-    )
-    inside = "step = 0 OR (step > 0 AND held < 4) OR (step < 0 AND held > 0)"
-    return at.where(inside).selectExpr("fp", "vector + sign(step)::bigint * unit AS cell")
+    """``fp`` with its grid cell and those one step away, counts kept within 0 and 2."""
+    steps = F.explode(F.array(*[F.lit(i) for i in range(-32, 33)])).alias("step")
+    at = fingerprints.select("fp", embedding(F.col("fp")).alias("vector"), steps).selectExpr("fp", "vector", "step", "greatest(abs(step) - 1, 0) * 2 AS at")
+    at = at.selectExpr("fp", "vector", "step", "at", "int(shiftrightunsigned(vector, at) & 3) AS held")
+    inside = "step = 0 OR (step > 0 AND held < 2) OR (step < 0 AND held > 0)"
+    # one count of the vector replaced: all its bits that differ are flipped
+    return at.where(inside).selectExpr("fp", "vector ^ shiftleft(bigint(held ^ (held + int(sign(step)))), at) AS cell")
 
 
 def _meeting(sent: DataFrame, place: str) -> DataFrame:
@@ -111,12 +109,12 @@ def links(fingerprints: DataFrame) -> DataFrame:
 
     ``fingerprints`` has one distinct long column ``fp``.
     """
-    cells = _cells(fingerprints)
-    near = cells.join(_meeting(cells, "cell"), "cell", "left_semi").select("fp").distinct()
+    cells = _cells(fingerprints)  # Spark's size estimates do not see that rows multiply here: no broadcast
+    near = cells.join(_meeting(cells, "cell").hint("merge"), "cell", "left_semi").select("fp").distinct()
     flips = F.explode(F.array(F.lit(0).cast("long"), *[F.lit(_signed(1 << i)).cast("long") for i in range(64)])).alias("flip")
     near = written(near, "simhash-near")
     sent = near.select("fp", flips).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("value"))
-    return sent.join(_meeting(sent, "value"), "value").where("fp <> root").select("fp", "root").distinct()
+    return sent.join(_meeting(sent, "value").hint("merge"), "value").where("fp <> root").select("fp", "root").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
