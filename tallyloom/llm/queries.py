@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, exact_dedup, language_id, packing, simhash, token_counts
+from tallyloom.llm import decontaminate, exact_dedup, language_id, packing, secret_scan, simhash, token_counts
 from tallyloom.llm.common import remainder
 from tallyloom.session import fresh_dir
 
@@ -98,3 +98,15 @@ def _sql_shingles(name: str, source: str, key: str) -> str:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("text_key")
+
+
+@query("op3_secret_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.with_spans(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secret_scan.BASE]))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    counts = [F.size(F.filter("spans", lambda s, k=r.kind: s["kind"] == k)).cast("long").alias(f"n_{r.kind}") for r in secret_scan.BASE]
+    return found.select(F.col("doc")["doc_id"].alias("doc_id"), *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
