@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from tallyloom.llm.common import ROW, map_batches, schema_of
 
 MOST_POSITIVE, MOST_UNLABELLED, MOST_WORDS = 10_000, 20_000, 2_000
+#: Words whose shares among positives and unlabelled documents differ by less than this many standard errors are noise.
+LEAST_Z = 4.0
 #: A-Z to lower case; other ASCII than letters and digits to a blank; bytes of other characters stay.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or 48 <= c <= 57 or c >= 128 else 32 for c in range(256))
 
@@ -125,7 +127,8 @@ def learn(
         return Classifier() if not prior or prior < 1 else Classifier(bias=np.inf)
     pooled = (F.col("p") + F.col("u")) / F.lit(float(n_p + n_u))
     z = (F.col("p") / n_p - F.col("u") / n_u) / F.sqrt(pooled * (1 - pooled) * (1 / n_p + 1 / n_u) + 1e-12)
-    chosen_words = counted.where("p + u >= 5").orderBy(F.abs(z).desc(), "word").limit(MOST_WORDS).select("word").collect()
+    telling = (F.col("p") + F.col("u") >= 5) & (F.abs(z) >= LEAST_Z)
+    chosen_words = counted.where(telling).orderBy(F.abs(z).desc(), "word").limit(MOST_WORDS).select("word").collect()
     number = {bytes(r[0]): i for i, r in enumerate(chosen_words)}
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
