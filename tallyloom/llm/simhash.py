@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import ROW, map_batches, schema_of, written
+from tallyloom.llm.common import ROW, map_batches, schema_of, unwrapped, written
 
 SEED = 42
 #: Bits of each byte value, most significant first.
@@ -144,17 +144,35 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first())
 
 
+def _classified(rows: DataFrame, id_col: str) -> DataFrame:
+    """Distinct fingerprints of ``rows`` (``doc``, ``fp``, ``row_no``) with their component's smallest id and its row."""
+    first = F.min(F.struct(F.col(ROW)[id_col].isNull().alias("no_id"), F.col(ROW)[id_col].alias("id"), "row_no"))
+    distinct = written(rows.groupBy("fp").agg(first.alias("least")), "simhash-distinct")
+    labels = components(links(distinct.select("fp")))
+    labelled = distinct.join(labels, "fp", "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
+    smallest = labelled.groupBy("label").agg(F.min("least").alias("least"))
+    found = labelled.select("fp", "label").join(smallest, "label")
+    return written(found.select("fp", F.col("least.id").alias("component_id"), F.col("least.row_no").alias("keep_row")), "simhash-components")
+
+
 def with_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 3, keep: list[str] | None = None) -> DataFrame:
-    """Every row as ``doc`` with ``fp`` and ``component_id``, the smallest id of its component (null ids do not count).
+    """Every row as ``doc`` with ``fp`` and ``component_id``, the smallest id of its component (null only if all are null).
 
     Rows with equal fingerprints are linked by having one fingerprint; everything but the last join works on
     distinct fingerprints. That join is left to adaptive skew handling, as one fingerprint may hold many rows.
     """
-    rows = written(with_fingerprints(docs, text_col, words_per_shingle, keep or [id_col]), "simhash-rows")
-    distinct = rows.groupBy("fp").agg(F.min(F.col(ROW)[id_col]).alias("least_id"))
-    distinct = written(distinct, "simhash-distinct")
-    labels = components(links(distinct.select("fp")))
-    labelled = distinct.join(labels, "fp", "left").select("fp", "least_id", F.coalesce("label", "fp").alias("label"))
-    smallest = labelled.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    found = written(labelled.join(smallest, "label").select("fp", "component_id"), "simhash-components")
-    return rows.join(found, "fp")
+    found = with_fingerprints(docs, text_col, words_per_shingle, keep or [id_col])
+    rows = written(found.withColumn("row_no", F.monotonically_increasing_id()), "simhash-rows")
+    return rows.join(_classified(rows, id_col).drop("keep_row"), "fp").select(ROW, "fp", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 5) -> DataFrame:
+    """One row of each component, the one with the smallest id, with the columns it came with.
+
+    The rows that go are found from narrow rows; the wide ones meet only their numbers.
+    """
+    found = with_fingerprints(docs, text_col, words_per_shingle)
+    rows = written(found.withColumn("row_no", F.monotonically_increasing_id()), "simhash-rows")
+    narrow = rows.select(F.struct(F.col(ROW)[id_col].alias(id_col)).alias(ROW), "fp", "row_no")
+    going = narrow.join(_classified(narrow, id_col), "fp").where("row_no <> keep_row").select("row_no")
+    return unwrapped(rows.join(written(going, "simhash-going"), "row_no", "left_anti"))
