@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat_format, decontaminate, exact_dedup, language_id, packing, secret_scan, simhash, token_counts, toxicity
+from tallyloom.llm import chat_format, decontaminate, exact_dedup, language_id, lm_score, packing, secret_scan, simhash, token_counts, toxicity
 from tallyloom.llm.common import remainder
 from tallyloom.session import fresh_dir
 
@@ -152,3 +152,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query("op5_lm_score")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learned = docs.where(remainder(F.col("doc_id"), 5) != 1)
+    model, counts = lm_score.learn(learned, F.pmod(F.xxhash64("doc_id"), F.lit(16)))
+    found = lm_score.with_scores(docs, model, counts, keep=["doc_id"])
+    doc_id = F.col("doc")["doc_id"]
+    return found.select(doc_id.alias("doc_id"), (remainder(doc_id, 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
