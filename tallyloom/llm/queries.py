@@ -108,7 +108,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
-    counts = [F.size(F.filter("spans", lambda s, k=r.kind: s["kind"] == k)).cast("long").alias(f"n_{r.kind}") for r in secret_scan.BASE]
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [number(r.kind) for r in secret_scan.BASE]
     return found.select(F.col("doc")["doc_id"].alias("doc_id"), *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 

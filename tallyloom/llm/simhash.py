@@ -118,7 +118,7 @@ def links(fingerprints: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Component of every node of the undirected ``edges`` (``fp``, ``root``): (``fp``, ``label``), label the smallest node.
+    """Component of the nodes of undirected ``edges`` (``fp``, ``root``): (``fp``, ``label``), label the smallest node, which is left out itself.
 
     Large star: all larger neighbours of a node move to its smallest neighbour; small star: all smaller ones do.
     Alternated until nothing changes; then each node's only link leads to the smallest of its component.
