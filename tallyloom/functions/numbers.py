@@ -45,14 +45,13 @@ def convert_unit(quantity: Column, numerator: Column, denominator: Column) -> Co
     return F.try_divide(quantity * numerator, denominator)
 
 
-def in_units(c: Column, scale: int = 2) -> Column:
-    """A number of at most ``scale`` decimals as a whole number of its smallest unit (such as cents)."""
-    return F.rint(c.cast("double") * F.lit(10.0**scale)).cast("bigint")
+def exact_sum(c: Column, scale: int = 6) -> Column:
+    """Sum that does not depend on row order: decimals of ``scale`` places are added, and become a double once.
 
-
-def exact_sum(c: Column, scale: int = 2) -> Column:
-    """Sum that does not depend on row order: whole units are added, then scaled back once."""
-    return F.sum(in_units(c, scale)) / F.lit(10.0**scale)
+    Totals may have 38 - ``scale`` digits before the point. Digits of a value beyond ``scale`` places are rounded off,
+    which for doubles of up to nine digits before the point is below their own precision at the default.
+    """
+    return F.sum(c.cast(f"decimal(38,{scale})")).cast("double")
 
 
 def band(c: Column, cuts: list[tuple[float, str]], top: str) -> Column:

@@ -19,24 +19,19 @@ def blank_to_null(c: Column, sentinels: Iterable[str] = ("",)) -> Column:
 
 
 def normalize_numeric_text(c: Column) -> Column:
-    """One spelling per number: ``007`` -> ``7``, ``12.0`` -> ``12``; other text is unchanged."""
-    as_double = c.try_cast("double")
-    return (
-        F.when(c.rlike("^[0-9]+$"), F.coalesce(c.try_cast("bigint").cast("string"), c))
-        .when(
-            c.rlike(r"^[0-9]+\.[0-9]+$") & (as_double == F.floor(as_double)),
-            F.floor(as_double).cast("bigint").cast("string"),
-        )
-        .otherwise(c)
-    )
+    """One spelling per number: ``007`` -> ``7``, ``12.0`` -> ``12``; other text is unchanged.
+
+    Done on the text, so that codes of any length keep all their digits.
+    """
+    return F.when(c.rlike(r"^[0-9]+(\.0+)?$"), F.regexp_extract(c, r"^0*([0-9]+?)(\.0+)?$", 1)).otherwise(c)
 
 
 def clean_mobile(c: Column) -> Column:
     """National form of a phone number; the first rule that fits decides."""
     return (
-        F.when(c.startswith("840"), F.substring(c, 3, 15))
-        .when(c.startswith(".0"), F.substring(c, 2, 15))
-        .when(c.startswith("84") & (F.length(c) > 10), F.concat(F.lit("0"), F.substring(c, 3, 15)))
+        F.when(c.startswith("840"), F.substr(c, F.lit(3)))
+        .when(c.startswith(".0"), F.substr(c, F.lit(2)))
+        .when(c.startswith("84") & (F.length(c) > 10), F.concat(F.lit("0"), F.substr(c, F.lit(3))))
         .when(F.left(c, F.lit(1)).between("1", "9"), F.concat(F.lit("0"), c))
         .otherwise(c)
     )

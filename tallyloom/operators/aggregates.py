@@ -52,7 +52,8 @@ def exact_percentiles(
         picked = rows.groupBy(*keys).agg(wanted)
         return picked.select(*keys, *[F.col("_p")[i].alias(n) for i, n in enumerate(probabilities)])
     counts = rows.groupBy(*keys, value).agg(F.count("*").alias("_n")).withColumn("_cell", magnitude_cell(F.col(value)))
-    within = Window.partitionBy(*keys, "_cell")
+    counts = counts.withColumn("_at", F.struct(*keys, "_cell"))  # equal structs may hold NULL keys
+    within = Window.partitionBy("_at")
     placed = counts.withColumns(
         {
             "_upto": F.sum("_n").over(within.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)),
@@ -63,12 +64,11 @@ def exact_percentiles(
     group = Window.partitionBy(*keys)
     before = group.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.groupBy(*keys, "_cell").agg(F.first("_in_cell").alias("_c")).select(
-        *keys,
-        "_cell",
+        F.struct(*keys, "_cell").alias("_at"),
         F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"),
         F.sum("_c").over(group).alias("_total"),
     )
-    ranked = placed.join(offsets, [*keys, "_cell"]).withColumn("_upto", F.col("_upto") + F.col("_before"))
+    ranked = placed.join(offsets, "_at").withColumn("_upto", F.col("_upto") + F.col("_before"))
 
     def position(p: float) -> Column:
         return (F.col("_total") - 1) * F.lit(p)

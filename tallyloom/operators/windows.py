@@ -4,6 +4,9 @@
 * "latest attribute", "share of total" and "best priority" are aggregates with map-side combine;
 * running sums and neighbours over raw rows work per (key, segment), where the segment is a bounded
   slice such as a day, and only one row per segment crosses from slice to slice.
+
+Rows under a NULL key form a group of their own, as in SQL windows. Where an aggregate is joined back, the join key
+is a struct of the key columns: structs are equal when their fields are, NULLs included.
 """
 
 from __future__ import annotations
@@ -28,12 +31,15 @@ def latest(df: DataFrame, keys: list[str], order: list[str], columns: list[str]
 def keep_best(df: DataFrame, keys: list[str], by: str, largest: bool = False) -> DataFrame:
     """Every row that ties with the best ``by`` of its key."""
     best = df.groupBy(*keys).agg((F.max if largest else F.min)(by).alias(by))
-    return df.join(best, [*keys, by], "left_semi")
+    at = F.struct(*keys, by).alias("_at")
+    return df.withColumn("_at", at).join(best.select(at), "_at", "left_semi").drop("_at")
 
 
 def share_of_total(df: DataFrame, keys: list[str], value: str, out: str, total: str = "total") -> DataFrame:
-    totals = df.groupBy(*keys).agg(F.sum(value).alias(total))
-    return df.join(totals, keys).withColumn(out, F.try_divide(F.col(value), F.col(total)))
+    at = F.struct(*keys).alias("_at")
+    totals = df.groupBy(*keys).agg(F.sum(value).alias(total)).select(at, total)
+    joined = df.withColumn("_at", at).join(totals, "_at").drop("_at")
+    return joined.withColumn(out, F.try_divide(F.col(value), F.col(total)))
 
 
 def running_sum(
@@ -43,11 +49,11 @@ def running_sum(
     before = Window.partitionBy(*keys).orderBy(segment).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         df.groupBy(*keys, segment).agg(F.sum(value).alias("_s"))
-        .select(*keys, segment, F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_before"))
+        .select(F.struct(*keys, segment).alias("_at"), F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_before"))
     )
-    inside = Window.partitionBy(*keys, segment).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = df.withColumn("_in", F.sum(value).over(inside))
-    return local.join(offsets, [*keys, segment]).withColumn(out, F.col("_before") + F.col("_in")).drop("_before", "_in")
+    inside = Window.partitionBy("_at").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = df.withColumn("_at", F.struct(*keys, segment)).withColumn("_in", F.sum(value).over(inside))
+    return local.join(offsets, "_at").withColumn(out, F.col("_before") + F.col("_in")).drop("_at", "_before", "_in")
 
 
 def neighbours(
@@ -70,13 +76,13 @@ def neighbours(
     )
     across = Window.partitionBy(*keys).orderBy(segment)
     edges = edges.select(
-        *keys, segment, F.lag("_hi").over(across).alias("_prev"), F.lead("_lo").over(across).alias("_next")
+        F.struct(*keys, segment).alias("_at"), F.lag("_hi").over(across).alias("_prev"), F.lead("_lo").over(across).alias("_next")
     )
-    inside = Window.partitionBy(*keys, segment).orderBy(*order)
-    local = df.withColumns(
+    inside = Window.partitionBy("_at").orderBy(*order)
+    local = df.withColumn("_at", F.struct(*keys, segment)).withColumns(
         {"_lag": F.lag(F.struct(*taken)).over(inside), "_lead": F.lead(F.struct(*taken)).over(inside)}
     )
-    joined = local.join(edges, [*keys, segment])
+    joined = local.join(edges, "_at").drop("_at")
     out = {n: F.coalesce("_lag", "_prev")[c] for n, c in previous.items()}
     out |= {n: F.coalesce("_lead", "_next")[c] for n, c in following.items()}
     return joined.withColumns(out).drop("_lag", "_lead", "_prev", "_next")
@@ -92,13 +98,15 @@ def trailing_sum(
 
 
 def top_by_quota(
-    df: DataFrame, keys: list[str], order: list[Column], quota: str, largest: int
+    df: DataFrame, keys: list[str], order: list[Column], quota: str
 ) -> DataFrame:
     """First rows per key up to the row's own quota column.
 
-    ``largest`` bounds the quotas; it lets Spark cut each map task's rows per key before the shuffle.
+    The largest quota of the data lets Spark cut each map task's rows per key before the shuffle; no row within
+    its quota lies beyond it.
     """
     w = Window.partitionBy(*keys).orderBy(*order)
+    largest = df.agg(F.ceil(F.max(quota)).cast("int")).first()[0] or 0
     ranked = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= largest)
     return ranked.where(F.col("_rn") <= F.col(quota)).drop("_rn")
 

@@ -67,7 +67,7 @@ def fifo_aging(
     age = F.datediff(day(as_of), F.col("gr_date"))
     band = reduce(lambda c, b: c.when((age + 1 > b[1]) & (age + 1 <= b[2]), b[0]), bands, F.when(F.lit(False), ""))
     aged = daily.withColumns({"aging_days": age, "band_id": band}).where(F.col("band_id").isNotNull() & (F.col("gr_qty") > 0))
-    newest_first = Window.partitionBy(*keys).orderBy("band_id", "aging_days")
+    newest_first = Window.partitionBy(*keys).orderBy("aging_days")
     upto = newest_first.rowsBetween(Window.unboundedPreceding, 0)
     run = aged.withColumns({"_q": F.sum("gr_qty").over(upto), "_v": F.sum("gr_value").over(upto)}).withColumns(
         {"_q_before": F.col("_q") - F.col("gr_qty"), "_v_before": F.col("_v") - F.col("gr_value")}
@@ -116,9 +116,12 @@ def fifo_aging(
     return one.unionByName(left)
 
 
-def aging_cluster(aged: DataFrame, group: list[str], site: str, old_from: str) -> DataFrame:
-    """How widely old stock is spread over the sites of a group: No, Local, Local - Regional, Regional."""
-    once = aged.groupBy(*group, site).agg(F.max((F.col("band_id") >= old_from).cast("int")).alias("_old"))
+def aging_cluster(aged: DataFrame, group: list[str], site: str, old_bands: list[str]) -> DataFrame:
+    """How widely old stock is spread over the sites of a group: No, Local, Local - Regional, Regional.
+
+    ``old_bands`` names the bands that count as old.
+    """
+    once = aged.groupBy(*group, site).agg(F.max(F.col("band_id").isin(*old_bands).cast("int")).alias("_old"))
     spread = once.groupBy(*group).agg(F.sum("_old").alias("_n_old"), F.count("*").alias("_n"))
     label = (
         F.when(F.col("_n_old") == 0, "No")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyloom.functions.numbers import exact_sum
 from tallyloom.operators.aggregates import zero_fill
 from tallyloom.sinks.tables import align_schema
 
@@ -74,13 +75,17 @@ def profile_log_row(profile: DataFrame, table: str, layer: str, proc_date: Colum
 def source_target_reconcile(source: DataFrame, target: DataFrame, columns: list[str], column_counts: tuple[int, int] | None = None) -> DataFrame:
     """Compare row counts, control totals and column counts; two empty sides agree.
 
-    Both sides are tagged and summed by one aggregate over their union.
+    Both sides are tagged and compared by one aggregate over their sums. Sums of fractional columns are taken as
+    decimals, so that they do not depend on the order of the rows.
     """
     n_source, n_target = column_counts or (len(source.columns), len(target.columns))
 
+    def total(df: DataFrame, c: str) -> Column:
+        return exact_sum(F.col(c)) if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)) else F.sum(c)
+
     def side(df: DataFrame, tag: int) -> DataFrame:
         return df.agg(
-            F.count("*").alias("n"), F.to_json(F.struct(*[F.sum(c).alias(c) for c in columns])).alias("sums")
+            F.count("*").alias("n"), F.to_json(F.struct(*[total(df, c).alias(c) for c in columns])).alias("sums")
         ).withColumn("side", F.lit(tag))
 
     both = side(source, 0).unionByName(side(target, 1))
@@ -138,8 +143,11 @@ def streamed_summary(audit_log: DataFrame, hubs: DataFrame, on: Column) -> DataF
 
 
 def landed_summary(landed: DataFrame, on: Column) -> DataFrame:
-    """Landed rows of a day per hub; ``landed`` is the union of the landed tables with a hub column."""
-    rows = landed.where(F.substring("proc_stamp", 1, 8) == on)
+    """Landed rows of a day per hub; ``landed`` is the union of the landed tables with a hub column.
+
+    The day is a prefix of the load stamp, a test that reaches the scan.
+    """
+    rows = landed.where(F.col("proc_stamp").startswith(on))
     return rows.groupBy("hub").agg(F.count("*").alias("landed_count")).withColumn("proc_date", on)
 
 

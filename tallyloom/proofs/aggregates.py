@@ -135,11 +135,37 @@ def agg_string_list(t):
     return counted.groupBy("l_suppkey").agg(F.array_join(F.sort_array(F.collect_list(entry)), ", ").alias("detail"))
 
 
-@proof("agg_percentile_approx")
+@proof(
+    "agg_percentile_approx",
+    "SELECT DISTINCT l_returnflag, true AS q25_within, true AS q50_within, true AS q75_within FROM lineitem",
+)
 def agg_percentile_approx(t):
-    return t.lineitem.groupBy("l_returnflag").agg(
-        *[F.percentile_approx("l_extendedprice", p, 10000).alias(f"q{int(p * 100)}") for p in (0.25, 0.5, 0.75)]
-    )
+    """The sketch is approximate by definition; what is proved is its bound: the share of values below the answer,
+    and of those up to it, enclose the wanted rank within 1 / accuracy and one row."""
+    wanted, accuracy = {"q25": 0.25, "q50": 0.5, "q75": 0.75}, 10_000
+    answers = t.lineitem.groupBy("l_returnflag").agg(*[F.percentile_approx("l_extendedprice", p, accuracy).alias(n) for n, p in wanted.items()])
+    ranked = t.lineitem.select("l_returnflag", "l_extendedprice").join(answers, "l_returnflag")
+
+    def share(condition):
+        return F.avg(condition.cast("int"))
+
+    price, slack = F.col("l_extendedprice"), F.lit(1 / accuracy) + F.lit(1.0) / F.count("*")
+    within = [((share(price < F.col(n)) <= p + slack) & (share(price <= F.col(n)) >= p - slack)).alias(f"{n}_within") for n, p in wanted.items()]
+    return ranked.groupBy("l_returnflag").agg(*within)
+
+
+@proof(
+    "agg_percentile_nulls",
+    """SELECT u, ROUND(quantile_cont(value, 0.5), 6) AS few, ROUND(quantile_cont(value, 0.5), 6) AS many
+       FROM (SELECT value, NULLIF(user_id % 7, 0) AS u FROM events) GROUP BY u""",
+)
+def agg_percentile_nulls(t):
+    """Both ways of the operator, with a group under a NULL key."""
+    rows = t.events.select(F.nullif(F.col("user_id") % 7, F.lit(0)).alias("u"), "value")
+    few = A.exact_percentiles(rows, ["u"], "value", {"few": 0.5}, few_values=True)
+    many = A.exact_percentiles(rows, ["u"], "value", {"many": 0.5}).withColumnRenamed("u", "w")
+    joined = few.join(many, F.col("u").eqNullSafe(F.col("w")))
+    return joined.select("u", r6(F.col("few")).alias("few"), r6(F.col("many")).alias("many"))
 
 
 @proof(

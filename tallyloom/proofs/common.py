@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyloom.functions.numbers import exact_sum, in_units
+from tallyloom.functions.numbers import exact_sum
 
 AS_OF = "2024-01-15"
 
@@ -20,7 +20,8 @@ def total(c: str | Column) -> Column:
 
 def net_total(price: str = "l_extendedprice", discount: str = "l_discount") -> Column:
     """Sum of price less discount; the product of two 2-decimal numbers has four decimals."""
-    return F.sum(in_units(F.col(price)) * (F.lit(100) - in_units(F.col(discount)))) / F.lit(10_000.0)
+    net = F.col(price).cast("decimal(18,2)") * (F.lit(1).cast("decimal(3,2)") - F.col(discount).cast("decimal(3,2)"))
+    return exact_sum(net, 4)
 
 
 def r6(c: Column) -> Column:

@@ -9,7 +9,7 @@ from tallyloom.operators.filters import valid_on
 from tallyloom.proofs.common import AS_OF, event_day, order_day, ship_day, sql_total, total
 from tallyloom.proofs.registry import proof
 from tallyloom.proofs.versions import USER_VERSIONS_SQL, user_versions
-from tallyloom.session import broadcast_if_small
+from tallyloom.session import broadcast_within
 from tallyloom.sources.constants import values
 
 
@@ -271,7 +271,7 @@ def jn_fallback_keys(t):
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1""",
 )
 def jn_broadcast_hint(t):
-    sites = broadcast_if_small(t.supplier.select("s_suppkey", "s_nationkey"))
+    sites = broadcast_within(t.supplier.select("s_suppkey", "s_nationkey"))
     joined = t.lineitem.join(sites, F.col("l_suppkey") == F.col("s_suppkey"))
     return joined.groupBy("s_nationkey").agg(F.count("*").alias("n"), total("l_extendedprice").alias("amount"))
 

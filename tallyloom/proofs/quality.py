@@ -7,7 +7,7 @@ from tallyloom.plans import incremental, quality
 from tallyloom.proofs.common import event_day, sql_total
 from tallyloom.proofs.registry import proof
 from tallyloom.sinks.tables import WriteStats
-from tallyloom.streaming.contracts import Contract, Rule, array_of, optional, validated
+from tallyloom.streaming.contracts import Contract, Rule, array_of, object_of, optional, validated
 
 
 @proof(
@@ -109,6 +109,44 @@ def dq_json_contract(t):
     return validated(hub_messages(t), HUB_CONTRACTS).select("event_id", "is_valid", "error")
 
 
+NESTED_CONTRACT = Contract(
+    {
+        "id": Rule(("number",)),
+        "site": object_of(Contract({"geo": object_of(Contract({"codes": array_of(Rule(("number", "null"))), "a.b": Rule(("string",))}, ("codes", "a.b"), closed=True))}, ("geo",))),
+    },
+    ("id", "site"),
+)
+
+
+@proof(
+    "dq_json_contract_nested",
+    """SELECT event_id, error IS NULL AS is_valid, error FROM (SELECT event_id, CASE event_type
+           WHEN 'click' THEN '''geo'' is a required property in site'
+           WHEN 'purchase' THEN '''a.b'' is a required property in site.geo | element is not of type ''number'', ''null'' in site.geo.codes[]'
+           WHEN 'signup' THEN '''site'' is not of type ''object'''
+           WHEN 'error' THEN '''a.b'' is not of type ''string'' in site.geo | Additional properties are not allowed: more in site.geo' END AS error FROM events)""",
+)
+def dq_json_contract_nested(t):
+    """Four levels: an object in an object, an array of scalars in it, a key that holds a dot."""
+    value, kind = F.col("value"), F.col("event_type")
+    geo = (
+        F.when(kind == "purchase", F.to_json(F.struct(F.array(F.lit("x"), F.lit("y")).alias("codes"))))
+        .when(kind == "error", F.to_json(F.struct(F.array(value).alias("codes"), F.lit(5).alias("a.b"), F.lit(1).alias("more"))))
+        .otherwise(F.concat(F.lit('{"codes":[null,'), value.cast("string"), F.lit('],"a.b":"ok"}')))
+    )
+    site = F.when(kind == "click", F.lit('{"x":1}')).when(kind == "signup", F.lit("[1]")).otherwise(F.concat(F.lit('{"geo":'), geo, F.lit("}")))
+    body = F.concat(F.lit('{"id":'), F.col("event_id").cast("string"), F.lit(',"site":'), site, F.lit("}"))
+    messages = t.events.select("event_id", F.lit("hub").alias("hub"), body.alias("json_str"))
+    return validated(messages, {"hub": NESTED_CONTRACT}).select("event_id", "is_valid", "error")
+
+
+@proof("dq_reconcile_doubles", "SELECT COUNT(*) AS source_count, COUNT(*) AS target_count, 'Passed' AS status FROM events")
+def dq_reconcile_doubles(t):
+    """The same fractional values in two orders have the same control total."""
+    source, target = t.events.orderBy("value").select("value"), t.events.orderBy(F.desc("event_id")).select("value")
+    return quality.source_target_reconcile(source, target, ["value"]).select("source_count", "target_count", "status")
+
+
 HUBS_SQL = "(SELECT DISTINCT event_type || '_hub' AS hub FROM events)"
 
 

@@ -87,7 +87,7 @@ def x_aging_clusters(t):
     stock, receipts = stock_and_receipts(t)
     aged = B.fifo_aging(stock, receipts, ["l_partkey"], STOCK_DAY, BANDS, "7")
     wide = aged.join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand", "p_size"), "l_partkey")
-    clusters = B.aging_cluster(wide, ["p_type", "p_brand"], "l_partkey", "5")
+    clusters = B.aging_cluster(wide, ["p_type", "p_brand"], "l_partkey", [b[0] for b in BANDS if b[0] >= "5"] + ["7"])
     life = B.remaining_shelf_life(F.col("p_size") * 10, F.when(F.col("p_size") > 25, "VN").otherwise("XX"), F.col("aging_days"), 0.75, 0.63)
     return wide.join(clusters, ["p_type", "p_brand"]).groupBy("aging_cluster", "band_id").agg(
         F.count("*").alias("n"), F.round(F.sum(life), 3).alias("days_left")

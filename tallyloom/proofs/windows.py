@@ -161,7 +161,7 @@ def win_topn_quota(t):
     kinds = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_type")
     sold = t.lineitem.join(kinds, "l_partkey").groupBy("p_type", "l_partkey").agg(total("l_quantity").alias("qty"))
     quotas = values(t.spark, [("PROMO", 5), ("LARGE", 3), ("SMALL", 12)], "p_type string, quota int")
-    kept = N.top_by_quota(sold.join(quotas, "p_type"), ["p_type"], [F.desc("qty"), F.asc("l_partkey")], "quota", largest=12)
+    kept = N.top_by_quota(sold.join(quotas, "p_type"), ["p_type"], [F.desc("qty"), F.asc("l_partkey")], "quota")
     return kept.select("p_type", "l_partkey", "qty")
 
 
@@ -189,3 +189,67 @@ def win_qualify(t):
     several = per_day.groupBy("user_id").agg(F.count("*").alias("_n")).where("_n > 1").select("user_id")
     best = N.pick_first(per_day, ["user_id"], [F.desc("value"), F.asc("event_id")], n=3)
     return best.join(several, "user_id", "left_semi").select("user_id", "event_id", "event_type")
+
+
+# --- rows under a NULL key are a group of their own -------------------------------------------
+
+NULL_USER = "NULLIF(user_id % 7, 0)"
+
+
+def events_with_null_users(t):
+    user = F.nullif(F.col("user_id") % 7, F.lit(0)).alias("u")
+    return t.events.select("event_id", user, "ts", event_day().alias("calday"), "event_type", F.col("value").cast("decimal(18,2)").alias("v"))
+
+
+@proof(
+    "win_running_total_nulls",
+    f"""SELECT event_id, u, CAST(SUM(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY u ORDER BY ts, event_id
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running FROM (SELECT *, {NULL_USER} AS u FROM events)""",
+)
+def win_running_total_nulls(t):
+    out = N.running_sum(events_with_null_users(t), ["u"], "calday", ["ts", "event_id"], "v", "running")
+    return out.select("event_id", "u", F.col("running").cast("double").alias("running"))
+
+
+@proof(
+    "win_lag_lead_nulls",
+    f"""SELECT event_id, u, LAG(event_type) OVER w AS prev_type, LEAD(event_id) OVER w AS next_event
+        FROM (SELECT *, {NULL_USER} AS u FROM events) WINDOW w AS (PARTITION BY u ORDER BY ts, event_id)""",
+)
+def win_lag_lead_nulls(t):
+    out = N.neighbours(
+        events_with_null_users(t), ["u"], "calday", ["ts", "event_id"], previous={"prev_type": "event_type"}, following={"next_event": "event_id"}
+    )
+    return out.select("event_id", "u", "prev_type", "next_event")
+
+
+@proof(
+    "win_share_nulls",
+    f"""SELECT event_id, u, ROUND(CAST(v AS DOUBLE) / NULLIF(CAST(SUM(v) OVER (PARTITION BY u) AS DOUBLE), 0), 6) AS share
+        FROM (SELECT event_id, {NULL_USER} AS u, CAST(value AS DECIMAL(18,2)) AS v FROM events)""",
+)
+def win_share_nulls(t):
+    shared = N.share_of_total(events_with_null_users(t), ["u"], "v", "share")
+    return shared.select("event_id", "u", r6(F.try_divide(F.col("v").cast("double"), F.col("total").cast("double"))).alias("share"))
+
+
+@proof(
+    "win_best_nulls",
+    f"SELECT event_id, u, event_type FROM (SELECT *, {NULL_USER} AS u FROM events) QUALIFY RANK() OVER (PARTITION BY u ORDER BY event_type) = 1",
+)
+def win_best_nulls(t):
+    return N.keep_best(events_with_null_users(t), ["u"], "event_type").select("event_id", "u", "event_type")
+
+
+@proof(
+    "win_topn_wide_quota",
+    f"""WITH s AS (SELECT p_type, l_partkey, {sql_total("l_quantity")} AS qty FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)
+        SELECT p_type, l_partkey, qty FROM s JOIN (VALUES ('PROMO', 2), ('LARGE', 100000)) q(type, quota) ON p_type = q.type
+        QUALIFY ROW_NUMBER() OVER (PARTITION BY p_type ORDER BY qty DESC, l_partkey) <= quota""",
+)
+def win_topn_wide_quota(t):
+    kinds = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_type")
+    sold = t.lineitem.join(kinds, "l_partkey").groupBy("p_type", "l_partkey").agg(total("l_quantity").alias("qty"))
+    quotas = values(t.spark, [("PROMO", 2), ("LARGE", 100_000)], "p_type string, quota int")
+    kept = N.top_by_quota(sold.join(quotas, "p_type"), ["p_type"], [F.desc("qty"), F.asc("l_partkey")], "quota")
+    return kept.select("p_type", "l_partkey", "qty")

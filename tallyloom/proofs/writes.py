@@ -65,6 +65,15 @@ def wr_replace_where(t):
     return t.spark.read.parquet(path).select("calday", "event_type", "n", "v")
 
 
+@proof("wr_replace_where_empty", f"SELECT calday, event_type, n, v FROM ({DAILY_SQL}) WHERE calday <> DATE '{AS_OF}'")
+def wr_replace_where_empty(t):
+    """An empty batch leaves its day empty and the other days alone."""
+    path = fresh_dir(t.spark, "where")
+    W.replace_days(daily(t), path, "calday")
+    W.replace_where(daily(t).where(F.lit(False)), path, "calday", date.fromisoformat(AS_OF))
+    return t.spark.read.parquet(path).select("calday", "event_type", "n", "v")
+
+
 ORDERS_A = f"CAST(o_orderdate AS DATE) <= DATE '{SPLIT}'"
 ORDERS_B = "CAST(o_orderdate AS DATE) > DATE '1998-03-31'"
 

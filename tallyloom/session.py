@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,12 +34,15 @@ def build_session(app: str = "tallyloom", master: str | None = None, **conf: str
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written intermediates.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where neither that nor a checkpoint folder is
-    set (local tests) a temporary folder is made, and kept as the session's checkpoint folder.
+    A cluster names it in ``spark.checkpoint.dir``; without it there is no folder that all executors see, which
+    is an error. Only in local mode (one process, as in tests) a temporary folder is made, and kept as the session's
+    checkpoint folder.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyloom-"))
         root = context.getCheckpointDir()
     return root
@@ -49,26 +53,26 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` holds no more than ``max_rows`` rows; reads at most one row beyond that."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def broadcast_days(df: DataFrame, column: str) -> DataFrame:
     """Broadcast the distinct days of a date column: a calendar, so a few thousand rows at most.
 
-    The comparison holds for every day; it tells the optimizer that the days may be used to prune the
-    partitions of the other side at run time.
+    The comparison holds for every day of the last twelve thousand years; NULL days, which match nothing, are all that it takes
+    out. It tells the optimizer that the days may be used to prune the partitions of the other side at run time.
     """
     if df.schema[column].dataType != DateType():
         raise TypeError(f"{column} is not a date")
-    days = df.where(F.col(column) >= F.lit("0001-01-01").cast("date"))
+    days = df.where(F.col(column) >= F.lit("-9999-01-01").cast("date"))
     return F.broadcast(days.select(column).distinct())
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` when its row count is proven small, else leave the choice to AQE."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+def broadcast_within(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
+    """Ask for a broadcast of ``df`` if the optimizer's estimate of its size is within ``max_bytes``.
+
+    Only the estimate is read, nothing is run. It fits scans with filters and projections; a frame whose rows multiply
+    on the way is better left to adaptive execution.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size <= max_bytes else df
 
 
 def file_system(spark: SparkSession, path: str):

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType
 
 from tallyloom.operators.sets import union_by_name
-from tallyloom.session import broadcast_days, broadcast_if_small, file_system, has_at_most, path_exists
+from tallyloom.session import broadcast_days, file_system, path_exists
 
 ACTION = "_action"
 
@@ -97,14 +97,25 @@ def replace_days(df: DataFrame, path: str, by: str | list[str], operation: str =
 
 
 def replace_where(df: DataFrame, path: str, column: str, value) -> WriteStats:
-    """Overwrite the one partition ``column = value``; the batch must hold no other value."""
+    """Overwrite the one partition ``column = value``; the batch must hold no other value.
+
+    An empty batch empties the partition.
+    """
     checked = df.withColumn(
         column,
         F.when(F.col(column) == F.lit(value), F.col(column)).otherwise(
             F.raise_error(F.lit(f"row outside {column} = {value}")).cast(df.schema[column].dataType)
         ),
     )
-    return replace_days(checked, path, column, "replace_where")
+    return _cleared_if_empty(replace_days(checked, path, column, "replace_where"), df.sparkSession, column, value)
+
+
+def _cleared_if_empty(stats: WriteStats, spark: SparkSession, column: str, value) -> WriteStats:
+    """Dynamic overwrite leaves partitions alone that receive no row; this removes the one that should be empty."""
+    if not stats.inserted:
+        fs, folder = file_system(spark, f"{stats.table.rstrip('/')}/{column}={value}")
+        fs.delete(folder, True)
+    return stats
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> WriteStats:
@@ -117,7 +128,7 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> W
 def append_history(df: DataFrame, path: str, on, day_column: str = "calday") -> WriteStats:
     """One full copy per day; a second run of the day replaces that day's copy."""
     stamped = df.withColumn(day_column, F.lit(str(on)).cast("date"))
-    return replace_days(stamped, path, day_column, "history")
+    return _cleared_if_empty(replace_days(stamped, path, day_column, "history"), df.sparkSession, day_column, on)
 
 
 def append_evolving(df: DataFrame, path: str) -> WriteStats:
@@ -145,12 +156,13 @@ def write_dated(df: DataFrame, path: str, parts: tuple[str, ...] = ("yyyy", "mm"
     return _stats(path, "append_dated", obs)
 
 
-def write_single_file(df: DataFrame, path: str, max_rows: int = 1_000_000) -> WriteStats:
-    """One snappy file, for small extracts. Larger data keeps its tasks and gets files of ``max_rows`` each."""
-    small = has_at_most(df, max_rows)
+def write_single_file(df: DataFrame, path: str) -> WriteStats:
+    """Append one snappy file, whatever the size: for extracts that someone wants as one file.
+
+    The plan keeps its tasks up to a last shuffle; the one task after it only writes.
+    """
     out, obs = _observed(df)
-    writer = (out.coalesce(1) if small else out).write.mode("append").option("compression", "snappy")
-    writer.option("maxRecordsPerFile", max_rows).parquet(path)
+    out.repartition(1).write.mode("append").option("compression", "snappy").parquet(path)
     return _stats(path, "single_file", obs)
 
 
@@ -174,12 +186,15 @@ def _touched(target: DataFrame, batch: DataFrame, day: str | None) -> DataFrame:
 
 
 def _batch_keys(batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct keys of a batch, broadcast when they are proven few.
+    """Distinct keys of a batch. Whether they are few enough for a broadcast, so that the target is only streamed
+    past them, is left to Spark's own size check before and during the run."""
+    return batch.select(*keys).distinct()
 
-    Then the target is only streamed past them and not shuffled, which is the usual case of a small
-    batch and a large table; with many keys Spark joins the two by shuffle.
-    """
-    return broadcast_if_small(batch.select(*keys).distinct(), 500_000)
+
+def _check_day(keys: list[str], day: str | None) -> None:
+    """A key must not be able to move between partitions: only the batch's days are looked at."""
+    if day is not None and day not in keys:
+        raise ValueError(f"the partition column {day} must be one of the keys")
 
 
 def _hits(target: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
@@ -193,6 +208,7 @@ def replace_keys(df: DataFrame, path: str, keys: list[str], day: str | None = No
     With ``day`` (part of the key, and the table's partition column) only the batch's days are read
     and rewritten.
     """
+    _check_day(keys, day)
     target = read_table(df.sparkSession, path)
     if target is None:
         return _write_back(df, path, day, "replace_keys")
@@ -202,7 +218,8 @@ def replace_keys(df: DataFrame, path: str, keys: list[str], day: str | None = No
 
 
 def insert_absent(df: DataFrame, path: str, keys: list[str], day: str | None = None) -> WriteStats:
-    """Append the batch rows whose key the target lacks; with ``day`` only its days are probed."""
+    """Append the batch rows whose key the target lacks; with ``day``, one of the keys, only its days are probed."""
+    _check_day(keys, day)
     target = read_table(df.sparkSession, path)
     fresh = df
     if target is not None:
@@ -214,7 +231,15 @@ def insert_absent(df: DataFrame, path: str, keys: list[str], day: str | None = N
 
 
 def upsert(df: DataFrame, path: str, keys: list[str], day: str | None = None) -> WriteStats:
-    """Update every column of matched keys and insert the rest. Batch keys must be unique."""
+    """Update every column of matched keys and insert the rest.
+
+    A batch with the same key twice is an error, as it is for MERGE. With ``day`` (one of the keys, and the table's
+    partition column) only the batch's days are read and rewritten.
+    """
+    _check_day(keys, day)
+    twice = df.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n").first()
+    if twice is not None:
+        raise ValueError(f"key {tuple(twice)} occurs more than once in the batch")
     target = read_table(df.sparkSession, path)
     if target is None:
         return _write_back(df, path, day, "upsert")

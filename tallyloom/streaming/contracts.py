@@ -30,10 +30,19 @@ STAMP = "datetime"  # a 14-digit text stamp
 
 @dataclass(frozen=True)
 class Rule:
-    """Allowed types of one key; ``items`` is the contract of an array's elements."""
+    """Allowed types of one key.
+
+    ``inside`` is the contract of a nested object; ``items`` is the rule of an array's elements (a contract there stands
+    for objects under it).
+    """
 
     types: tuple[str, ...]
-    items: Contract | None = None
+    items: Contract | Rule | None = None
+    inside: Contract | None = None
+
+    @property
+    def element(self) -> Rule | None:
+        return Rule(("object",), inside=self.items) if isinstance(self.items, Contract) else self.items
 
 
 @dataclass(frozen=True)
@@ -47,10 +56,14 @@ def optional(kind: str) -> Rule:
     return Rule((kind, "null"))
 
 
-def array_of(items: Contract) -> Rule:
+def array_of(items: Contract | Rule) -> Rule:
     return Rule(("array",), items)
 
 
+def object_of(inside: Contract) -> Rule:
+    return Rule(("object",), inside=inside)
+
+
 def _type_of(v: Column) -> Column:
     return F.when(F.is_variant_null(v), "VOID").otherwise(F.schema_of_variant(v))
 
@@ -73,11 +86,12 @@ def _no_text() -> Column:
 
 
 def _errors(v: Column, contract: Contract, path: str = "") -> Column:
-    """Array of the error texts of one object; ``path`` names the array it lies in."""
+    """Array of the error texts of one object; ``path`` names the object or array it lies in."""
     where = f" in {path}" if path else ""
 
     def member(name: str, kind: str = "variant") -> Column:
-        return F.try_variant_get(v, f"$.{name}", kind)
+        quoted = name.replace("\\", "\\\\").replace("'", "\\'")
+        return F.try_variant_get(v, f"$['{quoted}']", kind)
 
     found = [
         F.when(member(name).isNull(), F.lit(f"'{name}' is a required property{where}")) for name in contract.required
@@ -94,13 +108,35 @@ def _errors(v: Column, contract: Contract, path: str = "") -> Column:
         text = F.concat(F.lit("Additional properties are not allowed: "), F.array_join(extra, ", "), F.lit(where))
         out = F.concat(out, F.when(F.size(extra) > 0, F.array(text)).otherwise(_no_text()))
     for name, rule in contract.properties.items():
-        if rule.items is not None:
-            inside = partial(_errors, contract=rule.items, path=f"{path}.{name}[]" if path else f"{name}[]")
+        at = f"{path}.{name}" if path else name
+        if rule.inside is not None:
+            out = F.concat(out, _inner(member(name), rule.inside, at))
+        if rule.element is not None:
+            inside = partial(_element_errors, rule=rule.element, path=f"{at}[]")
             elements = F.coalesce(member(name, "array<variant>"), F.array().cast("array<variant>"))
             out = F.concat(out, F.array_distinct(F.flatten(F.transform(elements, lambda e: inside(e)))))
     return out
 
 
+def _inner(v: Column, contract: Contract, path: str) -> Column:
+    """Errors of a nested object; another type than object is its rule's business."""
+    is_object = F.try_variant_get(v, "$", _READ_AS["object"]).isNotNull()
+    return F.when(is_object, _errors(v, contract, path)).otherwise(_no_text())
+
+
+def _element_errors(v: Column, rule: Rule, path: str) -> Column:
+    """Errors of an array's element: its type, then what is inside it."""
+    allowed = ", ".join(f"'{t}'" for t in rule.types)
+    wrong = F.when(_fits(v, rule), _no_text()).otherwise(F.array(F.lit(f"element is not of type {allowed} in {path}")))
+    if rule.inside is not None:
+        wrong = F.concat(wrong, _inner(v, rule.inside, path))
+    if rule.element is not None:
+        inside = partial(_element_errors, rule=rule.element, path=f"{path}[]")
+        elements = F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array().cast("array<variant>"))
+        wrong = F.concat(wrong, F.array_distinct(F.flatten(F.transform(elements, lambda e: inside(e)))))
+    return wrong
+
+
 def _verdict(v: Column, contract: Contract) -> Column:
     errors = F.array_join(_errors(v, contract), " | ")
     text = (
@@ -154,8 +190,9 @@ def contract_from_schema(schema: dict, definitions: dict | None = None) -> Contr
         part = resolve(part)
         kind = part.get("type", [*_REPORTED, *_READ_AS])
         types = (kind,) if isinstance(kind, str) else tuple(kind)
+        inner = contract_from_schema(part, definitions)
         items = part.get("items")
-        return Rule(types, contract_from_schema(resolve(items), definitions) if items else None)
+        return Rule(types, rule(items) if items else None, inner if inner != Contract() else None)
 
     return Contract(
         {name: rule(part) for name, part in schema.get("properties", {}).items()},

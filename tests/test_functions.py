@@ -16,7 +16,7 @@ def test_strip_zeros(spark, raw, want):
     assert one(spark, text.strip_zeros(F.col("s")), s=raw) == want
 
 
-@pytest.mark.parametrize("raw, want", [("007", "7"), ("12.0", "12"), ("12.5", "12.5"), ("x1", "x1"), ("0", "0"), ("9" * 30, "9" * 30)])
+@pytest.mark.parametrize("raw, want", [("007", "7"), ("12.0", "12"), ("12.5", "12.5"), ("x1", "x1"), ("0", "0"), ("9" * 30, "9" * 30), ("9007199254740993.0", "9007199254740993"), ("000", "0"), ("0.0", "0"), ("1.", "1.")])
 def test_normalize_numeric_text(spark, raw, want):
     assert one(spark, text.normalize_numeric_text(F.col("s")), s=raw) == want
 
