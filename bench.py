@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -41,6 +42,7 @@ def main() -> None:
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "12g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tallyloom-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -90,8 +90,10 @@ def _errors(v: Column, contract: Contract, path: str = "") -> Column:
     where = f" in {path}" if path else ""
 
     def member(name: str, kind: str = "variant") -> Column:
-        quoted = name.replace("\\", "\\\\").replace("'", "\\'")
-        return F.try_variant_get(v, f"$['{quoted}']", kind)
+        for quote in "'\"":
+            if quote not in name and "?" not in name:
+                return F.try_variant_get(v, f"$[{quote}{name}{quote}]", kind)
+        return F.try_variant_get(F.try_variant_get(v, "$", _READ_AS["object"])[name], "$", kind)
 
     found = [
         F.when(member(name).isNull(), F.lit(f"'{name}' is a required property{where}")) for name in contract.required

@@ -157,3 +157,11 @@ def test_exact_percentiles_with_negative_and_far_values(spark):
     for p in (0.0, 0.1, 0.33, 0.5, 0.9, 1.0):
         want = df.agg(F.percentile("v", F.lit(p))).first()[0]
         assert abs(A.exact_percentiles(df, [], "v", {"m": p}).first()["m"] - want) <= 1e-9 * max(1.0, abs(want))
+
+
+def test_exact_sum_of_large_totals(spark):
+    from tallyloom.functions.numbers import exact_sum
+
+    big = spark.range(100).select(F.lit(9.0e15).alias("v"))
+    assert big.agg(exact_sum(F.col("v"), 2)).first()[0] == 9.0e17
+    assert spark.createDataFrame([(0.123,), (0.004,)], "v double").agg(exact_sum(F.col("v"))).first()[0] == 0.127

@@ -99,3 +99,25 @@ def test_batch_days_prune_the_target_scan(spark, path):
     spark.createDataFrame(SECOND, "day date, k int, v string").write.parquet(path + "-batch")
     touched = W._touched(spark.read.parquet(path), spark.read.parquet(path + "-batch"), "day")
     assert "dynamicpruning" in touched._jdf.queryExecution().executedPlan().toString()
+
+
+def test_empty_batches_clear_their_day(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    W.replace_days(frame(spark, [(D1, 1, "a"), (D2, 2, "b")]), path, "day")
+    W.replace_where(frame(spark, []), path, "day", D1)
+    assert {r["k"] for r in spark.read.parquet(path).collect()} == {2}
+
+
+def test_repeated_or_movable_keys_are_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for write in (W.upsert, W.replace_keys, W.insert_absent):
+        with pytest.raises(ValueError, match="must be one of the keys"):
+            write(frame(spark, FIRST), path, ["k"], "day")
+    with pytest.raises(ValueError, match="more than once"):
+        W.upsert(frame(spark, [(D1, 1, "a"), (D1, 1, "b")]), path, ["day", "k"])
+
+
+def test_one_file_whatever_the_size(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert W.write_single_file(spark.range(1000).repartition(7), path).inserted == 1000
+    assert len(spark.read.parquet(path).inputFiles()) == 1

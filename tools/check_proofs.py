@@ -10,6 +10,7 @@ import datetime
 import decimal
 import os
 import sys
+import tempfile
 import time
 import traceback
 
@@ -74,7 +75,8 @@ def main() -> int:
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "12g",
-            "spark.sql.warehouse.dir": "/tmp/tallyloom-warehouse",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tallyloom-"),
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tallyloom-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
