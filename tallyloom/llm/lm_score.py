@@ -28,6 +28,8 @@ from tallyloom.llm import recurrent
 from tallyloom.llm.common import ROW, map_batches, schema_of, written
 
 LOOKUP_WORDS, HEAD_WORDS, CLASSES, BUCKETS, HIDDEN = 300_000, 1_000, 32, 32, 16
+#: Documents of about so many tokens are scored together: enough to keep all lanes busy beside a long document.
+GROUP_TOKENS = 4_000_000
 #: A round per entry: of 16 equal shares of the training documents, those it learns from; and its step size.
 SHARES, RATES = ((0,), (1,), (2,)), (0.01, 0.005, 0.002)
 
@@ -145,26 +147,33 @@ def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Reco
     index, number = model.index(), TaskContext.get().partitionId() << 40
     log_count = np.log10(model.counts + 0.5)
     room = np.log10(model.tail_room)
-    tail_type = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int32())]))
     head = model.shape.head
     for batch in batches:
-        texts = batch.column(1).cast(pa.binary())
-        for a in range(0, batch.num_rows, 2000):
-            documents, out, tails = [], [], []
-            for i in range(a, min(a + 2000, batch.num_rows)):
+        texts, begin = batch.column(1).cast(pa.binary()), 0
+        while begin < batch.num_rows:
+            documents, out, words_out, times_out, ends = [], [], [], [], [0]
+            held = 0
+            for i in range(begin, batch.num_rows):
                 at, tokens, missing = _numbered(model, index, texts[i].as_py() or b"")
                 found = at[at >= 0]
                 logs = log_count[found]
-                in_tail = tokens >= head
                 base = float(logs.sum()) + math.log10(model.end_count + 0.5)
-                own = float(logs[model.tokens[found] >= head].sum()) - float(room[tokens[in_tail] - head].sum())
+                own = float(logs[model.tokens[found] >= head].sum()) - float(room[tokens[tokens >= head] - head].sum())
+                times = Counter(missing)
+                words_out += times.keys()
+                times_out += times.values()
+                ends.append(len(words_out))
                 documents.append(tokens)
-                tails.append([{"word": w, "times": k} for w, k in Counter(missing).items()])
                 out.append((number + i, len(tokens), len(found) + (model.end_count > 0), base, own))
+                held += len(tokens)
+                if held >= GROUP_TOKENS:
+                    break
             likelihood = recurrent.score(model.shape, model.flat, documents) / math.log(10)
             rows, n, known, base, own = (np.array(c) for c in zip(*out, strict=True))
-            arrays = [pa.array(rows), pa.array(n), pa.array(known), pa.array(base), pa.array(own + likelihood), pa.array(tails, tail_type)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, len(out)), *arrays], names=[ROW, "row_no", "n_tokens", "n_known", "base", "model", "tail"])
+            pairs = pa.StructArray.from_arrays([pa.array(words_out, pa.binary()), pa.array(times_out, pa.int32())], names=["word", "times"])
+            arrays = [pa.array(rows), pa.array(n), pa.array(known), pa.array(base), pa.array(own + likelihood), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(out)), *arrays], names=[ROW, "row_no", "n_tokens", "n_known", "base", "model", "tail"])
+            begin += len(out)
         number += batch.num_rows
 
 

@@ -12,8 +12,8 @@ import heapq
 
 import numpy as np
 
-#: Steps that gradients go back; documents run side by side in training.
-WINDOW, TRAIN_LANES, SCORE_LANES = 32, 64, 256
+#: Steps that gradients go back; lanes that run side by side in training and scoring; longest run of a lane in training.
+WINDOW, TRAIN_LANES, SCORE_LANES, SEGMENT = 32, 96, 384, 1024
 
 
 class Shape:
@@ -86,7 +86,11 @@ def _states(shape: Shape, p: dict, seen: np.ndarray, state: np.ndarray, keep: li
     for t in range(len(seen)):
         before = state * fresh[t]
         back = before @ p["recur"]
-        gates = 1 / (1 + np.exp(-(fed[t, :, : 2 * h] + back[:, : 2 * h])))
+        gates = fed[t, :, : 2 * h] + back[:, : 2 * h]
+        np.negative(gates, out=gates)
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
         z, r = gates[:, :h], gates[:, h:]
         q = back[:, 2 * h :]
         n = np.tanh(fed[t, :, 2 * h :] + r * q)
@@ -97,27 +101,29 @@ def _states(shape: Shape, p: dict, seen: np.ndarray, state: np.ndarray, keep: li
     return out, state
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
+def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log probability of one column per row; also the exponentials (in place of ``x``) and their sums."""
     x -= x.max(axis=1, keepdims=True)
+    wanted = x[np.arange(len(at)), at]
     np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
-    return x
+    total = x @ np.ones(x.shape[1], x.dtype)
+    return wanted - np.log(total), x, total
 
 
 def _outputs(shape: Shape, p: dict, hidden: np.ndarray, target: np.ndarray, slope: dict | None):
     """Natural log probability of each target; with ``slope``, gradients of the mean loss are added there and returned for ``hidden``."""
     n, kind = len(target), shape.class_of[target]
-    prob = _softmax(hidden @ p["to_class"] + p["class_bias"])
-    rows = np.arange(n)
-    logp = np.log(np.maximum(prob[rows, kind], 1e-30))
+    scores = hidden @ p["to_class"]
+    scores += p["class_bias"]
+    logp, prob, total = _log_softmax_at(scores, kind)
     back = None
     if slope is not None:
-        prob[rows, kind] -= 1
-        prob /= n
+        prob /= total[:, None] * n
+        prob[np.arange(n), kind] -= 1 / n
         slope["to_class"] += hidden.T @ prob
         slope["class_bias"] += prob.sum(axis=0)
         back = prob @ p["to_class"].T
-    order = np.argsort(kind, kind="stable")
+    order = np.argsort(kind.astype(np.uint16), kind="stable")  # a radix sort
     cuts = np.searchsorted(kind[order], np.arange(len(shape.bounds)))
     for c in range(len(shape.bounds) - 1):
         low, high = shape.bounds[c], shape.bounds[c + 1]
@@ -125,12 +131,14 @@ def _outputs(shape: Shape, p: dict, hidden: np.ndarray, target: np.ndarray, slop
             continue
         at = order[cuts[c] : cuts[c + 1]]
         mine = hidden[at]
-        prob = _softmax(mine @ p["to_word"][:, low:high] + p["word_bias"][low:high])
-        rows, word = np.arange(len(at)), target[at] - low
-        logp[at] += np.log(np.maximum(prob[rows, word], 1e-30))
+        scores = mine @ p["to_word"][:, low:high]
+        scores += p["word_bias"][low:high]
+        word = target[at] - low
+        inside, prob, total = _log_softmax_at(scores, word)
+        logp[at] += inside
         if slope is not None:
-            prob[rows, word] -= 1
-            prob /= n
+            prob /= total[:, None] * n
+            prob[np.arange(len(at)), word] -= 1 / n
             slope["to_word"][:, low:high] += mine.T @ prob
             slope["word_bias"][low:high] += prob.sum(axis=0)
             back[at] += prob @ p["to_word"][:, low:high].T
@@ -165,8 +173,13 @@ class Trainer:
         self.first, self.second, self.steps = np.zeros_like(self.flat), np.zeros_like(self.flat), 0
 
     def learn(self, documents: list[np.ndarray]) -> int:
-        """One pass over documents; returns the number of tokens."""
+        """One pass over documents; returns the number of tokens.
+
+        Documents of over ``SEGMENT`` tokens are learned from in segments that start from a zero state, so that one
+        long document does not keep a single lane running.
+        """
         shape, h = self.shape, self.shape.hidden
+        documents = [d[a : a + SEGMENT] for d in documents for a in range(0, len(d), SEGMENT)]
         if not documents:
             return 0
         tokens, _ = laid_out(documents, TRAIN_LANES)
@@ -193,7 +206,10 @@ class Trainer:
                 g["recur"] += before.T @ pre
                 carried = (d * z + pre @ p["recur"].T) * (fed[t] != 0)[:, None]
                 inputs[t, :, :h], inputs[t, :, h : 2 * h], inputs[t, :, 2 * h :] = dz, dr, dn
-            np.add.at(g["embed"], fed.reshape(-1), inputs.reshape(-1, 3 * h))
+            seen_at = fed.reshape(-1)
+            order = np.argsort(seen_at, kind="stable")
+            begins = np.flatnonzero(np.diff(seen_at[order], prepend=-1))
+            g["embed"][seen_at[order][begins]] = np.add.reduceat(inputs.reshape(-1, 3 * h)[order], begins, axis=0)
             self._step(grad)
         return int((tokens >= 0).sum())
 
