@@ -58,21 +58,23 @@ def fingerprint(text: bytes, words_per_shingle: int) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
-def _fingerprints(batches: Iterator[pa.RecordBatch], words_per_shingle: int) -> Iterator[pa.RecordBatch]:
+def _fingerprints(batches: Iterator[pa.RecordBatch], shingles: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(1).cast(pa.binary())
-        found = np.fromiter((fingerprint(t.as_py() or b"", words_per_shingle) for t in texts), np.uint64, len(texts))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=[ROW, "fp"])
+        found = np.array([[fingerprint(t.as_py() or b"", n) for n in shingles] for t in texts], np.uint64).reshape(-1, len(shingles))
+        columns = [pa.array(np.ascontiguousarray(found[:, i]).view(np.int64)) for i in range(len(shingles))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[ROW, *[f"fp{i}" for i in range(len(shingles))]])
 
 
-def with_fingerprints(docs: DataFrame, text_col: str = "text", words_per_shingle: int = 3, keep: list[str] | None = None) -> DataFrame:
-    """Rows as ``doc`` (all columns, or those in ``keep``) with their fingerprint ``fp`` as a signed long.
+def with_fingerprints(docs: DataFrame, text_col: str = "text", shingles: tuple[int, ...] = (3,), keep: list[str] | None = None) -> DataFrame:
+    """Rows as ``doc`` (all columns, or those in ``keep``) with a fingerprint ``fp0``, ``fp1``, .. (signed long) per shingle length.
 
     A null text counts as empty.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias(ROW)
     rows = docs.select(row, F.col(f"`{text_col}`").alias("text"))
-    return map_batches(rows, lambda b: _fingerprints(b, words_per_shingle), f"{schema_of(rows.select(ROW))}, fp: long")
+    columns = "".join(f", fp{i}: long" for i in range(len(shingles)))
+    return map_batches(rows, lambda b: _fingerprints(b, shingles), f"{schema_of(rows.select(ROW))}{columns}")
 
 
 def _signed(value: int) -> int:
@@ -161,18 +163,23 @@ def with_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Rows with equal fingerprints are linked by having one fingerprint; everything but the last join works on
     distinct fingerprints. That join is left to adaptive skew handling, as one fingerprint may hold many rows.
     """
-    found = with_fingerprints(docs, text_col, words_per_shingle, keep or [id_col])
+    found = with_fingerprints(docs, text_col, (words_per_shingle,), keep or [id_col]).withColumnRenamed("fp0", "fp")
     rows = written(found.withColumn("row_no", F.monotonically_increasing_id()), "simhash-rows")
     return rows.join(_classified(rows, id_col).drop("keep_row"), "fp").select(ROW, "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 5) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingles: tuple[int, ...] = (5,)) -> DataFrame:
     """One row of each component, the one with the smallest id, with the columns it came with.
 
-    The rows that go are found from narrow rows; the wide ones meet only their numbers.
+    With several shingle lengths a row goes if it is not the first of its component by some of them; as all agree on which
+    row is first, what a row was close to stays, or something close to that in turn. The rows that go are found from
+    narrow rows; the wide ones meet only their numbers.
     """
-    found = with_fingerprints(docs, text_col, words_per_shingle)
+    found = with_fingerprints(docs, text_col, shingles)
     rows = written(found.withColumn("row_no", F.monotonically_increasing_id()), "simhash-rows")
-    narrow = rows.select(F.struct(F.col(ROW)[id_col].alias(id_col)).alias(ROW), "fp", "row_no")
-    going = narrow.join(_classified(narrow, id_col), "fp").where("row_no <> keep_row").select("row_no")
-    return unwrapped(rows.join(written(going, "simhash-going"), "row_no", "left_anti"))
+    going = None
+    for i in range(len(shingles)):
+        narrow = rows.select(F.struct(F.col(ROW)[id_col].alias(id_col)).alias(ROW), F.col(f"fp{i}").alias("fp"), "row_no")
+        more = narrow.join(_classified(narrow, id_col), "fp").where("row_no <> keep_row").select("row_no")
+        going = more if going is None else going.unionByName(more)
+    return unwrapped(rows.join(written(going.distinct(), "simhash-going"), "row_no", "left_anti"))

@@ -480,3 +480,58 @@ class TestLanguageModel:
 
 def test_rows_go_through_unchanged(docs):
     assert unwrapped(language_id.with_language(docs, language_id.Filter([], __import__("numpy").zeros(4096, "uint64")))).dtypes == docs.dtypes
+
+
+class TestPipeline:
+    def test_against_a_plain_version(self, spark, tmp_path):
+        """Every stage on the rows that its predecessor kept, against loops over all pairs."""
+        import xxhash
+        from tokenizers import Tokenizer
+
+        import corpus_pipeline
+
+        item = "one two three four five six seven eight nine ten eleven twelve"
+        texts = [(i, prose(1000 + i, 60)) for i in range(40)]
+        texts += [(100, texts[3][1].upper()), (101, texts[3][1]), (102, f"{prose(7, 30)} {item} {prose(8, 9)}"), (103, None), (104, "12 %% 7")]
+        texts += [(105, prose(50, 2500)), (106, prose(50, 2500) + " tion"), (107, prose(51, 4000) + " end"), (108, prose(51, 4000)), (40, prose(1, 12))]
+        spark.createDataFrame([(i, t, "en" if i % 2 else "fr", "s", len(t or "")) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+        spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+
+        keep = {i: t for i, t in texts if t and any(map(str.isalpha, t))}
+        last = {}
+        for i, t in keep.items():
+            last[low(t)] = max(i, last.get(low(t), i))
+        keep = {i: t for i, t in keep.items() if last[low(t)] == i}
+
+        def fp(text, k):
+            w = low(text).split()
+            h = [xxhash.xxh64_intdigest(b" ".join(w[a : a + k]), 42) for a in range(max(1, len(w) - k + 1))]
+            return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+        going = set()
+        for k in (3, 5):
+            prints = {i: fp(t, k) for i, t in keep.items()}
+            root = {i: i for i in keep}
+            for _ in keep:
+                for a in keep:
+                    for b in keep:
+                        if (prints[a] ^ prints[b]).bit_count() <= 2:
+                            root[a] = root[b] = min(root[a], root[b])
+                if all(root[a] == root[b] for a in keep for b in keep if (prints[a] ^ prints[b]).bit_count() <= 2):
+                    break
+            going |= {i for i in keep if root[i] != i}
+        assert going & {106, 108}
+        keep = {i: t for i, t in keep.items() if i not in going and not (set(zip(*[item.split()[j:] for j in range(5)], strict=False)) <= set(zip(*[t.lower().split()[j:] for j in range(5)], strict=False)))}
+        assert 102 not in keep
+        library = Tokenizer.from_file(WORD_FILE)
+        want = Counter((i, p) for i, t in keep.items() for p in range(-(-(len(library.encode(t, add_special_tokens=False).ids) + 1) // 2048)))
+        assert len(corpus_pipeline.STAGES) == 5
+        got = corpus_pipeline.run(spark, str(tmp_path))
+        assert Counter((r.doc_id, r.piece) for r in got.collect()) == want
+
+    def test_empty_tables(self, spark, tmp_path):
+        import corpus_pipeline
+
+        spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+        spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+        assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
