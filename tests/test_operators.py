@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -165,3 +166,11 @@ def test_exact_sum_of_large_totals(spark):
     big = spark.range(100).select(F.lit(9.0e15).alias("v"))
     assert big.agg(exact_sum(F.col("v"), 2)).first()[0] == 9.0e17
     assert spark.createDataFrame([(0.123,), (0.004,)], "v double").agg(exact_sum(F.col("v"))).first()[0] == 0.127
+
+
+def test_full_merge_refuses_a_repeated_key(spark):
+    a = spark.createDataFrame([(1, 5), (1, 6)], "k int, x int")
+    b = spark.createDataFrame([(1, 7), (None, 8)], "k int, y int")
+    with pytest.raises(Exception, match="holds a key twice"):
+        J.full_merge({"a": a, "b": b}, ["k"]).collect()
+    assert sorted(map(tuple, J.full_merge({"a": a.limit(1), "b": b}, ["k"]).collect()), key=str) == [(1, 5, 7), (None, None, 8)]

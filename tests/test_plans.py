@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from tallyloom.operators.joins import full_merge
 from tallyloom.plans import balance as B
 from tallyloom.plans import demand, incremental, marts, pricing, quality, scd
 from tallyloom.sinks import tables as W
@@ -249,7 +250,8 @@ def test_availability_needs_yesterday_for_opening_stock(spark, rows):
     stock = dated([(1, days[0], 6.0), (1, days[2], 2.0)], "k int, calday date, closing_qty double")
     sales = dated([(1, days[0], 1.0, 10.0), (1, days[1], 2.0, 20.0)], "k int, calday date, sale_qty double, revenue double")
     pending = dated([(1, days[2], 3.0)], "k int, calday date, pending_qty double")
-    got = marts.availability_kpis(listing, stock, sales, pending, ["k"], horizon=2)
+    measures = full_merge({"k": stock, "s": sales, "p": pending}, ["k", "calday"])
+    got = marts.availability_kpis(listing, measures, ["sale_qty", "revenue"], ["k"], horizon=2)
     assert rows(got, "opening_qty", "sale_qty_2d", "revenue_2d", "dr_count", "dr_sum", "adj_dr") == sorted(
         [(0.0, 1.0, 10.0, 1, 1, 1), (6.0, 3.0, 30.0, 1, 0, 0), (0.0, 2.0, 20.0, 1, 0, 1)], key=str
     )
