@@ -16,11 +16,16 @@ MIN_LEADTIME, MAX_LEADTIME = 2, 10  # fixed values: shortest gap that counts, lo
 
 
 def leadtime_stats(df: DataFrame, keys: list[str], ordered: Column, received: Column) -> DataFrame:
-    """Mean, spread and quartiles of the days from order to receipt, in one aggregate."""
+    """Mean, spread and quartiles of the days from order to receipt, in one aggregate.
+
+    Gaps are whole days, so the exact quartiles (a value that occurs) hold one count per distinct gap.
+    """
     gap = F.datediff(received, ordered)
     gaps = df.select(*keys, gap.alias("_gap")).where(F.col("_gap") >= MIN_LEADTIME)
     mean = F.avg("_gap")
-    quartiles = [F.percentile_approx("_gap", p).alias(f"q{i}_leadtime") for i, p in enumerate((0.25, 0.5, 0.75), 1)]
+    quartiles = [
+        F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY _gap)").cast("int").alias(f"q{i}_leadtime") for i, p in enumerate((0.25, 0.5, 0.75), 1)
+    ]
     return gaps.groupBy(*keys).agg(
         clamp(F.ceil(mean), MIN_LEADTIME, MAX_LEADTIME).cast("bigint").alias("leadtime"),
         mean.alias("avg_leadtime"),
@@ -99,18 +104,21 @@ def seasonality_index(
     value: str,
     recent_from: str,
     calendar_override: DataFrame | None = None,
+    groups: DataFrame | None = None,
 ) -> DataFrame:
     """Seasonality per group and week.
 
-    ``weekly`` has ``keys, calyear, calweek, value``; ``weeks`` has ``calyear, calweek, cnt_isoweek``.
-    Every group gets every week, absent weeks being zero. The index is the mean of this and the three
+    ``weekly`` has ``keys, calyear, calweek, value``; ``weeks`` has ``calyear, calweek, cnt_isoweek``. ``groups``, with
+    ``keys``, is the dimension of groups: those in it without sales get an index of 1. Every group gets every week, absent weeks being zero. The index is the mean of this and the three
     following weeks over the mean of the year, winsorised at the group's 5th and 95th percentile of
     positive indexes since ``recent_from`` (``yyyy.ww``), and applied two weeks earlier next year unless
     ``calendar_override`` (``year_week, year_week_apply``) names another week.
     """
     calendar = weeks.agg(F.array_sort(F.collect_set(F.struct("calyear", "calweek", "cnt_isoweek")))).scalar()
     number = F.col("calyear") * 100 + F.col("calweek")
-    known = F.map_from_entries(F.collect_list(F.struct(number, F.col(value))))
+    known = F.map_from_entries(F.collect_list(F.when(F.col("calweek").isNotNull(), F.struct(number, F.col(value)))))
+    if groups is not None:
+        weekly = weekly.unionByName(groups.select(*keys).distinct(), allowMissingColumns=True)
     # one shuffle by group; the windows, bounds and join below stay on its partitioning
     grid = (
         weekly.groupBy(*keys).agg(known.alias("_known"))

@@ -255,3 +255,14 @@ def test_availability_needs_yesterday_for_opening_stock(spark, rows):
     assert rows(got, "opening_qty", "sale_qty_2d", "revenue_2d", "dr_count", "dr_sum", "adj_dr") == sorted(
         [(0.0, 1.0, 10.0, 1, 1, 1), (6.0, 3.0, 30.0, 1, 0, 0), (0.0, 2.0, 20.0, 1, 0, 1)], key=str
     )
+
+
+def test_seasonality_of_groups_without_sales(spark, rows):
+    weekly = spark.createDataFrame([("a", 2023, 1, 10.0), ("a", 2023, 2, 30.0)], "k string, calyear int, calweek int, v double")
+    weeks = spark.createDataFrame([(2023, w, 52) for w in (1, 2, 3)], "calyear int, calweek int, cnt_isoweek int")
+    groups = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    got = demand.seasonality_index(weekly, ["k"], weeks, "v", "2020.01", groups=groups)
+    assert rows(got.where("k <> 'a' OR k IS NULL"), "k", "calweek", "seasonality_index") == sorted(
+        [(k, w, 1.0) for k in ("b", None) for w in (1, 2, 3)], key=lambda r: tuple((v is None, str(v)) for v in r)
+    )
+    assert got.where("k = 'a'").count() == 3
