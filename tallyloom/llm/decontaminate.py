@@ -59,6 +59,10 @@ def item_shingles(items: DataFrame, item_col: str, text_col: str, threshold: flo
     return distinct.join(sizes, F.col("item_id").eqNullSafe(F.col("of"))).select("item_id", "shingle", "hash", "q", "need", (F.col("hash") <= F.col("last")).alias("in_sketch"))
 
 
+def _with_words(rows: DataFrame) -> DataFrame:
+    return rows.select("id", "text_key", words_of(F.col("text")).alias("words"))
+
+
 def _small(table: DataFrame, width: int) -> DataFrame:
     """Broadcast if its rows, at most ``width`` bytes each besides the shingle, are known to fit."""
     held = table.agg(F.sum(F.octet_length("shingle") + width) if "shingle" in table.columns else F.count("*") * width).first()[0] or 0
@@ -75,15 +79,14 @@ def contained_items(
     """
     found = written(item_shingles(items, item_col, item_text_col, threshold), "decontaminate-items")
     text = F.col(f"`{text_col}`")
-    key = F.xxhash64(text)
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), key.alias("text_key"), words_of(text).alias("words"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
     sketch = _small(found.where("in_sketch").select("item_id", "hash", "need"), 64)
-    searched = shingled(rows, "words", ["id", "text_key"]).select("id", "text_key", "n_shingles", _hash())
+    searched = shingled(_with_words(rows), "words", ["id", "text_key"]).select("id", "text_key", "n_shingles", _hash())
     hits = searched.join(sketch, "hash").where("need <= n_shingles")
     pairs = written(hits.select("id", "text_key", "item_id").distinct(), "decontaminate-pairs")
     suspects = pairs.select(F.col("id").alias("suspect"), F.col("text_key").alias("suspect_key")).distinct()
     again = rows.join(suspects, F.col("id").eqNullSafe(F.col("suspect")) & (F.col("text_key") == F.col("suspect_key")), "left_semi")
-    shingles = shingled(again, "words", ["id", "text_key"]).select("id", "text_key", _hash(), _shingle())
+    shingles = shingled(_with_words(again), "words", ["id", "text_key"]).select("id", "text_key", _hash(), _shingle())
     held = shingles.join(_small(found.select("item_id", "hash", "shingle", "q", "need"), 64), ["hash", "shingle"])
     counted = held.select("id", "text_key", "item_id", "q", "need", "shingle").distinct().groupBy("id", "text_key", "item_id", "q", "need").agg(F.count("*").alias("shared"))
     return counted.where("shared >= need").select(
