@@ -20,7 +20,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 import numpy as np  # noqa: E402
 
 WORDS, SPACED, WHOLE = "words", "spaced", "whole"
-GENERATION = 400_000
+GENERATION = 250_000
 BATCH = 512
 
 #: Latin-1 capitals to small letters; the same for one character at a time.
