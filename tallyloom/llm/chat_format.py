@@ -85,9 +85,8 @@ def canonical_turns(records: DataFrame, body: str = "body") -> DataFrame:
 
     A record of unknown layout, or null, has a null layout and no turns.
     """
-    spark = records.sparkSession
-    known = spark.createDataFrame([(x.name, x.fields) for x in LAYOUTS], "layout string, fields string")
-    known = known.select("layout", F.xxhash64("fields").alias("print"))  # one row per layout
+    layouts = F.array(*[F.struct(F.lit(x.name).alias("layout"), F.xxhash64(F.lit(x.fields)).alias("print")) for x in LAYOUTS])
+    known = records.sparkSession.range(1).select(F.inline(layouts))  # one row per layout
     found = records.join(F.broadcast(known), fingerprint(F.col(body)) == F.col("print"), "left").drop("print")
     turns = F.lit(None).cast(TURNS)
     for x in LAYOUTS:
