@@ -535,3 +535,44 @@ class TestPipeline:
         spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
         spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
         assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+class TestNearCopies:
+    def test_pairs_from_four_fifths_on_against_loops(self, spark):
+        import corpus_pipeline
+
+        r = random.Random(21)
+        base = [[f"w{r.randrange(500)}" for _ in range(r.choice((6, 30, 120)))] for _ in range(25)]
+        texts = [" ".join(b) for b in base]
+        for _ in range(120):  # copies with some words changed, left out or added; all share a line with others
+            w = list(r.choice(base))
+            for _ in range(r.randint(0, 5)):
+                at = r.randrange(len(w))
+                w[at : at + 1] = r.choice(([], ["new"], [w[at], "more"]))
+            texts.append(" ".join(w) + r.choice(("", " a very common line of words")))
+        texts += ["one two", "ONE two", "one three", "a b c d e", "a b c d f"]
+        sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.lower().split() for t in texts)]
+        root = list(range(len(texts)))
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        pairs = [(a, b) for a in range(len(texts)) for b in range(a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+        for a, b in pairs:
+            low_, high = sorted((find(a), find(b)))
+            root[high] = low_
+        want = [i for i in range(len(texts)) if find(i) == i]
+        assert any(5 * len(sets[a] & sets[b]) < 4.5 * len(sets[a] | sets[b]) for a, b in pairs) and len(want) < len(texts) - 20
+        docs = spark.createDataFrame(rows_of(list(enumerate(texts))), SCHEMA).repartition(5)
+        kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+        assert kept.dtypes == docs.dtypes
+        assert sorted(x.doc_id for x in kept.collect()) == want
+
+    def test_nulls_repeats_and_empty_tables(self, docs, none):
+        from tallyloom.llm import near_copies
+
+        ids = Counter(x.doc_id for x in near_copies.drop_near_copies(docs).collect())
+        assert ids[1] == 1 and not ids[2] and not ids[3] and ids[4] == 1 and not ids[5] and ids[8] == 1 and not ids[9] and not ids[11] and ids[None] == 1
+        assert near_copies.drop_near_copies(none).count() == 0
