@@ -7,7 +7,8 @@ bit per language: an n-gram sets its languages' bits in the rows that its hashes
 combining them by AND gives, at once, the mask of all languages that contain the n-gram.
 
 A text adds up, per language, how many of its n-grams have that bit, and takes off the false positives that the
-filter's filling makes expected: (hits - n * f) / (1 - f) with f = filling ** hashes. The largest wins.
+filter's filling makes expected: (hits - n * f) / (1 - f) with f = filling ** hashes. The largest wins. A text too short for any n-gram
+votes by its whole words instead, each between blanks; such words are counted in learning like n-grams.
 """
 
 from __future__ import annotations
@@ -44,6 +45,12 @@ def grams(text: bytes) -> np.ndarray:
     return out
 
 
+def short_words(text: bytes) -> np.ndarray:
+    """Distinct words too short for an n-gram of their own, with a blank on both sides, as numbers below all n-grams'."""
+    held = {w for w in text.translate(_FOLD).split() if len(w) < GRAM - 2}
+    return np.array([int.from_bytes(b" " + w + b" ", "little") for w in sorted(held)], np.uint64)
+
+
 def _rows_of(gram: np.ndarray, bits: int) -> list[np.ndarray]:
     """Filter rows of every n-gram, one array per hash function."""
     return [(gram * m) >> np.uint64(64 - bits) for m in _MIX[:HASHES]]
@@ -70,8 +77,9 @@ class Filter:
         return out
 
     def votes(self, text: bytes) -> tuple[np.ndarray, int]:
-        """Corrected number of n-grams per language, and the number of n-grams."""
-        mask = self.masks(grams(text))
+        """Corrected number of n-grams per language, and the number of n-grams; without any, of short words."""
+        gram = grams(text)
+        mask = self.masks(gram if len(gram) else short_words(text))
         hits = np.array([np.count_nonzero(mask & np.uint64(1 << i)) for i in range(len(self.languages))], float)
         return np.clip((hits - len(mask) * self.false_share) / (1 - self.false_share), 0, None), len(mask)
 
@@ -93,7 +101,8 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         new: dict[str, list[np.ndarray]] = {}
         room = 0
         for text, lang in zip(batch.column(0).cast(pa.binary()), batch.column(1).to_pylist(), strict=True):
-            new.setdefault(lang, []).append(np.unique(grams(text.as_py())))
+            held_by = text.as_py()
+            new.setdefault(lang, []).append(np.concatenate([np.unique(grams(held_by)), short_words(held_by)]))
             room += len(new[lang][-1])
             if room > 2_000_000:
                 for k, v in new.items():
@@ -143,8 +152,14 @@ def _has_letters(text: bytes) -> bool:
     return any(map(str.isalpha, text.decode("utf-8", "replace")))
 
 
+def has_grams(text: Column) -> Column:
+    """Whether a text has an n-gram (see ``grams``); null has none."""
+    folded = F.trim(F.regexp_replace(text, "[\\x00-@\\[-`{-\\x7f]+", " "))
+    return F.coalesce(F.octet_length(folded) + 2 >= GRAM, F.lit(False))
+
+
 def predict(model: Filter, text: bytes) -> tuple[str, float, float]:
-    """Language, its share of all votes, and the share of n-grams that it holds.
+    """Language, its share of all votes, and the share of n-grams (of short words, if there is no n-gram) that it holds.
 
     ``und`` with score 0 for a text without letters (or before anything was learned). A tie goes to the first
     language by name, also where no n-gram is known.

@@ -176,6 +176,21 @@ class TestLanguage:
         empty = language_id.learn(none, F.col("text"), F.col("lang"))
         assert {r.lang_pred for r in language_id.with_language(spark.createDataFrame(rows_of(asked), SCHEMA), empty).collect()} == {"und"}
 
+    def test_texts_without_n_grams_stay_and_vote_by_words(self, spark):
+        import corpus_pipeline
+
+        en, fr = ("it is what we do", "so it is by me"), ("il va où tu es", "le roi et sa re")
+        texts = [(i, prose(i, 20, (en if i % 2 else fr)[i // 2 % 2].split())) for i in range(80)]
+        texts += [(101, "It."), (102, "Re."), (103, "q"), (104, "7"), (105, "zzzzzzzzz xxxxxxx"), (106, "is 9 it")]
+        docs = spark.createDataFrame(rows_of(texts), SCHEMA).withColumn("lang", F.when(F.col("doc_id") < 100, F.col("lang")))
+        model = language_id.learn(docs.where("doc_id < 100"), F.col("text"), F.col("lang"))
+        got = {r.doc.doc_id: (r.lang_pred, r.support) for r in language_id.with_language(docs, model).collect()}
+        assert got[101][0] == "en" and got[102][0] == "fr" and got[101][1] > 0.9 and got[104][0] == "und"
+        assert {r.doc_id for r in corpus_pipeline.identify_language(spark, docs, "").collect()} == {i for i, _ in texts} - {104, 105}
+        asked = ["", None, "a", "ab", "a b", "ab-c", "abc", "é", "éa", "日", "a\x00", "\x7fab\x7f", "[ab]`{|}~@", "A_Z", " a  b "]
+        frame = spark.createDataFrame([(t,) for t in asked], "t string").select("t", language_id.has_grams(F.col("t")).alias("has")).collect()
+        assert {r.t: r.has for r in frame} == {t: len(language_id.grams((t or "").encode())) > 0 for t in asked}
+
     def test_filter_has_no_false_negatives(self):
         import numpy as np
 
