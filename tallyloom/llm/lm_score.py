@@ -5,8 +5,8 @@ counts; the counts of all other words of a text are joined by word. The recurren
 frequent of those words (``HEAD_WORDS``) and, for the rest, one of ``BUCKETS`` by their endings, within which a word has its
 smoothed share of the counts: so the counts of the whole corpus, however many words it has, are part of the model.
 
-Its weights are trained in rounds on shares of the training documents that ``SHARES`` fixes by the hash of the id, so they grow with the
-corpus: in each round every task goes through its own documents, and Spark averages the weights by tokens. A round that is
+Its weights are trained in rounds on shares of the training documents that ``SHARES`` fixes by the hash of the id; together the
+rounds go through all training documents once. In each round every task goes through its own documents, and Spark averages the weights by tokens. A round that is
 run again after a failure starts from the same weights. Only the weights and the bounded word lists come to the driver.
 """
 
@@ -31,7 +31,7 @@ LOOKUP_WORDS, HEAD_WORDS, CLASSES, BUCKETS, HIDDEN = 300_000, 1_000, 32, 32, 16
 #: Documents of about so many tokens are scored together: enough to keep all lanes busy beside a long document.
 GROUP_TOKENS = 4_000_000
 #: A round per entry: of 16 equal shares of the training documents, those it learns from; and its step size.
-SHARES, RATES = ((0,), (1,), (2,)), (0.01, 0.005, 0.002)
+SHARES, RATES = (tuple(range(6)), tuple(range(6, 11)), tuple(range(11, 16))), (0.01, 0.005, 0.002)
 
 
 def words(text: bytes) -> list[bytes]:

@@ -472,6 +472,23 @@ class TestLanguageModel:
         monkeypatch.setattr(recurrent, "SCORE_LANES", 4)
         assert recurrent.score(shape, flat, docs) == pytest.approx(whole, abs=1e-3)
 
+    def test_rounds_go_through_every_training_document_once(self, spark, monkeypatch, tmp_path):
+        share = F.pmod(F.xxhash64("doc_id"), F.lit(16))
+        docs = spark.createDataFrame(rows_of([(i, f"w{i}") for i in range(200)] + [(None, "none")]), SCHEMA)
+
+        def noted(batches, model, rate):
+            import pyarrow as pa
+
+            for batch in batches:
+                for t in batch.column(0).to_pylist():
+                    (tmp_path / f"{t}-{rate}").touch()
+            yield pa.RecordBatch.from_arrays([pa.array([], pa.int32()), pa.array([], pa.float64()), pa.array([], pa.int64())], names=["at", "w", "n"])
+
+        monkeypatch.setattr(lm_score, "_trained", noted)
+        lm_score.learn(docs, share)
+        trained = sorted(p.name.split("-")[0] for p in tmp_path.iterdir())
+        assert trained == sorted([f"w{i}" for i in range(200)] + ["none"])
+
     @pytest.mark.parametrize("known", [300_000, 12])
     def test_scores(self, spark, docs, none, monkeypatch, known):
         monkeypatch.setattr(lm_score, "LOOKUP_WORDS", known)
