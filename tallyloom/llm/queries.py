@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat_format, decontaminate, exact_dedup, language_id, lm_score, packing, secret_scan, simhash, token_counts, toxicity
+from tallyloom.llm import chat_format, decontaminate, exact_dedup, importance, language_id, lm_score, packing, secret_scan, simhash, token_counts, toxicity
 from tallyloom.llm.common import remainder
 from tallyloom.session import fresh_dir
 
@@ -166,3 +166,28 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lm_score.with_scores(docs, model, counts, keep=["doc_id"])
     doc_id = F.col("doc")["doc_id"]
     return found.select(doc_id.alias("doc_id"), (remainder(doc_id, 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query(
+    "op13_importance_resampling",
+    rf"""
+    WITH tab AS (SELECT list(list_reduce([i] || range(8), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
+         w AS (SELECT 'd' AS src, doc_id, unnest(regexp_extract_all({SQL_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM documents
+               UNION ALL SELECT 'b', NULL, unnest(regexp_extract_all({SQL_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark),
+         v AS (SELECT word, xor(4294967295, list_reduce([4294967295] || list_transform(range(1, octet_length(encode(word)) + 1), lambda k: ('0x' || substr(hex(encode(word)), 2 * k - 1, 2))::BIGINT),
+                   lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8))) % 10000 AS bucket FROM (SELECT DISTINCT word FROM w), tab),
+         g AS (SELECT bucket, count(*) FILTER (src = 'd') AS s, count(*) FILTER (src = 'b') AS t FROM w JOIN v USING (word) GROUP BY bucket),
+         a AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM g),
+         e AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (s_all + 10000)::DOUBLE / ((s + 1)::DOUBLE * (t_all + 10000)::DOUBLE)))::BIGINT AS gain FROM g, a),
+         f AS (SELECT doc_id, count(*) AS n_features, floor(sum(gain) / count(*))::BIGINT AS weight FROM w JOIN v USING (word) JOIN e USING (bucket) WHERE src = 'd' GROUP BY doc_id),
+         x AS (SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                      coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+               FROM documents LEFT JOIN f USING (doc_id)),
+         r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM x WHERE n_features >= 20)
+    SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM x LEFT JOIN r USING (doc_id)
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    found = importance.resample(docs, target, keep=["doc_id"])
+    return found.select(F.col("doc")["doc_id"].alias("doc_id"), "n_features", "weight", "score", "rank")
