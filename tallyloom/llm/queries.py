@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat_format, decontaminate, exact_dedup, importance, language_id, lm_score, packing, secret_scan, simhash, token_counts, toxicity
+from tallyloom.llm import chat_format, decontaminate, exact_dedup, importance, language_id, lm_score, packing, secret_scan, simhash, token_counts, toxicity, whitening, window_packing
 from tallyloom.llm.common import remainder
 from tallyloom.session import fresh_dir
 
@@ -191,3 +191,15 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, target = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     found = importance.resample(docs, target, keep=["doc_id"])
     return found.select(F.col("doc")["doc_id"].alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.with_whitened(table(spark, sf_dir, "embeddings"), keep=["vec_id"])
+    return found.select(F.col("doc")["vec_id"].alias("vec_id"), "component", "n", F.col("deviation").cast("long").alias("deviation"), "whitened", "explained", "identity_error")
+
+
+@query("op11_nnls_packing")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = window_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), keep=["doc_id"])
+    return packed.select(F.col("doc")["doc_id"].alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
