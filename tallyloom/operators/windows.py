@@ -97,17 +97,22 @@ def trailing_sum(
     return daily.withColumn(out, F.sum(value).over(w))
 
 
+QUOTA_SLICES = 32
+
+
 def top_by_quota(
     df: DataFrame, keys: list[str], order: list[Column], quota: str
 ) -> DataFrame:
     """First rows per key up to the row's own quota column.
 
-    The largest quota of the data lets Spark cut each map task's rows per key before the shuffle; no row within
-    its quota lies beyond it.
+    Nothing runs while the plan is built. A hot key is spread first: within each of its slices no row beyond the row's own quota can be within it
+    over the whole key, so slices are cut before the rows of a key meet.
     """
-    w = Window.partitionBy(*keys).orderBy(*order)
-    largest = df.agg(F.ceil(F.max(quota)).cast("int")).first()[0] or 0
-    ranked = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= largest)
+    slices = F.pmod(F.monotonically_increasing_id(), F.lit(QUOTA_SLICES))
+    sliced = df.withColumn("_slice", slices)
+    local = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*order))
+    cut = sliced.withColumn("_rn", local).where(F.col("_rn") <= F.col(quota)).drop("_rn", "_slice")
+    ranked = cut.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.where(F.col("_rn") <= F.col(quota)).drop("_rn")
 
 

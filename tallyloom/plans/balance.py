@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import day
 from tallyloom.functions.numbers import least_positive
-from tallyloom.operators.joins import full_merge
 from tallyloom.operators.windows import trailing_sums
 
 
@@ -44,6 +43,39 @@ def balance_from_movements(
     return kept.select(*keys, F.explode(F.sequence("_from", end)).alias("calday"), "balance")
 
 
+def balances_from_movements(
+    movements: DataFrame,
+    keys: list[str],
+    move_day: str,
+    measures: dict[str, int | None],
+    first: date | str,
+    last: date | str,
+    opening: DataFrame | None = None,
+) -> DataFrame:
+    """Balances of several measures, such as quantity and value, for every day from ``first`` to ``last``.
+
+    ``measures`` names the movement columns and the digits that each balance is rounded to (None: as summed). All measures are summed in one
+    aggregate and one window; a period is a run of days with equal balances of all of them. Days on which all are zero are left out, but
+    for the first day on which the rounded balances are all zero. ``opening`` has the balances of a day before ``first``.
+    """
+    moved = movements.select(*keys, move_day, *measures)
+    if opening is not None:
+        moved = moved.unionByName(opening.select(*keys, move_day, *measures))
+    daily = moved.where(F.col(move_day) <= day(last)).groupBy(*keys, move_day).agg(*[F.sum(m).alias(m) for m in measures])
+    w = Window.partitionBy(*keys).orderBy(move_day)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    running = {m: F.sum(m).over(upto) if digits is None else F.round(F.sum(m).over(upto), digits) for m, digits in measures.items()}
+    until = F.coalesce(F.date_sub(F.lead(move_day).over(w), 1), day(last))
+    periods = daily.select(*keys, F.greatest(F.col(move_day), day(first)).alias("_from"), until.alias("_to"), *[c.alias(m) for m, c in running.items()])
+    periods = periods.where("_from <= _to")
+    nothing = reduce(lambda a, b: a & b, [F.col(m) == 0 for m in measures])
+    small = reduce(lambda a, b: a & b, [F.round(F.col(m), 0) == 0 for m in measures])
+    first_small = F.min(F.when(small, F.col("_from"))).over(Window.partitionBy(*keys))
+    kept = periods.withColumn("_first", first_small).where(~nothing | (F.col("_from") == F.col("_first")))
+    end = F.when(nothing, F.col("_from")).otherwise(F.col("_to"))
+    return kept.select(*keys, F.explode(F.sequence("_from", end)).alias("calday"), *measures)
+
+
 EPS = 0.001  # fixed value: quantities and values at or below this are treated as nothing
 OLDEST_AGE = 721  # fixed value: age in days given to stock no receipt explains
 
@@ -79,41 +111,52 @@ def fifo_aging(
         return F.when(F.col(own).isNull(), F.col(total)).when(left > 0, F.least(left, F.col(own))).otherwise(0.0)
 
     value = F.when(F.col("stock_value") < 0, F.col("stock_value")).otherwise(share("stock_value", "_v_before", "gr_value"))
-    one = met.select(
+    shared = met.select(
         *keys,
         "gr_date",
         F.coalesce("aging_days", F.lit(OLDEST_AGE)).alias("aging_days"),
         F.coalesce("band_id", F.lit(oldest)).alias("band_id"),
-        F.lit(1).alias("flag"),
         share("stock_qty", "_q_before", "gr_qty").alias("aging_qty"),
         value.alias("aging_value"),
+        "stock_qty",
+        "stock_value",
     )
 
-    def is_something(c: str) -> Column:
+    def something(c: Column) -> Column:
         return F.round(c, 3) > EPS
 
-    one = one.where(is_something("aging_qty") | is_something("aging_value"))
-    # what the first round leaves per key decides rounds two and three together
-    given = one.groupBy(*keys).agg(F.sum("aging_qty").alias("_gq"), F.sum("aging_value").alias("_gv"))
-    rest = stock.join(given, keys).select(
-        *keys,
-        (F.col("stock_qty") - F.col("_gq")).alias("aging_qty"),
-        (F.col("stock_value") - F.col("_gv")).alias("aging_value"),
-        (F.round("stock_qty", 3) > F.round("_gq", 3)).alias("_short"),
+    # what the first round leaves per key decides rounds two and three together; a key has at most one row per receipt day
+    whole = Window.partitionBy(*keys)
+    given = F.coalesce(something(F.col("aging_qty")) | something(F.col("aging_value")), F.lit(False))
+    shared = shared.withColumn("_given", given).withColumns(
+        {
+            "_gq": F.sum(F.when(F.col("_given"), F.col("aging_qty"))).over(whole),
+            "_gv": F.sum(F.when(F.col("_given"), F.col("aging_value"))).over(whole),
+            "_last": F.row_number().over(whole.orderBy(F.desc("aging_days"))) == 1,
+        }
     )
-    second = F.col("_short") & (is_something("aging_qty") | is_something("aging_value"))
-    third = ~second & is_something("aging_value")
-    flag = F.when(second, 2).when(third, 3)
-    left = rest.withColumn("flag", flag).where(F.col("flag").isNotNull()).select(
-        *keys,
-        F.lit(None).cast("date").alias("gr_date"),
-        F.lit(OLDEST_AGE).alias("aging_days"),
-        F.lit(oldest).alias("band_id"),
-        "flag",
-        F.when(F.col("flag") == 2, F.col("aging_qty")).otherwise(0.0).alias("aging_qty"),
-        "aging_value",
+    rest_qty, rest_value = F.col("stock_qty") - F.col("_gq"), F.col("stock_value") - F.col("_gv")
+    short = F.round("stock_qty", 3) > F.round("_gq", 3)
+    second = F.coalesce(short & (something(rest_qty) | something(rest_value)), F.lit(False))
+    third = ~second & something(rest_value)
+
+    def part(when: Column, gr_date: Column, age: Column, band: Column, flag: Column, qty: Column, value: Column) -> Column:
+        fields = {"gr_date": gr_date, "aging_days": age, "band_id": band, "flag": flag, "aging_qty": qty, "aging_value": value}
+        return F.when(when, F.struct(*[c.alias(n) for n, c in fields.items()]))
+
+    parts = F.array(
+        part(F.col("_given"), *map(F.col, ("gr_date", "aging_days", "band_id")), F.lit(1), F.col("aging_qty"), F.col("aging_value")),
+        part(
+            F.col("_last") & (second | third),
+            F.lit(None).cast("date"),
+            F.lit(OLDEST_AGE),
+            F.lit(oldest),
+            F.when(second, 2).otherwise(3),
+            F.when(second, rest_qty).otherwise(0.0),
+            rest_value,
+        ),
     )
-    return one.unionByName(left)
+    return shared.select(*keys, F.inline(F.filter(parts, lambda p: p.isNotNull())))
 
 
 def aging_cluster(aged: DataFrame, group: list[str], site: str, old_bands: list[str]) -> DataFrame:
@@ -155,9 +198,10 @@ def unit_cost(cost: str, qty: str) -> Column:
     return F.try_divide(F.col(cost).cast("double"), F.round(F.col(qty).cast("double"), 3))
 
 
-def least_positive_cost(frames: dict[str, DataFrame], keys: list[str]) -> DataFrame:
-    """Least positive of several unit costs per key; ``frames`` maps a name to ``keys`` + that column."""
-    merged = full_merge(frames, keys)
-    names = list(frames)
-    filled = merged.withColumns({n: F.coalesce(F.col(n), F.lit(0.0)) for n in names})
+def least_positive_cost(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Least positive of several unit costs of a row, as ``cost_per_unit``; absent ones count as zero.
+
+    A day's own cost is the trailing cost of one day, so ``rolling_cost`` with a horizon of 1 gives it along with the longer ones.
+    """
+    filled = rows.withColumns({n: F.coalesce(F.col(n), F.lit(0.0)) for n in names})
     return filled.withColumn("cost_per_unit", least_positive(*[F.col(n) for n in names]))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -91,6 +92,25 @@ def sell_rate(
     ).drop("_note")
 
 
+def iso_week_key(on: date | str) -> Column:
+    """``yyyy.ww`` of a day's ISO week. The year is the week's, so that the days around New Year that share a week share its key."""
+    d = day(on)
+    year, week = (F.extract(F.lit(part), d).cast("string") for part in ("YEAROFWEEK", "WEEK"))
+    return F.concat(year, F.lit("."), F.lpad(week, 2, "0"))
+
+
+def with_seasonality(rates: DataFrame, index: DataFrame, keys: list[str], as_of: date | str) -> DataFrame:
+    """``rates`` with the ``seasonality_index`` that applies to the week of ``as_of``, 1 where there is none.
+
+    ``index`` is what ``seasonality_index`` gives: ``keys, year_week_apply, rn, seasonality_index``. Of several indexes for a key and week, the one of
+    the lowest ``rn`` counts. Only the week's rows are aggregated, to one per key.
+    """
+    week = index.where(F.col("year_week_apply") == iso_week_key(as_of))
+    best = week.groupBy(*keys).agg(F.min_by("seasonality_index", "rn").alias("seasonality_index"))
+    joined = rates.join(best, keys, "left")
+    return joined.withColumn("seasonality_index", F.coalesce("seasonality_index", F.lit(1.0)))
+
+
 def clip_to(df: DataFrame, column: str, low: Column, high: Column) -> DataFrame:
     """Winsorise a column; bounds that are NULL do not clip."""
     c = F.col(column)
@@ -130,11 +150,11 @@ def seasonality_index(
     index = F.coalesce(F.try_divide(F.avg(value).over(ahead), F.avg(value).over(year)), F.lit(1.0))
     year_week = F.concat(F.col("calyear").cast("string"), F.lit("."), F.lpad(F.col("calweek").cast("string"), 2, "0"))
     indexed = grid.withColumns({"year_week": year_week, "seasonality_index": index})
-    positive = indexed.where((F.col("seasonality_index") > 0) & (F.col("year_week") >= recent_from))
-    bounds = exact_percentiles(
-        positive, keys, "seasonality_index", {"lower_value": 0.05, "upper_value": 0.95}, few_values=True
-    )
-    clipped = clip_to(indexed.join(bounds, keys, "left"), "seasonality_index", F.col("lower_value"), F.col("upper_value"))
+    # a group has one row per week of the calendar, so its bounds are a window over them
+    counted = F.when((F.col("seasonality_index") > 0) & (F.col("year_week") >= recent_from), F.col("seasonality_index"))
+    both = F.percentile(counted, F.array(F.lit(0.05), F.lit(0.95))).over(Window.partitionBy(*keys))
+    bounded = indexed.withColumn("_b", both).withColumns({"lower_value": F.col("_b")[0], "upper_value": F.col("_b")[1]}).drop("_b")
+    clipped = clip_to(bounded, "seasonality_index", F.col("lower_value"), F.col("upper_value"))
     early = F.col("calweek") - 2 <= 0
     apply_year = F.when(early, F.col("calyear")).otherwise(F.col("calyear") + 1)
     apply_week = F.when(early, F.col("calweek") - 2 + F.col("cnt_isoweek")).otherwise(F.col("calweek") - 2)
@@ -189,77 +209,129 @@ def correct_day(
         F.avg(F.when(c >= F.date_sub(d, mean_days), F.coalesce("corrected_qty", F.lit(0.0)))).alias("_mean"),
         F.sum(F.when(c > F.date_sub(d, inactive_days), F.col("is_oos"))).alias("_oos"),
     )
+    rows = today.join(past, keys, "left")
+    q = F.col("_q")
+    found = _corrected(F.struct(*today.columns), F.struct(q[0].alias("q1"), q[1].alias("q3"), F.col("_mean").alias("mean"), F.col("_oos").alias("oos")), d, settle_days, inactive_days)
+    return rows.select(d.alias("calday"), *keys, F.inline(F.array(found)))
 
-    def not_negative(name: str) -> Column:
-        return F.greatest(F.coalesce(F.col(name), F.lit(0.0)), F.lit(0.0))
 
-    base = not_negative("base_qty")
-    rows = today.join(past, keys, "left").withColumns(
-        {"base_qty": base, "coupon_qty": not_negative("coupon_qty"), "stock_qty": F.coalesce("stock_qty", F.lit(0.0))}
-    )
-    q1, q3 = F.col("_q")[0], F.col("_q")[1]
-    group_bound = F.when(F.coalesce("unit_cost", F.lit(0.0)) > COSTLY, 0.0).otherwise(F.coalesce("pct_95", F.lit(0.0)))
-    settled = d >= F.date_add("first_day", settle_days)
-    promoted = (F.col("coupon_qty") > F.col("base_qty") * 0.5) | (F.col("has_gift") & (F.col("base_qty") > 0))
-    rows = rows.withColumns(
-        {
-            "_settled": settled,
-            "is_promotion": promoted.cast("int"),
-            "is_oos": ((F.col("base_qty") == 0) & (F.col("stock_qty") <= 0)).cast("int"),
-            # no history, no bound: greatest() would otherwise skip the missing quartiles
-            "upper_outlier": F.when(settled & F.col("_q").isNotNull(), F.greatest(q3 + (q3 - q1) * 1.5, group_bound)),
-            "lower_outlier": F.when(settled, q1 - (q3 - q1) * 1.5),
-        }
-    )
-    above = F.coalesce(F.col("base_qty") > F.col("upper_outlier"), F.lit(False))
-    rows = rows.withColumns(
-        {
-            "is_outlier": F.when(F.col("_settled"), above.cast("int")),
-            "inactive_range": F.coalesce("_oos", F.lit(0)) + F.col("is_oos"),
-        }
-    )
-    inactive = F.col("inactive_range") >= inactive_days
-    replaced = (F.col("is_promotion") == 1) | (F.col("is_oos") == 1)
-    outlier = F.coalesce(F.col("is_outlier") == 1, F.lit(False))
-    young = ~F.col("_settled") & ~F.col("is_component")
-    return rows.select(
-        d.alias("calday"),
-        *keys,
-        F.col("inactive_range").cast("bigint").alias("inactive_range"),
-        "base_qty",
-        "is_promotion",
-        "is_oos",
-        "upper_outlier",
-        "lower_outlier",
-        "is_outlier",
-        (replaced | outlier).cast("int").alias("is_corrected"),
-        F.when(inactive, 0.0).otherwise(F.col("_mean")).alias("avg_corrected"),
+def _corrected(x: Column, past: Column, d: Column, settle_days: int, inactive_days: int) -> Column:
+    """The corrected row of one day from its input and what the days before it say (quartiles, mean, out-of-stock days)."""
+
+    def not_negative(name: str) -> Column:
+        return F.greatest(F.coalesce(x[name], F.lit(0.0)), F.lit(0.0))
+
+    def flag(c: Column) -> Column:
+        return c.cast("int")
+
+    base, q1, q3 = not_negative("base_qty"), past["q1"], past["q3"]
+    settled = d >= F.date_add(x["first_day"], settle_days)
+    group_bound = F.when(F.coalesce(x["unit_cost"], F.lit(0.0)) > COSTLY, 0.0).otherwise(F.coalesce(x["pct_95"], F.lit(0.0)))
+    promoted = (not_negative("coupon_qty") > base * 0.5) | (x["has_gift"] & (base > 0))
+    oos = (base == 0) & (F.coalesce(x["stock_qty"], F.lit(0.0)) <= 0)
+    # no history, no bound: greatest() would otherwise skip the missing quartiles
+    upper = F.when(settled & q1.isNotNull(), F.greatest(q3 + (q3 - q1) * 1.5, group_bound))
+    above = F.coalesce(base > upper, F.lit(False))
+    range_ = F.coalesce(past["oos"], F.lit(0)) + flag(oos)
+    inactive, replaced, outlier = range_ >= inactive_days, F.coalesce(promoted, F.lit(False)) | oos, settled & above
+    young = ~settled & ~x["is_component"]
+    quantity = (
         F.when(young, INITIAL_RATE)
         .when(inactive, 0.0)
-        .when(replaced, F.coalesce("_mean", F.lit(0.0)))
-        .when(outlier, F.col("upper_outlier"))
-        .otherwise(F.col("base_qty"))
-        .alias("corrected_qty"),
+        .when(replaced, F.coalesce(past["mean"], F.lit(0.0)))
+        .when(outlier, upper)
+        .otherwise(base)
+    )
+    return F.struct(
+        range_.cast("bigint").alias("inactive_range"),
+        base.alias("base_qty"),
+        flag(promoted).alias("is_promotion"),
+        flag(oos).alias("is_oos"),
+        upper.alias("upper_outlier"),
+        F.when(settled, q1 - (q3 - q1) * 1.5).alias("lower_outlier"),
+        F.when(settled, flag(above)).alias("is_outlier"),
+        flag(replaced | outlier).alias("is_corrected"),
+        F.when(inactive, 0.0).otherwise(past["mean"]).alias("avg_corrected"),
+        quantity.alias("corrected_qty"),
         F.when(young, INITIAL_NOTE).when(inactive, INACTIVE_NOTE).alias("note"),
     )
 
 
+def _given(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, inside a row."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _quartile(ordered: Column, p: float) -> Column:
+    """Interpolated percentile of a sorted array; NULL for an empty one."""
+    n = F.size(ordered)
+    at = (n - 1) * F.lit(p)
+    low, high = F.floor(at), F.ceil(at)
+    below, above = (F.try_element_at(ordered, (i + 1).cast("int")) for i in (low, high))
+    return F.when(n == 0, F.lit(None).cast("double")).when(low == high, below).otherwise((high - at) * below + (at - low) * above)
+
+
+def corrected_days(
+    daily: DataFrame,
+    history: DataFrame,
+    keys: list[str],
+    history_days: int = HISTORY_DAYS,
+    mean_days: int = MEAN_DAYS,
+    settle_days: int = SETTLE_DAYS,
+    inactive_days: int = INACTIVE_DAYS,
+) -> DataFrame:
+    """Corrected sales of all days of ``daily`` (input of ``correct_day`` with ``calday``), each from the corrected days before it.
+
+    One shuffle brings a key's days together, history and new ones; they are folded in order with the corrected days of the window as state, so that
+    the state of a key is at most ``history_days`` values. ``history`` has one row per key and day before the first of ``daily``.
+    """
+    state = "STRUCT<past: ARRAY<STRUCT<calday: DATE, corrected_qty: DOUBLE, is_oos: INT>>, done: ARRAY<STRUCT<calday: DATE, " + CORRECTED_SCHEMA.replace(" ", ": ").replace(",: ", ", ") + ">>>"
+    inputs = ["calday", "first_day", "base_qty", "promo_qty", "coupon_qty", "stock_qty", "unit_cost", "pct_95", "has_gift", "is_component"]
+    old = history.select(*keys, F.struct("calday", F.col("corrected_qty").cast("double"), F.col("is_oos").cast("int")).alias("_past"))
+    new = daily.select(*keys, F.struct(*inputs).alias("_day"))
+    held = old.unionByName(new, allowMissingColumns=True).groupBy(*keys).agg(F.array_sort(F.collect_list("_past")).alias("past"), F.array_sort(F.collect_list("_day")).alias("days"))
+
+    def window(past: Column, since: Column) -> Column:
+        return F.filter(past, lambda p: p["calday"] >= since)
+
+    def summary(past: Column, d: Column) -> Column:
+        ordered = F.array_sort(F.filter(F.transform(past, lambda p: p["corrected_qty"]), lambda q: q.isNotNull()))
+        recent = window(past, F.date_sub(d, mean_days))
+        total = F.aggregate(recent, F.lit(0.0), lambda a, p: a + F.coalesce(p["corrected_qty"], F.lit(0.0)))
+        oos = F.aggregate(window(past, F.date_sub(d, inactive_days - 1)), F.lit(0), lambda a, p: a + F.coalesce(p["is_oos"], F.lit(0)))
+        return _given(ordered, lambda a: F.struct(_quartile(a, 0.25).alias("q1"), _quartile(a, 0.75).alias("q3"), F.try_divide(total, F.size(recent)).alias("mean"), oos.alias("oos")))
+
+    def step(s: Column, x: Column) -> Column:
+        d = x["calday"]
+
+        def grown(past: Column, row: Column) -> Column:
+            seen = F.struct(d.alias("calday"), row["corrected_qty"].alias("corrected_qty"), row["is_oos"].alias("is_oos"))
+            result = F.struct(d.alias("calday"), *[row[c.split()[0]].alias(c.split()[0]) for c in CORRECTED_SCHEMA.split(", ")])
+            return F.struct(F.array_append(past, seen).alias("past"), F.array_append(s["done"], result).alias("done")).cast(state)
+
+        def with_past(past: Column) -> Column:
+            return _given(summary(past, d), lambda m: _given(_corrected(x, m, d, settle_days, inactive_days), lambda row: grown(past, row)))
+
+        return _given(window(s["past"], F.date_sub(d, history_days)), with_past)
+
+    start = F.struct(F.col("past"), F.array().alias("done")).cast(state)
+    return held.select(*keys, F.inline(F.aggregate("days", start, step)["done"])).select("calday", *keys, *[c.split()[0] for c in CORRECTED_SCHEMA.split(", ")])
+
+
 def outlier_correct(
     daily: DataFrame, table: str, keys: list[str], first: date, last: date, **rules: int
 ) -> None:
-    """Correct the days ``first`` .. ``last`` in order into the day-partitioned ``table``.
+    """Correct the days ``first`` .. ``last`` into the day-partitioned ``table`` (``corrected_days``), by one read of its history and one commit.
 
-    Day t reads corrected day t-1, so days are separate jobs; the state is the written table, which
-    also cuts the lineage and lets a lost run continue at the next day. ``daily`` is the input of
-    ``correct_day`` with a ``calday`` column; history must already lie in ``table``.
+    The written table is the state: a later call goes on from the corrected days that it holds, and a call that is
+    repeated replaces the days that it wrote. History must already lie in ``table``.
     """
-    from tallyloom.sinks.tables import align_schema, replace_days
-
-    spark = daily.sparkSession
-    on = first
-    while on <= last:
-        history = spark.read.parquet(table)
-        today = daily.where(F.col("calday") == day(on)).drop("calday")
-        corrected = align_schema(correct_day(today, history, keys, on, **rules), history.schema)
-        replace_days(corrected, table, "calday", "outlier_correct")
-        on += timedelta(days=1)
+    from tallyloom.sinks.tables import align_schema, read_table, replace_days
+
+    written = read_table(daily.sparkSession, table)
+    c, since = F.col("calday"), rules.get("history_days", HISTORY_DAYS)
+    back = max(since, rules.get("mean_days", MEAN_DAYS), rules.get("inactive_days", INACTIVE_DAYS))
+    history = written.where((c >= F.date_sub(day(first), back)) & (c < day(first)))
+    days = daily.where(c.between(day(first), day(last)))
+    corrected = align_schema(corrected_days(days, history, keys, **rules), written.schema)
+    replace_days(corrected, table, "calday", "outlier_correct")

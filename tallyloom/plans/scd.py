@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.dates import OPEN_END, day
 from tallyloom.functions.keys import surrogate_key
 from tallyloom.operators.filters import valid_on
+from tallyloom.operators.joins import following_days
 
 
 def _open() -> Column:
@@ -98,9 +99,7 @@ def scd2_presence(snapshots: DataFrame, keys: list[str], snapshot_day: str, last
     the key's own days and the calendar of snapshot days: no key-by-day grid is built.
     """
     seen = snapshots.select(*keys, F.col(snapshot_day).alias("_d")).distinct()
-    calendar = seen.select("_d").distinct()
-    # one row per snapshot day
-    following = calendar.select("_d", F.lead("_d").over(Window.orderBy("_d")).alias("_next_snapshot"))
+    following = following_days(seen, "_d", "_next_snapshot")  # one row per snapshot day
     w = Window.partitionBy(*keys).orderBy("_d")
     marked = seen.join(F.broadcast(following), "_d").withColumn("_next_seen", F.lead("_d").over(w))
     # the key is absent from the next snapshot on

@@ -2,9 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from tallyloom.functions.numbers import exact_sum
 from tallyloom.functions.text import strip_zeros
 from tallyloom.operators import joins as J
 from tallyloom.operators import windows as N
+from tallyloom.operators.aggregates import MeasureSet, merged_measures
 from tallyloom.operators.filters import valid_on
 from tallyloom.proofs.common import AS_OF, event_day, order_day, ship_day, sql_total, total
 from tallyloom.proofs.registry import proof
@@ -55,11 +57,6 @@ def jn_full_coalesce(t):
     return ordered.join(shipped, "calday", "full").na.fill(0)
 
 
-def _by_flag(t, flag, name):
-    rows = t.lineitem.where(F.col("l_returnflag") == flag)
-    return rows.groupBy("l_suppkey", ship_day().alias("calday")).agg(total("l_quantity").alias(name))
-
-
 def _by_flag_sql(flag, name):
     return (
         f"(SELECT l_suppkey, CAST(l_shipdate AS DATE) AS calday, {sql_total('l_quantity')} AS {name} "
@@ -74,8 +71,10 @@ def _by_flag_sql(flag, name):
         FULL JOIN {_by_flag_sql("N", "normal")} USING (l_suppkey, calday)""",
 )
 def jn_full_multiway(t):
-    frames = {n: _by_flag(t, f, n) for f, n in [("R", "returned"), ("A", "accepted"), ("N", "normal")]}
-    return J.full_merge(frames, ["l_suppkey", "calday"])
+    """The three sets share a fact, so that one pass over it gives them all."""
+    at = {"l_suppkey": F.col("l_suppkey"), "calday": ship_day()}
+    sets = [MeasureSet(at, F.col("l_returnflag") == flag, {name: (exact_sum, F.col("l_quantity"))}) for flag, name in [("R", "returned"), ("A", "accepted"), ("N", "normal")]]
+    return merged_measures(t.lineitem, list(at), sets)
 
 
 @proof(

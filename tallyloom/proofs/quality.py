@@ -6,6 +6,8 @@ from tallyloom.functions.dates import day
 from tallyloom.plans import incremental, quality
 from tallyloom.proofs.common import event_day, sql_total
 from tallyloom.proofs.registry import proof
+from tallyloom.session import fresh_dir
+from tallyloom.sinks import tables as W
 from tallyloom.sinks.tables import WriteStats
 from tallyloom.streaming.contracts import Contract, Rule, array_of, object_of, optional, validated
 
@@ -177,11 +179,14 @@ def dq_audit_reconcile(t):
     on = F.lit("20240115")
     checked = validated(hub_messages(t), HUB_CONTRACTS)
     rows = checked.select("hub", "is_valid", "error", F.to_date("ts").alias("d"), F.date_format("ts", "yyyyMMddHHmmss").alias("proc_stamp"))
+    rows = rows.withColumn("load_day", F.substring("proc_stamp", 1, 8))
     hubs = rows.select("hub").distinct()
     # the audit log has a row per hub, day and batch; the error hub was never streamed
     log = rows.where("hub <> 'error_hub'").groupBy("hub", F.substring("proc_stamp", 1, 8).alias("proc_date"), F.hour(F.to_timestamp("proc_stamp", "yyyyMMddHHmmss")).alias("batch_id")).agg(F.count("*").alias("row_count"))
     streamed = quality.streamed_summary(log, hubs, on)
-    landed = quality.landed_summary(rows.where("is_valid"), on)
+    path = fresh_dir(t.spark, "landed")
+    W.append(rows.where("is_valid").select("hub", "proc_stamp", "load_day"), path, ["load_day"])
+    landed = quality.landed_summary(W.read_table(t.spark, path), on)
     invalid = quality.invalid_summary(rows.where("NOT is_valid").withColumnRenamed("d", "ingest_day"), hubs, day("2024-01-15"))
     return quality.audit_reconcile(streamed, landed, invalid).drop("schema_mismatches")
 

@@ -102,25 +102,45 @@ def x_seasonality_index(t):
 
 
 RATE_DAY = "2024-01-31"
-
-
-@proof(
-    "x_sell_rate",
-    f"""WITH d AS (SELECT user_id, CAST(ts AS DATE) AS calday, {sql_total("value")} AS v FROM events GROUP BY 1, 2),
-             m AS (SELECT user_id, AVG(CASE WHEN calday >= DATE '{RATE_DAY}' - 7 THEN v END) AS m7, AVG(CASE WHEN calday >= DATE '{RATE_DAY}' - 14 THEN v END) AS m14,
-                          AVG(v) AS m28 FROM d WHERE calday >= DATE '{RATE_DAY}' - 28 AND calday < DATE '{RATE_DAY}' GROUP BY 1),
+#: The day of the rate, and how far the events are moved back to end there. The second one lies in week 53 of the year before.
+RATE_DAYS = {RATE_DAY: 0, "2021-01-01": 1125}
+GROUP_SQL = "user_id % 5"
+#: Index by order priority group and week of 1996, applied to the same week of 2020 and 2024; one group has none, and where two apply the first rank counts.
+INDEX_SQL = """SELECT length(o_orderpriority) % 5 AS grp, y || '.' || lpad(CAST(week(CAST(o_orderdate AS DATE)) AS VARCHAR), 2, '0') AS year_week_apply, r AS rn,
+        CAST(COUNT(*) AS DOUBLE) * r AS seasonality_index FROM orders, (VALUES (2020, 1), (2020, 2), (2024, 1), (2024, 2)) AS v(y, r) WHERE o_orderstatus <> 'P' OR r = 2 GROUP BY 1, 2, 3"""
+
+
+def _rate_sql(on, back):
+    return f"""SELECT '{on}' AS rate_day, user_id, ROUND(m7, 6) AS ma_short, ROUND(m14, 6) AS ma_middle, ROUND(m28, 6) AS ma_long, ROUND(m14, 6) AS sell_rate,
+               ROUND(CASE WHEN trend < lo THEN lo WHEN trend > hi THEN hi ELSE trend END, 6) AS sale_trend, COALESCE(si, 1) AS seasonality_index
+        FROM (WITH d AS (SELECT user_id, CAST(ts AS DATE) - {back} AS calday, {sql_total("value")} AS v FROM events GROUP BY 1, 2),
+             m AS (SELECT user_id, AVG(CASE WHEN calday >= DATE '{on}' - 7 THEN v END) AS m7, AVG(CASE WHEN calday >= DATE '{on}' - 14 THEN v END) AS m14,
+                          AVG(v) AS m28 FROM d WHERE calday >= DATE '{on}' - 28 AND calday < DATE '{on}' GROUP BY 1),
              r AS (SELECT *, CASE WHEN COALESCE(m14, 0) = 0 THEN 0 ELSE m7 / m14 END AS tr FROM m),
              s AS (SELECT user_id, m7, m14, m28, CASE WHEN COALESCE(tr, 0) = 0 THEN 1 ELSE tr END AS trend FROM r),
-             b AS (SELECT quantile_cont(trend, 0.1) AS lo, quantile_cont(trend, 0.9) AS hi FROM s)
-        SELECT user_id, ROUND(m7, 6) AS ma_short, ROUND(m14, 6) AS ma_middle, ROUND(m28, 6) AS ma_long, ROUND(m14, 6) AS sell_rate,
-               ROUND(CASE WHEN trend < lo THEN lo WHEN trend > hi THEN hi ELSE trend END, 6) AS sale_trend FROM s, b""",
-)
+             b AS (SELECT quantile_cont(trend, 0.1) AS lo, quantile_cont(trend, 0.9) AS hi FROM s),
+             i AS (SELECT grp, arg_min(seasonality_index, rn) AS si FROM ({INDEX_SQL}) WHERE year_week_apply = strftime(DATE '{on}', '%G.%V') GROUP BY 1)
+             SELECT * FROM s CROSS JOIN b LEFT JOIN i ON {GROUP_SQL} = grp)"""
+
+
+@proof("x_sell_rate", " UNION ALL ".join(_rate_sql(on, back) for on, back in RATE_DAYS.items()))
 def x_sell_rate(t):
-    daily = t.events.groupBy("user_id", event_day().alias("calday")).agg(total("value").alias("v"))
-    rates = demand.sell_rate(daily, ["user_id"], "v", "calday", RATE_DAY, (7, 14, 28))
-    bounds = exact_percentiles(rates, [], "sale_trend", {"lo": 0.1, "hi": 0.9})
-    clipped = demand.clip_to(rates, "sale_trend", bounds.select("lo").scalar(), bounds.select("hi").scalar())
-    return clipped.select("user_id", *[r6(F.col(c)).alias(c) for c in clipped.columns if c != "user_id"])
+    """Rates of two days with the index of their week: one inside a year, one in week 53, which belongs to the year before."""
+    week = F.concat(F.lit("."), F.lpad(F.weekofyear("o_orderdate").cast("string"), 2, "0"))
+    ranks = F.explode(F.array(*[F.struct(F.lit(y).alias("y"), F.lit(r).alias("rn")) for y in ("2020", "2024") for r in (1, 2)])).alias("v")
+    orders = t.orders.select((F.length("o_orderpriority") % 5).alias("grp"), week.alias("week"), "o_orderstatus", ranks).where("o_orderstatus <> 'P' OR v.rn = 2")
+    counted = orders.groupBy("grp", F.concat("v.y", "week").alias("year_week_apply"), F.col("v.rn").alias("rn")).agg(F.count("*").alias("n"))
+    index = counted.withColumn("seasonality_index", F.col("n").cast("double") * F.col("rn"))
+    out = None
+    for on, back in RATE_DAYS.items():
+        daily = t.events.groupBy("user_id", F.date_sub(event_day(), back).alias("calday")).agg(total("value").alias("v"))
+        rates = demand.sell_rate(daily, ["user_id"], "v", "calday", on, (7, 14, 28))
+        bounds = exact_percentiles(rates, [], "sale_trend", {"lo": 0.1, "hi": 0.9})
+        clipped = demand.clip_to(rates, "sale_trend", bounds.select("lo").scalar(), bounds.select("hi").scalar())
+        clipped = demand.with_seasonality(clipped.withColumn("grp", (F.col("user_id") % 5).cast("int")), index, ["grp"], on).drop("grp")
+        rows = clipped.select(F.lit(on).alias("rate_day"), "user_id", *[r6(F.col(c)).alias(c) for c in clipped.columns if c != "user_id"])
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def _outlier_sql():
@@ -169,5 +189,5 @@ def x_outlier_correct(t):
     seed = history.select("calday", "user_id", "base_qty", F.col("base_qty").alias("corrected_qty"), F.lit(0).alias("is_oos"))
     W.replace_days(W.align_schema(seed, f"calday DATE, user_id BIGINT, {demand.CORRECTED_SCHEMA}"), table, "calday")
     demand.outlier_correct(daily, table, ["user_id"], date(2024, 1, 23), date(2024, 1, 29), settle_days=10)
-    out = t.spark.read.parquet(table).where(F.col("calday") >= day("2024-01-23"))
+    out = W.read_table(t.spark, table).where(F.col("calday") >= day("2024-01-23"))
     return out.select("calday", "user_id", "base_qty", "is_promotion", "is_outlier", F.round("corrected_qty", 8).alias("corrected_qty"))

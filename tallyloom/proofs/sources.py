@@ -1,6 +1,6 @@
 """Proofs of scans. Files are written from the test tables into a fresh directory and read back."""
 
-from datetime import datetime, timedelta
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -28,7 +28,7 @@ def src_parquet_partition(t):
 def src_parquet_safe(t):
     path = fresh_dir(t.spark, "safe")
     ddl = "s_suppkey BIGINT, s_name STRING"
-    W.append(t.supplier.select("s_suppkey", "s_name"), path)
+    t.supplier.select("s_suppkey", "s_name").write.parquet(path)
     there, listed = files.read_parquet_safe(t.spark, path, ddl)
     absent, none = files.read_parquet_safe(t.spark, path + "-absent", ddl)
     return there.withColumn("found", F.lit(int(bool(listed)))).unionByName(absent.withColumn("found", F.lit(len(none))))
@@ -46,7 +46,7 @@ def src_csv_roundtrip(t):
 
 
 def _now():
-    return datetime.utcnow().replace(microsecond=0)
+    return datetime.now(UTC).replace(microsecond=0, tzinfo=None)
 
 
 @proof(

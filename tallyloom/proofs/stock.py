@@ -27,6 +27,32 @@ def x_running_balance(t):
     return out.withColumn("balance", F.col("balance").cast("double"))
 
 
+VALUE_FIRST, VALUE_LAST = "1995-01-01", "1999-12-31"
+
+
+@proof(
+    "x_running_balance_value",
+    f"""WITH l AS (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS d, CASE WHEN l_returnflag = 'N' THEN 1 ELSE -1 END AS sign, l_tax FROM lineitem),
+             m AS (SELECT l_suppkey, CASE WHEN d < DATE '{VALUE_FIRST}' THEN DATE '{VALUE_FIRST}' - 1 ELSE d END AS d, SUM(CAST(sign * 0.2505 AS DECIMAL(18,4))) AS q,
+                          SUM(CAST(sign * l_tax * 10 AS DECIMAL(18,2))) AS v FROM l WHERE d <= DATE '{VALUE_LAST}' GROUP BY 1, 2),
+             p AS (SELECT l_suppkey, d, ROUND(SUM(q) OVER w, 3) AS quantity, SUM(v) OVER w AS amount, LEAD(d) OVER w AS d_to FROM m WINDOW w AS (PARTITION BY l_suppkey ORDER BY d)),
+             spine AS (SELECT CAST(UNNEST(generate_series(DATE '{VALUE_FIRST}', DATE '{VALUE_LAST}', INTERVAL 1 DAY)) AS DATE) AS calday),
+             f AS (SELECT calday, l_suppkey, quantity, amount, ROW_NUMBER() OVER (PARTITION BY l_suppkey, ROUND(quantity, 0), ROUND(amount, 0) ORDER BY calday) AS rn
+                   FROM spine JOIN p ON calday >= d AND (calday < d_to OR d_to IS NULL))
+        SELECT calday, l_suppkey, CAST(quantity AS DOUBLE) AS quantity, CAST(amount AS DOUBLE) AS amount FROM f WHERE quantity <> 0 OR amount <> 0 OR rn = 1""",
+)
+def x_running_balance_value(t):
+    """Small pieces in and out, so that balances pass through zero; what came before the first day is the opening balance."""
+    sign = F.when(F.col("l_returnflag") == "N", 1).otherwise(-1)
+    quantity, amount = (sign * F.lit(0.2505)).cast("decimal(18,4)"), (sign * F.col("l_tax") * 10).cast("decimal(18,2)")
+    moves = t.lineitem.select("l_suppkey", ship_day().alias("d"), quantity.alias("quantity"), amount.alias("amount"))
+    first = day(VALUE_FIRST)
+    before = moves.where(F.col("d") < first).groupBy("l_suppkey").agg(F.sum("quantity").alias("quantity"), F.sum("amount").alias("amount"))
+    opening = before.withColumn("d", F.date_sub(first, 1))
+    out = B.balances_from_movements(moves.where(F.col("d") >= first), ["l_suppkey"], "d", {"quantity": 3, "amount": None}, VALUE_FIRST, VALUE_LAST, opening)
+    return out.withColumns({m: F.col(m).cast("double") for m in ("quantity", "amount")})
+
+
 BANDS = [("1", 0, 30), ("2", 30, 90), ("3", 90, 180), ("4", 180, 270), ("5", 270, 360), ("6", 360, 720)]  # fixed values
 BAND_SQL = "CASE " + " ".join(f"WHEN age + 1 > {lo} AND age + 1 <= {hi} THEN '{i}'" for i, lo, hi in BANDS) + " END"
 STOCK_DAY = "2001-08-01"
@@ -98,9 +124,9 @@ HORIZONS = [7, 14, 28]
 COST_LAST = "2024-01-31"
 
 
-def _rolled(t, keys=("user_id",)):
+def _rolled(t, keys=("user_id",), horizons=HORIZONS):
     costs = t.events.select(*keys, event_day().alias("d"), F.col("value").cast("decimal(18,2)").alias("c"), F.get_json_object("props", "$.k").cast("decimal(18,2)").alias("q"))
-    return B.rolling_cost(costs, list(keys), "d", "c", "q", HORIZONS, COST_LAST)
+    return B.rolling_cost(costs, list(keys), "d", "c", "q", horizons, COST_LAST)
 
 
 def _rolled_sql():
@@ -133,12 +159,8 @@ def x_rolling_cost(t):
         SELECT *, (SELECT MIN(v) FROM (VALUES (unit_own), (unit_7d), (unit_14d), (unit_28d)) x(v) WHERE v > 0) AS cost_per_unit FROM j""",
 )
 def x_least_positive_cost(t):
-    rolled = _rolled(t)
-    own = t.events.groupBy("user_id", event_day().alias("calday")).agg(
-        F.sum(F.col("value").cast("decimal(18,2)")).alias("c"),
-        F.sum(F.get_json_object("props", "$.k").cast("decimal(18,2)")).alias("q"),
-    )
-    frames = {"unit_own": own.select("calday", "user_id", B.unit_cost("c", "q").alias("unit_own"))}
-    for h in HORIZONS:
-        frames[f"unit_{h}d"] = rolled.select("calday", "user_id", B.unit_cost(f"cost_{h}d", f"qty_{h}d").alias(f"unit_{h}d"))
-    return B.least_positive_cost(frames, ["calday", "user_id"])
+    """A day's own cost is its trailing cost of one day."""
+    rolled = _rolled(t, horizons=[1, *HORIZONS])
+    names = {1: "unit_own"} | {h: f"unit_{h}d" for h in HORIZONS}
+    units = rolled.select("calday", "user_id", *[B.unit_cost(f"cost_{h}d", f"qty_{h}d").alias(n) for h, n in names.items()])
+    return B.least_positive_cost(units, list(names.values()))

@@ -9,7 +9,7 @@ from tallyloom.proofs.registry import proof
 from tallyloom.session import fresh_dir
 from tallyloom.streaming import ingest
 from tallyloom.streaming.contracts import validated
-from tallyloom.sinks.tables import replace_days
+from tallyloom.sinks.tables import append, compact, read_table
 
 
 def message_dir(t, base):
@@ -59,10 +59,10 @@ def str_source_file(t):
     stream = ingest.message_files(t.spark, message_dir(t, base), max_files=2)
 
     def each(batch, batch_id):
-        replace_days(batch.withColumn("batch_id", F.lit(batch_id)), f"{base}/out", "batch_id")
+        append(batch, f"{base}/out", load=("stream", batch_id))
 
     ingest.run_batches(stream, each, f"{base}/checkpoint").awaitTermination()
-    return t.spark.read.parquet(f"{base}/out").groupBy("topic").agg(F.count("*").alias("n"))
+    return read_table(t.spark, f"{base}/out").groupBy("topic").agg(F.count("*").alias("n"))
 
 
 @proof(
@@ -84,10 +84,11 @@ def str_decode(t):
 def str_valid_invalid_split(t):
     base = fresh_dir(t.spark, "split")
     stream = validated(ingest.decode(ingest.message_files(t.spark, message_dir(t, base))), HUB_CONTRACTS)
-    sink = ingest.split_sink(f"{base}/valid", f"{base}/invalid", now())
+    sink = ingest.split_sink(f"{base}/messages_checked", "checker", now())
     ingest.run_batches(stream, sink, f"{base}/checkpoint").awaitTermination()
-    good = t.spark.read.parquet(f"{base}/valid").select("hub", F.lit(True).alias("is_valid"), F.lit("none").alias("error"))
-    bad = t.spark.read.parquet(f"{base}/invalid").select("hub", F.lit(False).alias("is_valid"), "error")
+    good, bad = (ingest.read_side(t.spark, f"{base}/messages_checked", side) for side in (True, False))
+    good = good.select("hub", F.lit(True).alias("is_valid"), F.lit("none").alias("error"))
+    bad = bad.select("hub", F.lit(False).alias("is_valid"), "error")
     return good.unionByName(bad).groupBy("hub", "is_valid", "error").agg(F.count("*").alias("n"))
 
 
@@ -98,7 +99,7 @@ def str_valid_invalid_split(t):
 def str_available_now(t):
     base = fresh_dir(t.spark, "now")
     landed(t, base)
-    rows = t.spark.read.parquet(f"{base}/landed")
+    rows = read_table(t.spark, f"{base}/landed")
     return rows.groupBy("event_type").agg(F.count("*").alias("n"), total("value").alias("amount"))
 
 
@@ -109,7 +110,7 @@ def str_available_now(t):
 def str_foreach_batch_audit(t):
     base = fresh_dir(t.spark, "audit")
     landed(t, base)
-    audit = t.spark.read.parquet(f"{base}/audit")
+    audit = read_table(t.spark, f"{base}/audit")
     return audit.groupBy("hub", "proc_date").agg(F.sum("row_count").alias("row_count"))
 
 
@@ -117,7 +118,7 @@ def str_foreach_batch_audit(t):
 def str_stamp_normalize(t):
     base = fresh_dir(t.spark, "stamp")
     landed(t, base)
-    return t.spark.read.parquet(f"{base}/landed").select("event_id", F.col("ProcDate").alias("stamp"))
+    return read_table(t.spark, f"{base}/landed").select("event_id", F.col("ProcDate").alias("stamp"))
 
 
 @proof("str_file_lineage", "SELECT event_id, TRUE AS has_path, TRUE AS has_time FROM events")
@@ -125,7 +126,7 @@ def str_file_lineage(t):
     base = fresh_dir(t.spark, "lineage")
     landed(t, base)
     parts = F.split("source_metadata", r"\|")
-    return t.spark.read.parquet(f"{base}/landed").select(
+    return read_table(t.spark, f"{base}/landed").select(
         "event_id",
         parts[0].contains("/json/").alias("has_path"),
         F.to_timestamp(parts[1]).isNotNull().alias("has_time"),
@@ -147,8 +148,8 @@ def str_restart_exactly_once(t):
 
     for _ in range(2):  # the second run finds nothing new in its checkpoint
         ingest.run_batches(stream, replayed, f"{base}/checkpoint").awaitTermination()
-    audited = t.spark.read.parquet(f"{base}/audit").agg(F.sum("row_count")).scalar()
-    rows = t.spark.read.parquet(landed_rows)
+    audited = read_table(t.spark, f"{base}/audit").agg(F.sum("row_count")).scalar()
+    rows = read_table(t.spark, landed_rows)
     return rows.agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("n_ids")).withColumn("audited", audited)
 
 
@@ -167,10 +168,22 @@ def str_json_infer(t):
     stream = ingest.json_files(t.spark, f"{base}/json/*", schema)
 
     def each(batch, batch_id):
-        replace_days(batch.withColumn("batch_id", F.lit(batch_id)), f"{base}/out", "batch_id")
+        append(batch, f"{base}/out", load=("stream", batch_id))
 
     ingest.run_batches(stream, each, f"{base}/checkpoint").awaitTermination()
-    rows = t.spark.read.parquet(f"{base}/out")
+    rows = read_table(t.spark, f"{base}/out")
     return rows.groupBy("event_type").agg(
         F.count("*").alias("n"), total("value").alias("amount"), F.count("who.user_id").alias("n_extra")
     )
+
+
+@proof("str_timed_trigger", f"SELECT event_type, COUNT(*) AS n, {sql_total('value')} AS amount, 4::BIGINT AS triggers FROM events GROUP BY 1")
+def str_timed_trigger(t):
+    """Four files, one a trigger, on a timed trigger that ends after four of them with rows; then the small files are brought together."""
+    base = fresh_dir(t.spark, "timed")
+    path = event_json_dir(t, base)
+    stream = t.spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).json(path)
+    taken = ingest.run_timed(stream, lambda batch, i: append(batch, f"{base}/out", load=("timed", i)), f"{base}/checkpoint", "200 milliseconds", 4)
+    compact(t.spark, f"{base}/out")
+    rows = read_table(t.spark, f"{base}/out").groupBy("event_type").agg(F.count("*").alias("n"), total("value").alias("amount"))
+    return rows.withColumn("triggers", F.lit(len(taken)).cast("long"))

@@ -1,22 +1,24 @@
 """Stream ingest: message sources, validation split, landing with an idempotent audit.
 
-Every sink is a ``foreachBatch`` that writes into a partition named by hub and batch id with dynamic
-partition overwrite. A batch that is replayed after a lost executor or driver replaces its own
-partition, so rows and counts are never doubled.
+Every sink is a ``foreachBatch`` that appends its batch to a versioned table in one write, with (writer, batch id) as the load. A batch
+that is replayed after a lost executor or driver finds its load committed and adds nothing, so rows and counts are never doubled.
+Small files of many batches are brought together by ``sinks.tables.compact``.
 """
 
 from __future__ import annotations
 
 import json
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tallyloom.functions.dates import normalize_stamp
-from tallyloom.sinks.tables import replace_days
+from tallyloom.sinks.tables import append_evolving, read_table, replace_table
+from tallyloom.sinks.versions import VersionedTable
 
 MESSAGE_SCHEMA = "topic STRING, value BINARY"
 
@@ -65,20 +67,34 @@ def widen(old: T.StructType, new: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in fields.items()])
 
 
+STORE_SCHEMA = "schema STRING, seen_until TIMESTAMP, seen_then ARRAY<STRING>"
+
+
 def inferred_schema(spark: SparkSession, path: str, store: str | None = None) -> T.StructType:
     """Schema of a JSON directory, widened by the stored one and stored again.
 
-    Inference is a Spark job over the files; the store is one JSON text in a directory of its own.
+    The store remembers up to which modification time files were read, and the names of those of that very time; a later call infers from
+    newer files only. Listing reads no contents. Without a store the whole directory is read.
     """
-    found = spark.read.json(path).schema
     if store is None:
-        return found
-    from tallyloom.sinks.tables import read_table, replace_table
-
+        return spark.read.json(path).schema
     kept = read_table(spark, store)
-    if kept is not None:
-        found = widen(T.StructType.fromJson(json.loads(kept.first()["schema"])), found)
-    replace_table(spark.createDataFrame([(found.json(),)], "schema STRING"), store)
+    last = kept.head() if kept is not None else None
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "modificationTime")
+    if last is not None:
+        stored = kept.select("seen_until", "seen_then")
+        at, until = F.col("modificationTime"), F.col("seen_until")
+        files = files.join(F.broadcast(stored), (at > until) | ((at == until) & ~F.array_contains("seen_then", F.col("path"))), "left_semi")
+    fresh = files.collect()  # names of files that came since the last call, which the scan below lists again
+    found = T.StructType.fromJson(json.loads(last.schema)) if last is not None else T.StructType()
+    if not fresh:
+        return found
+    found = widen(found, spark.read.json([r.path for r in fresh]).schema)
+    until = max(r.modificationTime for r in fresh)
+    then = [r.path for r in fresh if r.modificationTime == until]
+    if last is not None and last.seen_until == until:
+        then += last.seen_then
+    replace_table(spark.createDataFrame([(found.json(), until, sorted(then))], STORE_SCHEMA), store)
     return found
 
 
@@ -108,37 +124,98 @@ def run_batches(
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def split_sink(valid_path: str, invalid_path: str, ingest_time: Column) -> Callable[[DataFrame, int], None]:
-    """Write valid messages and invalid ones with their error from one pass over the batch.
+class TriggerLog(StreamingQueryListener):
+    """Progress of one query's triggers that took rows: batch id and number of rows; ``done`` is set after a number of them."""
+
+    def __init__(self, triggers: int):
+        self.triggers, self.seen, self.query, self.done = triggers, {}, None, threading.Event()
+
+    def onQueryStarted(self, event) -> None: ...
+
+    def onQueryIdle(self, event) -> None: ...
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        if str(progress.id) == self.query and progress.numInputRows:
+            self.seen[progress.batchId] = progress.numInputRows
+        if len(self.seen) >= self.triggers:
+            self.done.set()
 
-    Both sides are partitions of one write per table; the batch is kept for the second table.
+    def onQueryTerminated(self, event) -> None:
+        if str(event.id) == self.query:
+            self.done.set()
+
+
+def run_timed(
+    stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, every: str, triggers: int, at_most: float = 600.0
+) -> dict[int, int]:
+    """Run on a timed trigger until ``triggers`` batches with rows are through, or ``at_most`` seconds; rows by batch id.
+
+    For a query that lives on, use ``run_batches`` with a period: this one gives a scheduled job an end. What the checkpoint holds
+    after it is continued by the next run.
     """
+    spark, log = stream.sparkSession, TriggerLog(triggers)
+    spark.streams.addListener(log)
+    try:
+        query = run_batches(stream, each, checkpoint, every=every)
+        log.query = str(query.id)
+        for progress in query.recentProgress:  # what came before the listener knew the query
+            if progress.numInputRows:
+                log.seen[progress.batchId] = progress.numInputRows
+        log.done.wait(at_most)
+        query.stop()
+        if query.exception() is not None:
+            raise query.exception()
+        return dict(sorted(log.seen.items()))
+    finally:
+        spark.streams.removeListener(log)
+
+
+def split_sink(path: str, writer: str, ingest_time: Column) -> Callable[[DataFrame, int], None]:
+    """Valid messages and invalid ones with their error, by one write of the batch: validity and hub are the table's partitions."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("batch_id", F.lit(batch_id)).persist()
-        try:
-            replace_days(rows.where("is_valid").select("hub", "json_str", "batch_id"), valid_path, ["hub", "batch_id"])
-            bad = rows.where("NOT is_valid").withColumn("ingestion_time", ingest_time)
-            replace_days(bad.select("hub", "json_str", "error", "ingestion_time", "batch_id"), invalid_path, ["hub", "batch_id"])
-        finally:
-            rows.unpersist()
+        bad = ~F.col("is_valid")
+        rows = batch.select(
+            "hub",
+            "is_valid",
+            "json_str",
+            F.when(bad, F.col("error")).alias("error"),
+            F.when(bad, ingest_time).alias("ingestion_time"),
+            F.lit(batch_id).cast("long").alias("batch_id"),
+        )
+        append_evolving(rows, path, ["is_valid", "hub"], load=(writer, batch_id))
 
     return each
 
 
+def read_side(spark: SparkSession, path: str, valid: bool) -> DataFrame:
+    """One side of what ``split_sink`` wrote; the other side's partitions are not listed by the scan."""
+    rows = read_table(spark, path).where(F.col("is_valid") == F.lit(valid))
+    return rows.select("hub", "json_str", "batch_id") if valid else rows.select("hub", "json_str", "error", "ingestion_time", "batch_id")
+
+
+#: Partition column of landed tables: the day of the load stamp.
+LOAD_DAY = "load_day"
+
+
 def landing_sink(hub: str, table: str, audit: str, stamp: str, batch_time: Column) -> Callable[[DataFrame, int], None]:
-    """Land a batch and record its row counts by load day, both keyed by batch id."""
+    """Land a batch partitioned by load day and record its row counts by day, both as the load (hub, batch id).
+
+    The counts are those of the files that the batch's commit names, so the batch is run once. Where only the audit is missing after a failure, the
+    replay writes it from the commit that is there.
+    """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("batch_id", F.lit(batch_id)).persist()
-        try:
-            if rows.isEmpty():
-                return
-            replace_days(rows, table, "batch_id")
-            counts = rows.groupBy(F.substring(stamp, 1, 8).alias("proc_date")).agg(F.count("*").alias("row_count"))
-            audited = counts.withColumns({"hub": F.lit(hub), "batch_id": F.lit(batch_id), "batch_timestamp": batch_time})
-            replace_days(audited, audit, ["hub", "batch_id"])
-        finally:
-            rows.unpersist()
+        if batch.isEmpty():
+            return
+        rows = batch.withColumns({"batch_id": F.lit(batch_id).cast("long"), LOAD_DAY: F.substring(stamp, 1, 8)})
+        append_evolving(rows, table, [LOAD_DAY], load=(hub, batch_id))
+        landed = VersionedTable(batch.sparkSession, table)
+        version = landed.version(load_id=batch_id, writer=hub)
+        files = landed.files(version).where(F.col("write") == version.write)
+        counts = files.groupBy(F.regexp_extract("part", f"{LOAD_DAY}=([^/]+)", 1).alias("proc_date")).agg(F.sum("rows").alias("row_count"))
+        audited = counts.withColumns({"hub": F.lit(hub), "batch_id": F.lit(batch_id).cast("long"), "batch_timestamp": batch_time})
+        append_evolving(audited, audit, load=(hub, batch_id))
 
     return each

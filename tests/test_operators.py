@@ -174,3 +174,75 @@ def test_full_merge_refuses_a_repeated_key(spark):
     with pytest.raises(Exception, match="holds a key twice"):
         J.full_merge({"a": a, "b": b}, ["k"]).collect()
     assert sorted(map(tuple, J.full_merge({"a": a.limit(1), "b": b}, ["k"]).collect()), key=str) == [(1, 5, 7), (None, None, 8)]
+
+
+@pytest.mark.parametrize("accuracy", [10, 100])
+def test_percentile_brackets_equal_native_in_concentrated_groups(spark, accuracy):
+    # all values within one doubling, many of them equal, one group with most rows, one small, one of NULL
+    data = spark.range(20_000).select(
+        F.when(F.col("id") % 10 < 8, 1).when(F.col("id") < 60, 2).when(F.col("id") % 10 == 9, 3).alias("k"),
+        (100 + F.least(F.pmod(F.xxhash64("id"), F.lit(900)), F.lit(700)) / 10).alias("v"),
+    )
+    wanted = {"a": 0.0, "b": 0.25, "c": 0.26, "d": 0.5, "e": 0.999, "f": 1.0}
+    native = data.groupBy("k").agg(F.percentile("v", F.array(*[F.lit(p) for p in wanted.values()])).alias("p")).collect()
+    got = {r.k: r for r in A.exact_percentiles(data.repartition(6), ["k"], "v", wanted, accuracy=accuracy).collect()}
+    assert len(got) == 4
+    for r in native:
+        assert all(abs(got[r.k][n] - x) < 1e-9 for n, x in zip(wanted, r.p))
+
+
+def test_percentiles_shuffle_little_of_a_concentrated_group(spark):
+    values = spark.range(0, 200_000, 1, 8).select((F.lit(1.0) + F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1_000_003).alias("v"))
+    df = A.exact_percentiles(values, [], "v", {"p": 0.5}, accuracy=1000)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange") <= 3
+    sketch = values.agg(F.percentile_approx("v", [0.5 - 0.003, 0.5 + 0.003], 1000).alias("b")).first().b
+    held = values.where(F.col("v").between(*sketch)).count()
+    assert held < 2000  # of 200,000 rows these are counted by value, by as many tasks as read them; the others travel as two counts
+
+
+def test_merged_measures_equal_full_joins(spark, rows):
+    fact = spark.createDataFrame(
+        [(1, "a", 5, 2, 10), (1, "b", 7, 1, 10), (2, "a", 1, 1, 11), (None, "b", 2, 2, 12), (3, "c", 9, 3, 13), (1, "a", 4, None, 14)], "k int, f string, v int, other int, o int"
+    )
+    own, far = {"k": F.col("k")}, {"k": F.col("other")}
+    sets = [
+        A.MeasureSet(own, F.col("f") == "a", {"a_sum": (F.sum, F.col("v")), "a_n": (F.count, F.lit(1))}),
+        A.MeasureSet(own, F.col("f") == "b", {"b_sum": (F.sum, F.col("v"))}),
+        A.MeasureSet(far, F.col("other").isNotNull(), {"orders": (F.count_distinct, F.col("o"))}),
+    ]
+    frames = {
+        "a": fact.where("f = 'a'").groupBy("k").agg(F.sum("v").alias("a_sum"), F.count("*").alias("a_n")),
+        "b": fact.where("f = 'b'").groupBy("k").agg(F.sum("v").alias("b_sum")),
+        "c": fact.where("other IS NOT NULL").groupBy(F.col("other").alias("k")).agg(F.count_distinct("o").alias("orders")),
+    }
+    columns = ["k", "a_sum", "a_n", "b_sum", "orders"]
+    assert rows(A.merged_measures(fact, ["k"], sets), *columns) == rows(J.full_merge(frames, ["k"]), *columns)
+
+
+def test_leveled_rows(spark, rows):
+    df = spark.createDataFrame([(1, "x"), (2, None)], "k int, v string")
+    got = A.leveled(df, {"own": (F.lit(True), F.col("k")), "far": (F.col("v") == "x", F.col("v"))})
+    assert rows(got, "k", "level", "level_key") == [(1, "far", "x"), (1, "own", "1"), (2, "own", "2")]
+
+
+def test_following_days_cross_years_and_gaps(spark, rows):
+    days = ["1899-12-31", "1999-12-30", "1999-12-31", "2000-02-01", "2000-02-01", "2005-07-07", "2101-01-01", None]
+    df = spark.createDataFrame([(d,) for d in days], "d string").select(F.to_date("d").alias("d")).repartition(3)
+    got = J.following_days(df, "d", "n")
+    known = sorted({d for d in days if d})
+    assert sorted((str(r.d), r.n and str(r.n)) for r in got.collect()) == [(a, b) for a, b in zip(known, [*known[1:], None])]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and all("windowspecdefinition(_w" in line for line in plan.splitlines() if "Window [" in line)
+    with pytest.raises(TypeError, match="not a date"):
+        J.following_days(df.select(F.col("d").cast("timestamp").alias("d")), "d", "n")
+
+
+def test_top_by_quota_runs_nothing_and_spreads_a_hot_key(spark, rows):
+    df = spark.range(2000).select(F.when(F.col("id") < 1500, 0).otherwise(F.col("id") % 7).alias("k"), F.pmod(F.xxhash64("id"), F.lit(50)).alias("v"), "id", (F.col("id") % 5).alias("q"))
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    got = N.top_by_quota(df, ["k"], [F.desc("v"), F.asc("id")], "q")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before
+    w = Window.partitionBy("k").orderBy(F.desc("v"), "id")
+    assert rows(got, "id") == rows(df.withColumn("n", F.row_number().over(w)).where("n <= q"), "id")

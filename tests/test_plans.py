@@ -1,6 +1,8 @@
 """Properties and hand-made rows of the composite plans."""
 
+import random
 from datetime import date
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import Row
@@ -10,6 +12,7 @@ from tallyloom.operators.joins import full_merge
 from tallyloom.plans import balance as B
 from tallyloom.plans import demand, incremental, marts, pricing, quality, scd
 from tallyloom.sinks import tables as W
+from tallyloom.sinks.versions import VersionedTable
 
 
 def d(text):
@@ -159,10 +162,77 @@ def test_outlier_loop_feeds_on_its_own_output(spark, tmp_path):
     W.replace_days(W.align_schema(seed, f"calday DATE, k INT, {demand.CORRECTED_SCHEMA}"), table, "calday")
     rows = [today_row(k=k, base_qty=0.0, stock_qty=0.0).asDict() | {"calday": date(2024, 1, i)} for i in range(11, 14) for k in keys]
     demand.outlier_correct(spark.createDataFrame([Row(**r) for r in rows]), table, ["k"], date(2024, 1, 11), date(2024, 1, 13))
-    got = spark.read.parquet(table).where("calday >= DATE'2024-01-11'")
+    got = W.read_table(spark, table).where("calday >= DATE'2024-01-11'")
     assert got.count() == 6 and got.where("abs(corrected_qty - 10) > 1e-9").count() == 0
 
 
+def outlier_input(spark, first, last):
+    """Three keys with their own habits, a promotion and days without stock; deterministic."""
+    r = random.Random(9)
+    rows = []
+    for i in range(1, 29):
+        for k in (1, 2, 3):
+            sold = float(r.choice((0, 3, 5, 8, 60))) if k < 3 else 0.0
+            row = today_row(k=k, base_qty=sold, coupon_qty=sold if r.random() < 0.2 else 0.0, stock_qty=0.0 if k == 3 else float(r.choice((0, 4))), first_day=date(2024, 1, 1) if k == 2 else date(2023, 1, 1))
+            rows.append(Row(**(row.asDict() | {"calday": date(2024, 2, i)})))
+    return spark.createDataFrame(rows).where(F.col("calday").between(F.lit(first), F.lit(last)))
+
+
+RULES = dict(history_days=9, mean_days=5, settle_days=45, inactive_days=6)
+
+
+def corrected_by_days(spark, daily, history):
+    """The same days one after the other, each by the rule for one day."""
+    days = sorted(r.calday for r in daily.select("calday").distinct().collect())
+    done = history
+    for on in days:
+        today = demand.correct_day(daily.where(F.col("calday") == F.lit(on)).drop("calday"), done, ["k"], on, **RULES)
+        done = spark.createDataFrame(done.unionByName(today.select("calday", "k", "corrected_qty", "is_oos")).collect(), done.schema)
+    return done
+
+
+def test_folded_days_equal_one_pass_per_day_and_resume(spark, tmp_path):
+    daily = outlier_input(spark, date(2024, 2, 11), date(2024, 2, 18))
+    seed = outlier_input(spark, date(2024, 2, 1), date(2024, 2, 10)).where("k <> 3 OR calday > DATE'2024-02-04'")
+    seed = seed.select("calday", "k", F.col("base_qty").alias("corrected_qty"), F.lit(0).alias("is_oos"))
+    want = {(r.calday, r.k): r.corrected_qty for r in corrected_by_days(spark, daily, seed).collect()}
+    whole, parts = str(tmp_path / "whole"), str(tmp_path / "parts")
+    for table in (whole, parts):
+        W.replace_days(W.align_schema(seed, f"calday DATE, k INT, {demand.CORRECTED_SCHEMA}"), table, "calday")
+    daily = daily.withColumn("k", F.col("k").cast("int"))
+    demand.outlier_correct(daily, whole, ["k"], date(2024, 2, 11), date(2024, 2, 18), **RULES)
+    for a, b in ((11, 13), (14, 14), (12, 14), (15, 18)):  # goes on from what is written, and may go over days again
+        demand.outlier_correct(daily, parts, ["k"], date(2024, 2, a), date(2024, 2, b), **RULES)
+    for table in (whole, parts):
+        got = W.read_table(spark, table)
+        assert {(r.calday, r.k): pytest.approx(r.corrected_qty) for r in got.collect()} == want
+        notes = {r.note for r in got.collect()}
+    assert demand.INITIAL_NOTE in notes and demand.INACTIVE_NOTE in notes
+    assert len(VersionedTable(spark, whole).numbers()) == 2  # one commit for eight days
+
+
+def test_seasonality_of_the_week_that_applies(spark, rows):
+    rates = spark.createDataFrame([(1, "a", 2.0), (2, "b", 3.0), (3, None, 4.0)], "id int, g string, sell_rate double")
+    index = spark.createDataFrame(
+        [("a", "2020.53", 2, 9.0), ("a", "2020.53", 1, 1.5), ("a", "2021.01", 1, 7.0), ("a", "2021.53", 1, 8.0), ("b", "2021.01", 1, 0.5)],
+        "g string, year_week_apply string, rn int, seasonality_index double",
+    )
+    got = {on: {r.id: r.seasonality_index for r in demand.with_seasonality(rates, index, ["g"], on).collect()} for on in ("2020-12-31", "2021-01-03", "2021-01-04")}
+    assert got == {"2020-12-31": {1: 1.5, 2: 1.0, 3: 1.0}, "2021-01-03": {1: 1.5, 2: 1.0, 3: 1.0}, "2021-01-04": {1: 7.0, 2: 0.5, 3: 1.0}}
+    keys = spark.range(1).select(*[demand.iso_week_key(d).alias(d) for d in ("2024-12-30", "2021-01-01", "2026-12-31", "2024-02-01")]).first()
+    assert tuple(keys) == ("2025.01", "2020.53", "2026.53", "2024.05")
+
+
+def test_balances_of_quantity_and_value(spark):
+    moves = [(1, date(2024, 1, 2), "5", "50"), (1, date(2024, 1, 4), "-5", "-40"), (1, date(2024, 1, 6), "0", "-10"), (1, date(2024, 1, 9), "1", "1"), (1, date(2024, 1, 10), "-1", "-1")]
+    frame = spark.createDataFrame([(k, on, Decimal(q), Decimal(v)) for k, on, q, v in moves], "k int, d date, q decimal(10,4), v decimal(10,2)")
+    opening = spark.createDataFrame([(1, date(2024, 1, 1), Decimal("0.0004"), Decimal("0"))], frame.schema)
+    got = B.balances_from_movements(frame.where("d >= '2024-01-02'"), ["k"], "d", {"q": 3, "v": None}, "2024-01-01", "2024-01-12", opening)
+    days = {r.calday.day: (float(r.q), float(r.v)) for r in got.collect()}
+    # the first day with nothing is kept, later ones are not; a value without quantity is something
+    assert days == {1: (0.0, 0.0), 2: (5.0, 50.0), 3: (5.0, 50.0), 4: (0.0, 10.0), 5: (0.0, 10.0), 9: (1.0, 1.0)}
+
+
 def test_bom_explode(spark, rows):
     sales = spark.createDataFrame([("s", 1, 4.0), ("s", 2, 1.0)], "store string, item int, qty double")
     bom = spark.createDataFrame([(1, 2, 3.0, 2.0)], "item int, component_id int, component_quantity double, base_quantity double")

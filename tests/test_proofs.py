@@ -75,3 +75,26 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = entry_point.queries()["flt_day_slice"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan
     assert "props" not in plan.split("ReadSchema:")[1]
+
+
+@pytest.mark.parametrize(
+    "name, table, scans",
+    [
+        ("x_price_waterfall", "lineitem", 1),
+        ("x_margin_detail", "lineitem", 1),
+        ("x_margin_detail", "part", 1),
+        ("x_wide_daily_mart", "lineitem", 1),
+        ("x_wide_daily_mart", "orders", 1),
+        ("jn_full_multiway", "lineitem", 1),
+        ("x_replenishment_demand", "lineitem", 1),
+        ("x_least_positive_cost", "events", 1),
+        ("x_seasonality_index", "lineitem", 3),  # the weekly sums, and the first and the last day of the calendar
+        ("x_fifo_aging", "lineitem", 2),  # stock and receipts are two inputs
+    ],
+)
+def test_scans_of_a_fact(spark, name, table, scans):
+    df = entry_point.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().optimizedPlan()
+    files = [str(plan.collectLeaves().apply(i).toString()) for i in range(plan.collectLeaves().size())]
+    column = {"lineitem": "l_", "orders": "o_", "part": "p_", "events": "event"}[table]
+    assert sum(f.startswith("Relation [") and f.split("[")[1].startswith(column) or f.startswith("Relation") and f"[{column}" in f for f in files) <= scans
