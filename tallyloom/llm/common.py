@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,3 +58,32 @@ def remainder(doc_id: Column, modulus: int) -> Column:
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, all else as it is; null counts as empty."""
     return F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+#: Bits of the array that ``may_hold`` broadcasts: 8 MB, whatever the number of keys.
+SLOTS = 1 << 26
+
+
+def may_hold(rows: DataFrame, key: str, keys: DataFrame) -> Column:
+    """A condition on ``rows`` that is true where the long column ``key`` is among those of ``keys``, and seldom elsewhere.
+
+    A bit per hash of a key, of a fixed number of bits, is broadcast. It spares wide rows a shuffle before an exact join; with so many keys that
+    most bits are set it spares little, and the join is as right as ever.
+    """
+
+    def slot(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(SLOTS))
+
+    at = slot(F.col(key))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))
+    words = keys.select((at / 64).cast("int").alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    held = np.zeros(SLOTS // 64, np.int64)  # at most SLOTS / 64 rows come here
+    held[words["word"].to_numpy()] = words["bits"].to_numpy()
+    shared = rows.sparkSession.sparkContext.broadcast(held)
+
+    @F.pandas_udf("boolean")
+    def found(slots: pd.Series) -> pd.Series:
+        places = slots.to_numpy()
+        return pd.Series((shared.value[places >> 6] >> (places & 63) & 1).astype(bool))
+
+    return found(at)
