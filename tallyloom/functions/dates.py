@@ -66,11 +66,15 @@ def stamp_from_filename(name: Column, suffix: str = ".xml") -> Column:
     return parse_compact_ts(last)
 
 
-def clean_date_list(c: Column, as_of: date | str) -> Column:
-    """Comma list of days: trimmed, distinct, within last year's start and ``as_of``."""
-    first = F.trunc(F.add_months(day(as_of), -12), "YEAR")
+def last_year_start(as_of: date | str) -> Column:
+    """The first day of the year before a day's."""
+    return F.trunc(F.add_months(day(as_of), -12), "YEAR")
+
+
+def clean_date_list(c: Column, as_of: date | str, first: Column | None = None) -> Column:
+    """Comma list of days: trimmed, distinct, from ``first`` (last year's start unless given) to ``as_of``."""
     bare = F.transform(F.split(c, ","), lambda x: F.trim(F.regexp_replace(x, "[\"' ]", "")))
-    kept = F.filter(bare, lambda x: x.try_cast("date").between(first, day(as_of)))
+    kept = F.filter(bare, lambda x: x.try_cast("date").between(last_year_start(as_of) if first is None else first, day(as_of)))
     return F.array_join(F.array_distinct(kept), ",")
 
 

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.dates import clean_date_list, day
+from tallyloom.functions.dates import clean_date_list, day, last_year_start
 from tallyloom.session import broadcast_days
 
 CHANGE_LOG = (
@@ -36,25 +36,26 @@ def dependencies(
     ).select("proc_date", F.lit(dataset).alias("dataset_affect"), F.lit(table).alias("table_affect"), "dependency_table", "etl_from", "etl_to")
 
 
-def changed_days(change_log: DataFrame, pending: DataFrame, as_of: date | str) -> DataFrame:
+def changed_days(change_log: DataFrame, pending: DataFrame, as_of: date | str, first: date | str | None = None) -> DataFrame:
     """One row: range, day list and touched tables of the pending changes.
 
-    The lists are as long as the calendar and the table catalogue. ``start_date_d`` is not earlier than
-    the start of last year.
+    The lists are as long as the calendar and the table catalogue. ``start_date_d`` and the listed days are not
+    earlier than ``first``, which is the start of last year unless given.
     """
     named = change_log.withColumn("dependency_table", F.concat_ws(".", "dataset_affect", "table_affect"))
     hits = named.join(pending.select("dependency_table", "etl_from", "etl_to"), "dependency_table").where(
         F.col("proc_date").between(F.col("etl_from"), F.col("etl_to"))
     )
-    floor = F.trunc(F.add_months(day(as_of), -12), "YEAR")
+    floor = last_year_start(as_of) if first is None else day(first)
+    tables = F.sort_array(F.collect_set("dependency_table"))
     lists = F.array_join(F.sort_array(F.collect_set("calday_list")), ",")
     return hits.agg(
         F.min("start_date").alias("start_date"),
         F.max("end_date").alias("end_date"),
         F.greatest(F.min("start_date"), floor).alias("start_date_d"),
-        F.count_distinct("dependency_table").alias("table_count"),
-        F.array_join(F.sort_array(F.collect_set("dependency_table")), ",").alias("table_etl"),
-        clean_date_list(lists, as_of).alias("calday_list"),
+        F.size(tables).cast("bigint").alias("table_count"),
+        F.array_join(tables, ",").alias("table_etl"),
+        clean_date_list(lists, as_of, floor).alias("calday_list"),
     )
 
 

@@ -266,15 +266,18 @@ def fn_array_suite(t):
 
 @proof(
     "fn_clean_date_list",
-    f"""SELECT o_orderkey, CASE WHEN CAST(o_orderdate AS DATE) BETWEEN DATE '1999-01-01' AND DATE '2000-06-30'
-               THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || ',2000-01-01' ELSE '2000-01-01' END AS days
-        FROM orders WHERE CAST(o_orderdate AS DATE) <> DATE '2000-01-01'""",
+    """SELECT o_orderkey, CASE WHEN CAST(o_orderdate AS DATE) BETWEEN DATE '1999-01-01' AND DATE '2000-06-30' AND CAST(o_orderdate AS DATE) <> DATE '2000-01-01'
+               THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || ',2000-01-01' ELSE '2000-01-01' END AS days,
+              CASE WHEN CAST(o_orderdate AS DATE) <= DATE '2000-06-30' AND CAST(o_orderdate AS DATE) <> DATE '2000-01-01'
+               THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || ',2000-01-01' ELSE '2000-01-01' END AS all_days
+        FROM orders""",
 )
 def fn_clean_date_list(t):
+    """With the floor at last year's start, and with an own one below all days."""
     d = order_day().cast("string")
     raw = F.concat_ws(",", F.concat(F.lit(" '"), d, F.lit("' ")), F.lit(""), F.lit("soon"), F.lit("2000-01-01"), d)
-    kept = t.orders.where(order_day() != dates.day("2000-01-01"))
-    return kept.select("o_orderkey", dates.clean_date_list(raw, "2000-06-30").alias("days"))
+    whole = dates.clean_date_list(raw, "2000-06-30", dates.day("1900-01-01"))
+    return t.orders.select("o_orderkey", dates.clean_date_list(raw, "2000-06-30").alias("days"), whole.alias("all_days"))
 
 
 @proof(
