@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.common import ROW, wrapped
+
 START, END = "<|im_start|>", "<|im_end|>"
 TURNS = "array<struct<role: string, text: string>>"
 #: Names of roles in known layouts and what they are called here; others stay as they are.
@@ -81,16 +83,17 @@ def _turns(layout: Layout, body: Column) -> Column:
 
 
 def canonical_turns(records: DataFrame, body: str = "body") -> DataFrame:
-    """``records`` with ``layout`` and ``turns`` (role, text; nulls as empty) of the VARIANT column ``body``.
+    """``records`` as ``doc`` (all columns, whatever their names) with ``layout`` and ``turns`` (role, text; nulls as empty) of the VARIANT column ``body``.
 
     A record of unknown layout, or null, has a null layout and no turns.
     """
     layouts = F.array(*[F.struct(F.lit(x.name).alias("layout"), F.xxhash64(F.lit(x.fields)).alias("print")) for x in LAYOUTS])
     known = records.sparkSession.range(1).select(F.inline(layouts))  # one row per layout
-    found = records.join(F.broadcast(known), fingerprint(F.col(body)) == F.col("print"), "left").drop("print")
+    held = F.col(ROW)[body]
+    found = wrapped(records).join(F.broadcast(known), fingerprint(held) == F.col("print"), "left").drop("print")
     turns = F.lit(None).cast(TURNS)
     for x in LAYOUTS:
-        turns = F.when(F.col("layout") == x.name, _turns(x, F.col(body)).cast(TURNS)).otherwise(turns)
+        turns = F.when(F.col("layout") == x.name, _turns(x, held).cast(TURNS)).otherwise(turns)
     names = F.create_map(*[F.lit(x) for pair in ROLE_NAMES.items() for x in pair])
     named = F.transform(F.coalesce(turns, F.array().cast(TURNS)), lambda t: F.struct(F.coalesce(names[t["role"]], t["role"]).alias("role"), t["text"].alias("text")))
     return found.withColumn("turns", named)
@@ -106,12 +109,12 @@ def unescaped(text: Column) -> Column:
 
 
 def formatted(turns: DataFrame, key: str, order: str) -> DataFrame:
-    """One row per ``key``: ``formatted`` text and ``loss``, spans of assistant texts (turn number, start in it, length).
+    """One row per value of the record column ``key``, as ``key``: ``formatted`` text and ``loss``, spans of assistant texts (turn number, start in it, length).
 
     ``turns`` has ``turns`` arrays as ``canonical_turns`` gives them, taken in the order of ``order``; rows with equal order by role
     and text. A conversation is one output row, so its turns meet in one task; they are collected after partial collection.
     """
-    listed = turns.select(F.col(f"`{key}`").alias("key"), F.col(f"`{order}`").alias("order"), F.posexplode("turns").alias("pos", "turn"))
+    listed = turns.select(F.col(ROW)[key].alias("key"), F.col(ROW)[order].alias("order"), F.posexplode("turns").alias("pos", "turn"))
     listed = listed.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("order", "pos", "turn.role", "turn.text"))).alias("turns"))
     parts = F.transform(
         "turns",
@@ -125,7 +128,7 @@ def formatted(turns: DataFrame, key: str, order: str) -> DataFrame:
     spans = F.transform("parts", lambda p, i: F.struct(p["role"].alias("role"), i.alias("turn"), F.length(p["head"]).alias("start"), F.length(p["text"]).alias("length")))
     loss = F.transform(F.filter(spans, lambda s: s["role"] == "assistant"), lambda s: F.struct(s["turn"], s["start"], s["length"]))
     text = F.array_join(F.transform("parts", lambda p: F.concat(p["head"], p["text"], F.lit(END + "\n"))), "")
-    return made.select(F.col("key").alias(key), text.alias("formatted"), loss.alias("loss"))
+    return made.select("key", text.alias("formatted"), loss.alias("loss"))
 
 
 def read_back(chats: DataFrame) -> DataFrame:

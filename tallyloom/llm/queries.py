@@ -149,7 +149,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = chat_format.read_back(chat_format.formatted(chat_format.canonical_turns(records), "conv_id", "turn"))
     turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return chats.select(
-        "conv_id",
+        F.col("key").alias("conv_id"),
         F.size("turns").cast("long").alias("n_turns"),
         F.sha2(turns.cast("binary"), 256).alias("turns_sha256"),
         F.length("loss_text").cast("long").alias("loss_chars"),
