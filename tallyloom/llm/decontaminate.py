@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import ascii_lower, written
+from tallyloom.llm.common import ROW, ascii_lower, unwrapped, wrapped, written
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -96,6 +96,7 @@ def contained_items(
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that contain no item."""
-    bad = contained_items(docs, items, id_col, text_col).select(F.col(id_col).alias("bad_id"), F.col("text_key").alias("bad_key")).distinct()
-    bad = written(bad, "decontaminate-found")
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("bad_id")) & (F.xxhash64(docs[text_col]) == F.col("bad_key")), "left_anti")
+    found = contained_items(docs, items, id_col, text_col).select(F.col(id_col).alias("bad_id"), F.col("text_key").alias("bad_key")).distinct()
+    bad = written(found, "decontaminate-found")
+    same = F.col(ROW)[id_col].eqNullSafe(F.col("bad_id")) & (F.xxhash64(F.col(ROW)[text_col]) == F.col("bad_key"))
+    return unwrapped(wrapped(docs).join(bad, same, "left_anti"))
