@@ -31,7 +31,7 @@ LOOKUP_WORDS, HEAD_WORDS, CLASSES, BUCKETS, HIDDEN = 300_000, 1_000, 32, 32, 16
 #: Documents of about so many tokens are scored together: enough to keep all lanes busy beside a long document.
 GROUP_TOKENS = 4_000_000
 #: A round per entry: of 16 equal shares of the training documents, those it learns from; and its step size.
-SHARES, RATES = (tuple(range(6)), tuple(range(6, 11)), tuple(range(11, 16))), (0.01, 0.005, 0.002)
+SHARES, RATES = (tuple(range(6)), tuple(range(6, 11)), tuple(range(11, 16))), (0.015, 0.008, 0.003)
 
 
 def words(text: bytes) -> list[bytes]:

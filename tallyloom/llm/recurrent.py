@@ -9,11 +9,12 @@ where a document starts, so the log-likelihood of a document does not depend on
 from __future__ import annotations
 
 import heapq
+from dataclasses import dataclass
 
 import numpy as np
 
 #: Steps that gradients go back; lanes that run side by side in training and scoring; longest run of a lane in training.
-WINDOW, TRAIN_LANES, SCORE_LANES, SEGMENT = 32, 96, 384, 1024
+WINDOW, TRAIN_LANES, SCORE_LANES, SEGMENT = 32, 192, 384, 1024
 
 
 class Shape:
@@ -63,8 +64,8 @@ def lanes_of(lengths: np.ndarray, lanes: int) -> list[list[int]]:
     return out
 
 
-def laid_out(documents: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens and document numbers as (step, lane) arrays; -1 where a lane has ended."""
+def laid_out(documents: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.ndarray, list[list[int]]]:
+    """Tokens and document numbers as (step, lane) arrays, -1 where a lane has ended; and the documents of each lane."""
     lengths = np.array([len(d) for d in documents])
     dealt = lanes_of(lengths, lanes)
     steps = max(int(lengths[lane].sum()) if lane else 0 for lane in dealt)
@@ -74,17 +75,27 @@ def laid_out(documents: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.nd
             run = np.concatenate([documents[d] for d in lane])
             tokens[: len(run), i] = run
             owner[: len(run), i] = np.repeat(lane, lengths[lane])
-    return tokens, owner
+    return tokens, owner, dealt
 
 
-def _states(shape: Shape, p: dict, seen: np.ndarray, state: np.ndarray, keep: list | None):
-    """Hidden states after each token of ``seen`` (steps, lanes); ``keep`` gathers what backpropagation needs."""
-    h = shape.hidden
+@dataclass
+class Steps:
+    """What backpropagation needs of a window, as (step, lane, unit) arrays."""
+
+    before: np.ndarray
+    gates: np.ndarray
+    back: np.ndarray
+    new: np.ndarray
+
+
+def _states(shape: Shape, p: dict, seen: np.ndarray, goes_on: np.ndarray, state: np.ndarray, kept: bool):
+    """Hidden states after each token of ``seen`` (steps, lanes). Where ``goes_on`` is 0 a run starts, from a zero state."""
+    h, (steps, lanes) = shape.hidden, seen.shape
     fed = p["embed"][seen]
-    fresh = (seen != 0).astype(np.float32)[:, :, None]  # an end token says: a document starts, from a zero state
-    out = np.empty((*seen.shape, h), np.float32)
-    for t in range(len(seen)):
-        before = state * fresh[t]
+    out = np.empty((steps, lanes, h), np.float32)
+    held = Steps(np.empty_like(out), np.empty((steps, lanes, 2 * h), np.float32), np.empty_like(out), np.empty_like(out)) if kept else None
+    for t in range(steps):
+        before = state * goes_on[t][:, None]
         back = before @ p["recur"]
         gates = fed[t, :, : 2 * h] + back[:, : 2 * h]
         np.negative(gates, out=gates)
@@ -96,9 +107,9 @@ def _states(shape: Shape, p: dict, seen: np.ndarray, state: np.ndarray, keep: li
         n = np.tanh(fed[t, :, 2 * h :] + r * q)
         state = n + z * (before - n)
         out[t] = state
-        if keep is not None:
-            keep.append((before, z, r, q, n))
-    return out, state
+        if kept:
+            held.before[t], held.gates[t], held.back[t], held.new[t] = before, gates, q, n
+    return out, state, held
 
 
 def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -151,13 +162,14 @@ def score(shape: Shape, flat: np.ndarray, documents: list[np.ndarray]) -> np.nda
     if not documents:
         return total
     p = shape.views(flat)
-    tokens, owner = laid_out(documents, SCORE_LANES)
+    tokens, owner, _ = laid_out(documents, SCORE_LANES)
     seen = np.vstack([np.zeros((1, tokens.shape[1]), np.int32), np.maximum(tokens[:-1], 0)])
     state = np.zeros((tokens.shape[1], shape.hidden), np.float32)
     for a in range(0, len(tokens), WINDOW):
         valid = tokens[a : a + WINDOW] >= 0
         lanes = valid.any(axis=0)
-        hidden, new = _states(shape, p, seen[a : a + WINDOW][:, lanes], state[lanes], None)
+        fed = seen[a : a + WINDOW][:, lanes]  # an end token says: a document starts
+        hidden, new, _ = _states(shape, p, fed, (fed != 0).astype(np.float32), state[lanes], False)
         state[lanes] = new
         valid = valid[:, lanes]
         logp, _ = _outputs(shape, p, hidden[valid], tokens[a : a + WINDOW][:, lanes][valid], None)
@@ -175,44 +187,61 @@ class Trainer:
     def learn(self, documents: list[np.ndarray]) -> int:
         """One pass over documents; returns the number of tokens.
 
-        Documents of over ``SEGMENT`` tokens are learned from in segments that start from a zero state, so that one
-        long document does not keep a single lane running.
+        Documents of over ``SEGMENT`` tokens are learned from in segments, so that one long document does not keep a single lane running. A
+        segment starts from a zero state and, where it is not a document's first, is fed the token before it.
         """
         shape, h = self.shape, self.shape.hidden
-        documents = [d[a : a + SEGMENT] for d in documents for a in range(0, len(d), SEGMENT)]
-        if not documents:
+        before = [np.append(0, d[:-1]).astype(np.int32) for d in documents]
+        parts, leads = ([d[a : a + SEGMENT] for d in held for a in range(0, len(d), SEGMENT)] for held in (documents, before))
+        if not parts:
             return 0
-        tokens, _ = laid_out(documents, TRAIN_LANES)
-        seen = np.vstack([np.zeros((1, tokens.shape[1]), np.int32), np.maximum(tokens[:-1], 0)])
+        tokens, owner, dealt = laid_out(parts, TRAIN_LANES)
+        seen = np.zeros_like(tokens)
+        for i, lane in enumerate(dealt):
+            if lane:
+                run = np.concatenate([leads[d] for d in lane])
+                seen[: len(run), i] = run
+        goes_on = np.vstack([np.zeros((1, owner.shape[1]), bool), owner[1:] == owner[:-1]]).astype(np.float32)
         state = np.zeros((tokens.shape[1], h), np.float32)
         grad = np.zeros_like(self.flat)
         for a in range(0, len(tokens), WINDOW):
             p, g = shape.views(self.flat), shape.views(grad)
             grad[:] = 0
-            fed, valid, kept = seen[a : a + WINDOW], tokens[a : a + WINDOW] >= 0, []
-            hidden, state = _states(shape, p, fed, state, kept)
+            fed, on, valid = seen[a : a + WINDOW], goes_on[a : a + WINDOW], tokens[a : a + WINDOW] >= 0
+            hidden, state, held = _states(shape, p, fed, on, state, True)
             _, back = _outputs(shape, p, hidden[valid], tokens[a : a + WINDOW][valid], g)
             from_output = np.zeros_like(hidden)
             from_output[valid] = back
-            inputs = np.empty((*fed.shape, 3 * h), np.float32)
-            carried = np.zeros_like(state)
-            for t in range(len(fed) - 1, -1, -1):
-                before, z, r, q, n = kept[t]
-                d = from_output[t] + carried
-                dn = d * (1 - z) * (1 - n * n)
-                dz = d * (before - n) * z * (1 - z)
-                dr = dn * q * r * (1 - r)
-                pre = np.concatenate([dz, dr, dn * r], axis=1)
-                g["recur"] += before.T @ pre
-                carried = (d * z + pre @ p["recur"].T) * (fed[t] != 0)[:, None]
-                inputs[t, :, :h], inputs[t, :, h : 2 * h], inputs[t, :, 2 * h :] = dz, dr, dn
-            seen_at = fed.reshape(-1)
-            order = np.argsort(seen_at, kind="stable")
-            begins = np.flatnonzero(np.diff(seen_at[order], prepend=-1))
-            g["embed"][seen_at[order][begins]] = np.add.reduceat(inputs.reshape(-1, 3 * h)[order], begins, axis=0)
+            self._backward(p, g, fed, on, held, from_output)
             self._step(grad)
         return int((tokens >= 0).sum())
 
+    def _backward(self, p: dict, g: dict, fed: np.ndarray, on: np.ndarray, held: Steps, from_output: np.ndarray) -> None:
+        """Gradients of a window's embeddings and recurrent weights from those of its states. All that does not depend on later steps is
+        worked out for the whole window at once."""
+        h = self.shape.hidden
+        z, r = held.gates[:, :, :h], held.gates[:, :, h:]
+        to_new = (1 - z) * (1 - held.new * held.new)
+        to_keep = (held.before - held.new) * z * (1 - z)
+        to_reset = held.back * r * (1 - r)
+        inputs = np.empty((*fed.shape, 3 * h), np.float32)
+        pre = np.empty_like(inputs)
+        carried, back = np.zeros_like(from_output[0]), np.ascontiguousarray(p["recur"].T)
+        for t in range(len(fed) - 1, -1, -1):
+            d = from_output[t] + carried
+            dn = d * to_new[t]
+            np.multiply(d, to_keep[t], out=pre[t, :, :h])
+            np.multiply(dn, to_reset[t], out=pre[t, :, h : 2 * h])
+            np.multiply(dn, r[t], out=pre[t, :, 2 * h :])
+            inputs[t, :, 2 * h :] = dn
+            carried = (d * z[t] + pre[t] @ back) * on[t][:, None]
+        inputs[:, :, : 2 * h] = pre[:, :, : 2 * h]
+        g["recur"] += held.before.reshape(-1, h).T @ pre.reshape(-1, 3 * h)
+        seen_at = fed.reshape(-1)
+        order = np.argsort(seen_at.astype(np.uint16) if self.shape.tokens < 1 << 16 else seen_at, kind="stable")
+        begins = np.flatnonzero(np.diff(seen_at[order], prepend=-1))
+        g["embed"][seen_at[order][begins]] = np.add.reduceat(inputs.reshape(-1, 3 * h)[order], begins, axis=0)
+
     def _step(self, grad: np.ndarray) -> None:
         self.steps += 1
         norm = float(np.sqrt(grad @ grad))
