@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.chunk_tokens import SPACED, TextEncoder
-from tallyloom.llm.common import ROW, map_batches, schema_of, written
+from tallyloom.llm.common import ROW, map_batches, may_hold, schema_of, written
 
 END = b"\0\0\0\0"
 #: Texts with characters that the two libraries might class differently, or with very long runs that one of them backtracks on.
@@ -332,8 +332,11 @@ def pack(docs: DataFrame, tokenizer: str, text_col: str = "text", window: int =
     result = [ROW, (F.col("begin") + F.col("at")).alias("start"), "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     if with_ids:
         parts = placed.join(pieces.select("task", "whole", "number", "ids"), ["task", "whole", "number"])
-    else:  # ids are needed of cut pieces only
-        parts = placed.where("length < whole").join(pieces.where(F.col("whole") < window).select("task", "whole", "number", "ids"), ["task", "whole", "number"])
+    else:  # ids are needed of cut pieces only: the others stay where they lie
+        name = F.xxhash64("task", "whole", "number").alias("name")
+        rests = pieces.where(F.col("whole") < window).select("task", "whole", "number", "ids", name)
+        cut = placed.where("length < whole").select("*", name)
+        parts = cut.join(rests.where(may_hold(rests, "name", cut)), ["task", "whole", "number"])
     part = F.substring("ids", F.col("at").cast("int") * 4 + 1, F.col("length").cast("int") * 4)
     parts = parts.withColumn("ids", part).withColumn("ids_crc32", F.crc32("ids"))
     if with_ids:
