@@ -269,7 +269,7 @@ def _rewritten(table: VersionedTable, base: Version, batch: DataFrame, hits: Dat
     files = table.spark.createDataFrame(touched, "file STRING, write STRING, siblings BIGINT, rows BIGINT, matched BIGINT").coalesce(1)
     n, total = sum(r.matched for r in touched), sum(r.rows for r in touched)
     columns = [F.col(f"`{f.name}`") for f in base.struct.fields]
-    others = table.read_files(files, base).join(batch.select(*keys), keys, "left_anti").select(*columns)
+    others = table.read_files(touched, base).join(batch.select(*keys), keys, "left_anti").select(*columns)
     return files, others, n, total - n
 
 

@@ -24,7 +24,7 @@ from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -157,15 +157,18 @@ class VersionedTable:
             return self.spark.createDataFrame([], MANIFEST)
         return self.spark.read.schema(MANIFEST).parquet(f"{self.path}/{version.manifest}").coalesce(1)
 
-    def read_files(self, files: DataFrame, version: Version, with_file: bool = False) -> DataFrame:
-        """Rows of some files of a version, in its columns, on request with ``tl_file``, the name that the manifest has for it.
+    def read_files(self, files: DataFrame | list[Row], version: Version, with_file: bool = False) -> DataFrame:
+        """Rows of some files of a version (manifest rows, or those already collected), in its columns, on request with ``tl_file``, the name that the manifest has for it.
 
         What the driver collects are paths: one per write whose files are all wanted, else one per file.
         """
-        held = files.groupBy("write", "siblings").agg(F.count("*").alias("n"), F.collect_list("file").alias("files"))
-        whole = F.array(F.concat(F.lit(f"{WRITE}="), "write"))
-        rows = held.select(F.when(F.col("n") == F.col("siblings"), whole).otherwise(F.col("files")).alias("paths"))
-        paths = [f"{self.path}/data/{p}" for r in rows.collect() for p in r.paths]
+        if isinstance(files, DataFrame):
+            held = files.groupBy("write", "siblings").agg(F.count("*").alias("n"), F.collect_list("file").alias("files"))
+            whole = F.array(F.concat(F.lit(f"{WRITE}="), "write"))
+            rows = held.select(F.when(F.col("n") == F.col("siblings"), whole).otherwise(F.col("files")).alias("paths"))
+            paths = [f"{self.path}/data/{p}" for r in rows.collect() for p in r.paths]
+        else:
+            paths = [f"{self.path}/data/{r.file}" for r in files]
         columns = [F.col(f"`{f.name}`") for f in version.struct.fields]
         if not paths:
             empty = self.spark.createDataFrame([], version.struct)
