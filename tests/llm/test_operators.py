@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -548,6 +549,14 @@ class TestLanguageModel:
         runs = [(text[:4], 0), (text[4:8], 5), (text[8:], 4)]
         assert cut == pytest.approx(sum(part(t, lead) * len(t) for t, lead in runs) / len(text), abs=1e-5)
 
+    @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="test tables not present")
+    def test_better_than_the_base_on_held_out_texts(self, spark):
+        from tallyloom.llm import queries
+
+        held = queries.PLANS["op5_lm_score"](spark, "/root/testdata/sf0.01").where("held_out")
+        r = held.agg((F.sum("score") / F.sum("n_tokens")).alias("model"), (F.sum("base_score") / F.sum("n_tokens")).alias("base"), F.avg((F.col("score") > F.col("base_score")).cast("int")).alias("better")).first()
+        assert r.model > r.base + 0.2 and r.better > 0.95
+
     @pytest.mark.parametrize("known", [300_000, 12])
     def test_scores(self, spark, docs, none, monkeypatch, known):
         monkeypatch.setattr(lm_score, "LOOKUP_WORDS", known)
