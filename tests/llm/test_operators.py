@@ -595,10 +595,14 @@ class TestPipeline:
         texts += [(100, texts[3][1].upper()), (101, texts[3][1]), (102, f"{prose(7, 30)} {item} {prose(8, 9)}"), (103, None), (104, "12 %% 7")]
         texts += [(105, prose(50, 2500)), (106, prose(50, 2500) + " tion"), (107, prose(51, 4000) + " end"), (108, prose(51, 4000)), (40, prose(1, 12))]
         far = "anha the stly of ounde edre heror tion ering thon " + prose(60, 94)
-        changed = far.split()
-        for at, new in ((20, "one"), (60, "two")):
-            changed[at] = new
-        texts += [(109, far), (110, " ".join(changed)), (111, " ".join([*changed[:30], "three", *changed[31:75], "four", *changed[76:]]))]
+
+        def changed(places):
+            words = far.split()
+            for at in places:
+                words[at] = f"new{at}"
+            return " ".join(words)
+
+        texts += [(109, far), (110, changed((20, 60))), (111, changed((25, 45, 70, 90)))]
         spark.createDataFrame([(i, t, "en" if i % 2 else "fr", "s", len(t or "")) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
         spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
 
