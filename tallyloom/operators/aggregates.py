@@ -121,8 +121,9 @@ def merged_measures(fact: DataFrame, keys: list[str], sets: list[MeasureSet]) ->
             fields.append(met.alias(f"_met{i}"))
             fields += [F.when(met, column).alias(name) for name, (_, column) in s.measures.items()]
         seen = reduce(lambda a, b: a | b, [F.coalesce(s.where, F.lit(False)) for s in sets if s.at is place])
-        tagged.append(F.when(seen, F.struct(*fields)))
-    rows = fact.select(F.inline(F.filter(F.array(*tagged), lambda r: r.isNotNull())))
+        tagged.append([*fields, seen.alias("_seen")])
+    rows = fact.select(*tagged[0]) if len(tagged) == 1 else fact.select(F.inline(F.array(*[F.struct(*fields) for fields in tagged])))
+    rows = rows.where("_seen")
     aggregates = [agg(F.col(name)).alias(name) for s in sets for name, (agg, _) in s.measures.items()]
     merged = rows.groupBy(*keys).agg(*[F.count_if(f"_met{i}").alias(f"_n{i}") for i in range(len(sets))], *aggregates)
     return merged.select(*keys, *[F.when(F.col(f"_n{i}") > 0, F.col(name)).alias(name) for i, s in enumerate(sets) for name in s.measures])
@@ -131,8 +132,9 @@ def merged_measures(fact: DataFrame, keys: list[str], sets: list[MeasureSet]) ->
 def leveled(df: DataFrame, levels: dict[str, tuple[Column, Column]], level: str = "level", key: str = "level_key") -> DataFrame:
     """Each row once per level that it belongs to: ``levels`` maps a name to (condition, key as text). One scan serves all levels, and the
     aggregate that follows needs one shuffle."""
-    tags = [F.when(where, F.struct(F.lit(name).alias(level), k.cast("string").alias(key))) for name, (where, k) in levels.items()]
-    return df.select("*", F.inline(F.filter(F.array(*tags), lambda t: t.isNotNull())))
+    tags = [F.struct(F.coalesce(where, F.lit(False)).alias("_in"), F.lit(name).alias(level), k.cast("string").alias(key)) for name, (where, k) in levels.items()]
+    placed = df.where(reduce(lambda a, b: a | b, [where for where, _ in levels.values()]))  # reaches the scan
+    return placed.select("*", F.inline(F.array(*tags))).where("_in").drop("_in")
 
 
 def sum_with_latest(
