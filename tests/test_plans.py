@@ -255,6 +255,41 @@ def test_priority_merge(spark, rows):
     assert rows(marts.priority_merge([(1, a), (2, b)], ["k"], [], [F.asc("v")]), "k", "v") == [(1, "x"), (2, "w")]
 
 
+def shuffled(df):
+    """Shuffles of a plan above its topmost generator, which spreads rows to stores."""
+    plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    spread = next(i for i, line in enumerate(plan) if "Generate" in line)
+    return [line for line in plan[:spread] if "Exchange hashpartitioning" in line]
+
+
+def test_price_waterfall_against_loops(spark):
+    r = random.Random(3)
+    pick = lambda *values: r.choice(values)
+    stores = [(s, pick(1, 2, None), pick("x", "y")) for s in [*range(40), None, 3, 3]] + [(7, 1, "x"), (7, 2, "y")]
+    days = [date(2024, m, 1) for m in range(1, 9)]
+    prices = set()
+    for _ in range(250):
+        level = pick("SITE", "GROUP", "LIST")
+        key = {"SITE": str(r.randrange(45)), "GROUP": pick("1", "2", "3"), "LIST": pick("x", "y", None)}[level]
+        prices.add((level, key, pick(1, 2, 3, None), float(r.randrange(9)), *sorted(r.sample(days, 2))))
+    frame = spark.createDataFrame(sorted(prices, key=str), "level string, level_key string, product_id int, price double, valid_from date, valid_to date")
+    dim = spark.createDataFrame(stores, "store_id long, grp int, lst string")
+    for order in ({"SITE": "store_id", "GROUP": "grp", "LIST": "lst"}, {"GROUP": "grp", "SITE": "store_id", "LIST": "lst"}):
+        names, at = list(order), {"SITE": 0, "GROUP": 1, "LIST": 2}
+        best = {}
+        for level, key, item, price, since, until in prices:
+            if level != names[0] and not since <= date(2024, 4, 15) <= until:
+                continue
+            for s in stores:
+                if key is not None and s[at[level]] is not None and str(s[at[level]]) == key:
+                    rank = (names.index(level), -since.toordinal(), -until.toordinal(), price)
+                    best[s[0], item] = min(best.get((s[0], item), (rank, level)), (rank, level))
+        got = pricing.price_waterfall(dim, frame, order, ["store_id", "product_id"], "2024-04-15")
+        found = {(x.store_id, x.product_id): ((x.priority - 1, -x.valid_from.toordinal(), -x.valid_to.toordinal(), x.price), x.sale_price_type) for x in got.collect()}
+        assert found == best and got.count() == len(best) and len({v[1] for v in best.values()}) > 1
+        assert not shuffled(got)
+
+
 def test_delivery_calendar_single_day(spark):
     df = spark.createDataFrame([("1",)], "days string")
     got = marts.delivery_calendar(df, F.col("days"), F.lit(0), "2024-01-14").first()  # a Sunday
