@@ -290,6 +290,52 @@ def test_price_waterfall_against_loops(spark):
         assert not shuffled(got)
 
 
+def test_expand_exclusions_against_loops(spark):
+    r = random.Random(4)
+    pick = lambda *values: r.choice(values)
+    stores = [(s, pick(1, 2, None), pick("a", "b")) for s in [*range(30), None, 3]] + [(7, 1, "a"), (7, 2, "b")]
+    things = [(i, pick("c", "d")) for i in [*range(6), None, 2]]
+    ends = [date(2024, 3, 1), date(2024, 4, 1)]
+    some = lambda n, *first: [(*[f() for f in first], r.choice(ends)) for _ in range(n)]
+    item = lambda: pick(0, 1, 2, 3, 4, 5, None)
+    lists = [
+        (2, "site", some(60, lambda: pick(*range(34), None), item)),
+        (3, "region", some(5, lambda: pick(1, 2, 9), item)),
+        (2, "unit", some(4, lambda: pick("a", "b"), item)),
+        (1, "category", some(1, lambda: pick("a", "b"), lambda: pick("c", "d"))),
+    ]
+    names = {"site": ["store_id", "product_id"], "region": ["region", "product_id"], "unit": ["business_unit", "product_id"], "category": ["business_unit", "category"]}
+    kinds = {"store_id": "long", "product_id": "int", "region": "int", "business_unit": "string", "category": "string"}
+    loads = {"site": date(2024, 1, 2), "region": date(2024, 1, 3), "unit": date(2024, 1, 1), "category": date(2024, 1, 4)}
+    dim, goods = spark.createDataFrame(stores, "store_id long, region int, business_unit string"), spark.createDataFrame(things, "product_id int, category string")
+    for used in (lists, lists[:1], lists[1:], lists[:3]):
+        rows, frames = [], []
+        for priority, level, given in used:
+            ddl = ", ".join(f"{c} {kinds[c]}" for c in names[level]) + ", end_date date"
+            frame = spark.createDataFrame(given, ddl).withColumns({"note": F.lit(level), "start_date": d("2024-01-01"), "proc_date": F.lit(loads[level])})
+            frames.append((priority, frame, level))
+            for a, b, end in given:
+                at = {"region": 1, "unit": 2, "category": 2}.get(level)
+                places = [a] if level == "site" else [s[0] for s in stores if s[at] == a and a is not None]
+                goods_of = [t[0] for t in things if t[1] == b] if level == "category" else [b]
+                rows += [(s, i, end, priority, loads[level], level) for s in places for i in goods_of]
+        want = {}
+        for s, i, end, priority, load, level in rows:
+            if priority == min(x[3] for x in rows if x[:2] == (s, i)):
+                want[s, i, end] = min(want.get((s, i, end), (load, level)), (load, level))
+        got = marts.expand_exclusions(frames, dim, goods, [F.asc("proc_date")])
+        found = [((x.store_id, x.product_id, x.end_date), (x.proc_date, x.note)) for x in got.collect()]
+        assert len(found) == len(want) and dict(found) == want
+
+
+def test_exclusions_of_classes_are_not_shuffled_by_store(spark):
+    dim = spark.createDataFrame([(s, s % 3, "a") for s in range(30)], "store_id long, region int, business_unit string")
+    dates = {"note": F.lit("n"), "start_date": d("2024-01-01"), "end_date": d("2024-02-01"), "proc_date": d("2024-01-01")}
+    region = spark.createDataFrame([(1, 5), (2, 6)], "region int, product_id int").withColumns(dates)
+    got = marts.expand_exclusions([(1, region, "region")], dim, None, [F.asc("proc_date")])
+    assert got.count() == 20 and not shuffled(got)
+
+
 def test_delivery_calendar_single_day(spark):
     df = spark.createDataFrame([("1",)], "days string")
     got = marts.delivery_calendar(df, F.col("days"), F.lit(0), "2024-01-14").first()  # a Sunday
