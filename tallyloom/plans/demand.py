@@ -51,12 +51,11 @@ def bom_explode(sales: DataFrame, bom: DataFrame, keys: list[str], item: str, qt
     """Sales per item with bundle sales added to their components by component ratio.
 
     ``bom`` has ``item, component_id, component_quantity, base_quantity``. The bundle's own row stays.
-    Sales are summed to ``keys`` before they are multiplied out, and again after.
+    Sales are multiplied out row by row, and one aggregate with map-side combine sums the bundles' own rows and the components.
     """
-    direct = sales.groupBy(*keys, item).agg(F.sum(qty).alias(qty))
     ratio = F.col("component_quantity") / F.col("base_quantity")
-    parts = direct.join(bom, item).select(*keys, F.col("component_id").alias(item), (F.col(qty) * ratio).alias(qty))
-    return direct.unionByName(parts).groupBy(*keys, item).agg(F.sum(qty).alias(qty))
+    parts = sales.join(bom, item).select(*keys, F.col("component_id").alias(item), (F.col(qty) * ratio).alias(qty))
+    return sales.select(*keys, item, qty).unionByName(parts).groupBy(*keys, item).agg(F.sum(qty).alias(qty))
 
 
 def sell_rate(

@@ -239,6 +239,16 @@ def test_bom_explode(spark, rows):
     assert rows(demand.bom_explode(sales, bom, ["store"], "item", "qty"), "item", "qty") == [(1, 4.0), (2, 7.0)]
 
 
+def test_bom_explode_sums_once(spark, rows):
+    """One aggregate: a task does not hold the sums of the direct sales beside those of sales and components."""
+    sales = spark.createDataFrame([("s", 1, 4.0), ("s", 1, 2.0), ("t", 1, None), (None, 2, 1.0), ("s", None, 1.0)], "store string, item int, qty double")
+    bom = spark.createDataFrame([(1, 2, 3.0, 2.0), (1, 2, 1.0, 2.0), (1, 1, 1.0, 1.0)], "item int, component_id int, component_quantity double, base_quantity double")
+    got = demand.bom_explode(sales, bom, ["store"], "item", "qty")
+    want = [("s", 1, 12.0), ("s", 2, 12.0), ("s", None, 1.0), ("t", 1, None), ("t", 2, None), (None, 2, 1.0)]
+    assert sorted(rows(got, "store", "item", "qty"), key=str) == sorted(want, key=str)
+    assert got._jdf.queryExecution().executedPlan().toString().count("HashAggregate") == 2  # both sides of one aggregate
+
+
 def test_overlap_trim_leaves_no_overlap(spark):
     periods = spark.range(300).select(
         F.pmod("id", F.lit(7)).alias("short"), F.pmod("id", F.lit(14)).alias("long"), "id",
