@@ -98,3 +98,17 @@ def test_scans_of_a_fact(spark, name, table, scans):
     files = [str(plan.collectLeaves().apply(i).toString()) for i in range(plan.collectLeaves().size())]
     column = {"lineitem": "l_", "orders": "o_", "part": "p_", "events": "event"}[table]
     assert sum(f.startswith("Relation [") and f.split("[")[1].startswith(column) or f.startswith("Relation") and f"[{column}" in f for f in files) <= scans
+
+
+def test_percentile_proof_sorts_no_code(spark, tmp_path):
+    """The answers are broadcast: no task sorts all rows of a code."""
+    rows = [(flag, float(v)) for v in range(100) for flag in ("A", "N", None)]
+    spark.createDataFrame(rows, "l_returnflag string, l_extendedprice double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = entry_point.queries()["agg_percentile_approx"](spark, str(tmp_path))
+        assert "Sort" not in df._jdf.queryExecution().executedPlan().toString()
+        assert sorted(tuple(r) for r in df.collect()) == [("A", True, True, True), ("N", True, True, True)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
