@@ -358,7 +358,8 @@ def compact(spark: SparkSession, path: str, target_bytes: int = 256 << 20, load:
         return WriteStats(path, "compact", version=base.number)
     rows = table.read_files(bins, base, with_file=True)
     place = bins.select(F.col("file").alias("tl_file"), "part", "bin")
-    rows = rows.join(place, "tl_file").repartition("part", "bin").sortWithinPartitions("part", "bin")
+    # not sorted: the rows of a bin stream from the shuffle into its file (where there are partitions, the writer sorts by them)
+    rows = rows.join(place, "tl_file").repartition("part", "bin")
     rows = rows.select(*[F.col(f"`{f.name}`") for f in base.struct.fields])
     return _stats(path, table.change(rows, base, "compact", drop=bins, load=load, counts={"kept": int(total)}, gather=False))
 

@@ -324,6 +324,17 @@ def test_compaction_brings_small_files_together(spark, path):
     assert W.read_table(spark, path).count() == 53  # loads are still known
 
 
+def test_compaction_does_not_sort_a_bin(spark, path, monkeypatch):
+    """Rows of a bin stream into its file; a sort would hold them all in the task."""
+    for i in range(3):
+        W.append(spark.createDataFrame([(i, "a"), (i, None)], "id int, v string"), path)
+    plans, change = [], VersionedTable.change
+    monkeypatch.setattr(VersionedTable, "change", lambda self, rows, *a, **k: plans.append(rows._jdf.queryExecution().optimizedPlan().toString()) or change(self, rows, *a, **k))
+    W.compact(spark, path)
+    assert len(plans) == 1 and "Sort" not in plans[0]
+    assert W.read_table(spark, path).count() == 6 and len(files_of(spark, path)) == 1
+
+
 def test_compaction_keeps_bins_near_the_target(spark, path):
     for i in range(6):
         W.append(spark.range(i * 1000, i * 1000 + 1000).toDF("k"), path)
