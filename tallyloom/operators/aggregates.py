@@ -61,7 +61,8 @@ def exact_percentiles(
     bound = F.struct("n", "low", "high", "at")
     if keys:
         at = F.struct(*keys).alias("_at")  # equal structs may hold NULL keys
-        met = rows.select(*keys, F.col(value).alias("_v"), at).join(bounds.select(at, bound.alias("_b")), "_at")
+        # hashed brackets, so that a task streams its rows; a sort-merge join would sort all rows of a group in one task
+        met = rows.select(*keys, F.col(value).alias("_v"), at).join(bounds.select(at, bound.alias("_b")).hint("shuffle_hash"), "_at")
     else:
         met = rows.select(F.col(value).alias("_v"), bounds.select(bound).scalar().alias("_b"))
     v, b = F.col("_v"), F.col("_b")

@@ -246,3 +246,15 @@ def test_top_by_quota_runs_nothing_and_spreads_a_hot_key(spark, rows):
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before
     w = Window.partitionBy("k").orderBy(F.desc("v"), "id")
     assert rows(got, "id") == rows(df.withColumn("n", F.row_number().over(w)).where("n <= q"), "id")
+
+
+def test_exact_percentiles_do_not_sort_the_rows_of_a_group(spark):
+    rows = spark.range(200).select(F.nullif(F.col("id") % 2, F.lit(0)).alias("k"), F.col("id").cast("double").alias("v"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = A.exact_percentiles(rows, ["k"], "v", {"half": 0.5})
+        assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+        assert {r.k: r.half for r in got.collect()} == {None: 99.0, 1: 100.0}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
