@@ -14,12 +14,13 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,13 +31,33 @@ from tallyloom.llm.common import ROW, map_batches, schema_of, written
 LOOKUP_WORDS, HEAD_WORDS, CLASSES, BUCKETS, HIDDEN = 300_000, 1_000, 32, 32, 16
 #: Documents of about so many tokens are scored together: enough to keep all lanes busy beside a long document.
 GROUP_TOKENS = 4_000_000
+#: Bytes of text whose words are split and looked up at once.
+PIECE_BYTES = 4 << 20
 #: A round per entry: of 16 equal shares of the training documents, those it learns from; and its step size.
 SHARES, RATES = (tuple(range(6)), tuple(range(6, 11)), tuple(range(11, 16))), (0.015, 0.008, 0.003)
 
 
-def words(text: bytes) -> list[bytes]:
-    """Runs of characters other than ASCII white space, A-Z in lower case."""
-    return text.lower().split()
+def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Runs of characters other than ASCII white space, A-Z in lower case, of all texts one after another; and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat, ends = lists.flatten(), np.asarray(lists.offsets)
+    real = np.asarray(pc.binary_length(flat)) > 0  # white space at the ends of a text leaves empty ones
+    if not real.all():
+        flat = flat.filter(pa.array(real))
+        ends = np.append(0, np.cumsum(real))[ends - ends[0]]
+    return flat, np.diff(ends)
+
+
+def pieces(texts: pa.Array) -> Iterator[pa.Array]:
+    """Runs of texts of ``PIECE_BYTES`` at most or of a single text: so much is split at once."""
+    texts = texts.cast(pa.binary()).view(pa.string())
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0)), dtype=np.int64)
+    begin = 0
+    while begin < len(texts):
+        room = PIECE_BYTES + (ends[begin - 1] if begin else 0)
+        end = max(begin + 1, int(np.searchsorted(ends, room, "right")))
+        yield texts.slice(begin, end - begin)
+        begin = end
 
 
 def bucket(word: bytes) -> int:
@@ -46,21 +67,12 @@ def bucket(word: bytes) -> int:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text) -> word, occurrences; the null word is the end of a document."""
-    held: Counter = Counter()
-
-    def let_out() -> pa.RecordBatch:
-        batch = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
-        held.clear()
-        return batch
-
     for batch in batches:
-        for text in batch.column(0).cast(pa.binary()):
-            held.update(words(text.as_py() or b""))
-        if batch.num_rows:
-            held[None] += batch.num_rows
-        if len(held) > 300_000:
-            yield let_out()
-    yield let_out()
+        for texts in pieces(batch.column(0)):
+            found = words(texts)[0].value_counts()
+            word = pa.concat_arrays([found.field("values").view(pa.binary()), pa.nulls(1, pa.binary())])
+            n = pa.concat_arrays([found.field("counts"), pa.array([len(texts)], pa.int64())])
+            yield pa.RecordBatch.from_arrays([word, n], names=["word", "n"])
 
 
 @dataclass
@@ -83,24 +95,46 @@ class Model:
     def index(self) -> dict[bytes, int]:
         return {w: i for i, w in enumerate(self.lookup.split(b" "))} if self.lookup else {}
 
+    @cached_property
+    def known(self) -> pa.Array:
+        """The looked-up words; kept by a worker for all its tasks of a round."""
+        return pa.array(self.lookup.split(b" ") if self.lookup else [], pa.binary()).view(pa.string())
 
-def _numbered(model: Model, index: dict[bytes, int], text: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Places in the lookup (-1: not there), model tokens with the end, and the words not in the lookup."""
-    held = words(text)
-    at = np.fromiter(map(index.get, held, [-1] * len(held)), np.int64, len(held))
-    missing = [held[i] for i in np.flatnonzero(at < 0)]
-    tokens = np.zeros(len(held) + 1, np.int32)
-    tokens[:-1] = model.tokens[at] if len(model.tokens) else 0
-    if missing:
-        tokens[:-1][at < 0] = [model.shape.head + bucket(w) for w in missing]
-    return at, tokens, missing
+
+@dataclass
+class Numbered:
+    """Words of several texts: the text of each, its place in the lookup (-1: not there) and its model token; the words not in the lookup."""
+
+    text_of: np.ndarray
+    at: np.ndarray
+    tokens: np.ndarray
+    missing: pa.Array
+    lengths: np.ndarray
+
+    def documents(self) -> list[np.ndarray]:
+        """Model tokens of each text, with the end."""
+        n = len(self.lengths)
+        run = np.zeros(len(self.tokens) + n, np.int32)
+        run[np.arange(len(self.tokens)) + self.text_of] = self.tokens
+        ends = np.cumsum(self.lengths + 1)
+        return [run[e - m - 1 : e] for e, m in zip(ends.tolist(), self.lengths.tolist(), strict=True)]
+
+
+def _numbered(model: Model, texts: pa.Array) -> Numbered:
+    flat, lengths = words(texts)
+    at = np.asarray(pc.fill_null(pc.index_in(flat, value_set=model.known), -1))
+    missing = flat.filter(pa.array(at < 0)).view(pa.binary())
+    tokens = np.append(model.tokens, 0)[at]
+    endings = pc.binary_slice(missing, -3).dictionary_encode()
+    tokens[at < 0] = np.array([model.shape.head + bucket(e) for e in endings.dictionary.to_pylist()], np.int32)[np.asarray(endings.indices)]
+    return Numbered(np.repeat(np.arange(len(lengths)), lengths), at, tokens, missing, lengths)
 
 
 def _trained(batches: Iterator[pa.RecordBatch], model: Model, rate: float) -> Iterator[pa.RecordBatch]:
     """Weights after one pass over this task's texts, as (place, weight * tokens, tokens)."""
-    trainer, index, seen = recurrent.Trainer(model.shape, model.flat, rate), model.index(), 0
+    trainer, seen = recurrent.Trainer(model.shape, model.flat, rate), 0
     for batch in batches:
-        seen += trainer.learn([_numbered(model, index, t.as_py() or b"")[1] for t in batch.column(0).cast(pa.binary())])
+        seen += trainer.learn([d for texts in pieces(batch.column(0)) for d in _numbered(model, texts).documents()])
     if seen:
         weighted = trainer.flat.astype(np.float64) * seen
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(weighted), dtype=np.int32)), pa.array(weighted), pa.array(np.full(len(weighted), seen))], names=["at", "w", "n"])
@@ -142,38 +176,45 @@ def learn(docs: DataFrame, share: Column, text_col: str = "text") -> tuple[Model
     return model, counts
 
 
+def _rare(found: Numbered) -> tuple[pa.Array, np.ndarray]:
+    """The distinct words of each text that are not in the lookup, as (word, times), and how many each text has."""
+    distinct = found.missing.dictionary_encode()
+    of = found.text_of[found.at < 0]
+    pairs, times = np.unique(of * (len(distinct.dictionary) + 1) + np.asarray(distinct.indices), return_counts=True)
+    of, code = np.divmod(pairs, len(distinct.dictionary) + 1)
+    word = distinct.dictionary.take(pa.array(code))
+    return pa.StructArray.from_arrays([word, pa.array(times, pa.int32())], names=["word", "times"]), np.bincount(of, minlength=len(found.lengths))
+
+
 def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     """Everything about a text but the counts of its words outside the lookup, which go out as (word, times)."""
-    index, number = model.index(), TaskContext.get().partitionId() << 40
-    log_count = np.log10(model.counts + 0.5)
-    room = np.log10(model.tail_room)
-    head = model.shape.head
+    number = TaskContext.get().partitionId() << 40
+    log_count = np.append(np.log10(model.counts + 0.5), 0)  # those not in the lookup are added later
+    room = np.append(np.zeros(model.shape.head), np.log10(model.tail_room))
+    in_tail = np.arange(model.shape.tokens) >= model.shape.head
     for batch in batches:
-        texts, begin = batch.column(1).cast(pa.binary()), 0
-        while begin < batch.num_rows:
-            documents, out, words_out, times_out, ends = [], [], [], [], [0]
-            held = 0
-            for i in range(begin, batch.num_rows):
-                at, tokens, missing = _numbered(model, index, texts[i].as_py() or b"")
-                found = at[at >= 0]
-                logs = log_count[found]
-                base = float(logs.sum()) + math.log10(model.end_count + 0.5)
-                own = float(logs[model.tokens[found] >= head].sum()) - float(room[tokens[tokens >= head] - head].sum())
-                times = Counter(missing)
-                words_out += times.keys()
-                times_out += times.values()
-                ends.append(len(words_out))
-                documents.append(tokens)
-                out.append((number + i, len(tokens), len(found) + (model.end_count > 0), base, own))
-                held += len(tokens)
-                if held >= GROUP_TOKENS:
-                    break
+        begin, held, documents, parts = 0, 0, [], []
+        for texts in pieces(batch.column(1)):
+            found = _numbered(model, texts)
+            n, of = len(texts), found.text_of
+            logs = log_count[found.at]
+            known = np.bincount(of, found.at >= 0, n).astype(np.int64) + (model.end_count > 0)
+            base = np.bincount(of, logs, n) + math.log10(model.end_count + 0.5)
+            own = np.bincount(of, logs * in_tail[found.tokens] - room[found.tokens], n)
+            parts.append((found.lengths.astype(np.int64) + 1, known, base, own, *_rare(found)))
+            documents += found.documents()
+            held += len(found.tokens) + n
+            if held < GROUP_TOKENS and begin + len(documents) < batch.num_rows:
+                continue
+            *numbers, pairs, rare = zip(*parts, strict=True)
+            n_tokens, known, base, own = (np.concatenate(c) for c in numbers)
+            tail = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.concatenate(rare))), pa.int32()), pa.concat_arrays(pairs))
             likelihood = recurrent.score(model.shape, model.flat, documents) / math.log(10)
-            rows, n, known, base, own = (np.array(c) for c in zip(*out, strict=True))
-            pairs = pa.StructArray.from_arrays([pa.array(words_out, pa.binary()), pa.array(times_out, pa.int32())], names=["word", "times"])
-            arrays = [pa.array(rows), pa.array(n), pa.array(known), pa.array(base), pa.array(own + likelihood), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(out)), *arrays], names=[ROW, "row_no", "n_tokens", "n_known", "base", "model", "tail"])
-            begin += len(out)
+            rows = number + begin + np.arange(len(documents))
+            arrays = [pa.array(rows), pa.array(n_tokens), pa.array(known), pa.array(base), pa.array(own + likelihood), tail]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(documents)), *arrays], names=[ROW, "row_no", "n_tokens", "n_known", "base", "model", "tail"])
+            begin += len(documents)
+            held, documents, parts = 0, [], []
         number += batch.num_rows
 
 

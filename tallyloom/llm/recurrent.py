@@ -14,7 +14,10 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Steps that gradients go back; lanes that run side by side in training and scoring; longest run of a lane in training.
-WINDOW, TRAIN_LANES, SCORE_LANES, SEGMENT = 32, 192, 384, 1024
+WINDOW, TRAIN_LANES, SCORE_LANES, SEGMENT = 32, 192, 192, 1024
+#: Targets whose class scores are worked out at once, so that they stay in a core's cache; targets that scoring gathers, as the last steps of
+#: long documents have few; sum of weights up to which no exponential overflows.
+BLOCK, SCORED_AT_ONCE, SAFE = 1024, 16_384, 60.0
 
 
 class Shape:
@@ -25,7 +28,7 @@ class Shape:
         self.head = bounds[-1]
         self.tokens = self.head + buckets
         self.classes = len(bounds) - 1 + buckets
-        self.class_of = np.concatenate([np.searchsorted(self.bounds, np.arange(self.head), "right") - 1, np.arange(len(bounds) - 1, self.classes)])
+        self.class_of = np.concatenate([np.searchsorted(self.bounds, np.arange(self.head), "right") - 1, np.arange(len(bounds) - 1, self.classes)]).astype(np.uint16)
         h = hidden
         self.parts = {"embed": (self.tokens, 3 * h), "recur": (h, 3 * h), "to_class": (h, self.classes), "class_bias": (self.classes,), "to_word": (h, self.head), "word_bias": (self.head,)}
         self.size = sum(int(np.prod(s)) for s in self.parts.values())
@@ -36,6 +39,9 @@ class Shape:
             n = int(np.prod(shape))
             out[name] = flat[at : at + n].reshape(shape)
             at += n
+        for name, choices in (("class", self.classes), ("word", self.head)):  # weights and, as their last row, biases
+            at = sum(int(np.prod(s)) for s in list(self.parts.values())[: list(self.parts).index(f"to_{name}")])
+            out[name] = flat[at : at + (self.hidden + 1) * choices].reshape(self.hidden + 1, choices)
         return out
 
     def first(self, mass: np.ndarray) -> np.ndarray:
@@ -80,7 +86,7 @@ def laid_out(documents: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.nd
 
 @dataclass
 class Steps:
-    """What backpropagation needs of a window, as (step, lane, unit) arrays."""
+    """What backpropagation needs of a window, as (step, unit, lane) arrays: all lanes of a unit side by side."""
 
     before: np.ndarray
     gates: np.ndarray
@@ -90,70 +96,89 @@ class Steps:
 
 def _states(shape: Shape, p: dict, seen: np.ndarray, goes_on: np.ndarray, state: np.ndarray, kept: bool):
     """Hidden states after each token of ``seen`` (steps, lanes). Where ``goes_on`` is 0 a run starts, from a zero state."""
-    h, (steps, lanes) = shape.hidden, seen.shape
-    fed = p["embed"][seen]
-    out = np.empty((steps, lanes, h), np.float32)
-    held = Steps(np.empty_like(out), np.empty((steps, lanes, 2 * h), np.float32), np.empty_like(out), np.empty_like(out)) if kept else None
+    h, (steps, lanes), kind = shape.hidden, seen.shape, p["recur"].dtype
+    fed = np.ascontiguousarray(p["embed"][seen].transpose(0, 2, 1))
+    recur = np.ascontiguousarray(p["recur"].T)
+    out = np.empty((steps, lanes, h), kind)
+    held = Steps(*(np.empty((steps if kept else 1, units, lanes), kind) for units in (h, 2 * h, 3 * h, h)))
+    state = np.array(state.T, kind, order="C")
     for t in range(steps):
-        before = state * goes_on[t][:, None]
-        back = before @ p["recur"]
-        gates = fed[t, :, : 2 * h] + back[:, : 2 * h]
+        at = t if kept else 0
+        before, gates, back, n = held.before[at], held.gates[at], held.back[at], held.new[at]
+        np.multiply(state, goes_on[t], out=before)
+        np.matmul(recur, before, out=back)
+        np.add(fed[t, : 2 * h], back[: 2 * h], out=gates)
         np.negative(gates, out=gates)
         np.exp(gates, out=gates)
         gates += 1
         np.reciprocal(gates, out=gates)
-        z, r = gates[:, :h], gates[:, h:]
-        q = back[:, 2 * h :]
-        n = np.tanh(fed[t, :, 2 * h :] + r * q)
-        state = n + z * (before - n)
-        out[t] = state
-        if kept:
-            held.before[t], held.gates[t], held.back[t], held.new[t] = before, gates, q, n
-    return out, state, held
-
-
-def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Log probability of one column per row; also the exponentials (in place of ``x``) and their sums."""
-    x -= x.max(axis=1, keepdims=True)
-    wanted = x[np.arange(len(at)), at]
-    np.exp(x, out=x)
-    total = x @ np.ones(x.shape[1], x.dtype)
-    return wanted - np.log(total), x, total
+        np.multiply(gates[h:], back[2 * h :], out=n)
+        n += fed[t, 2 * h :]
+        np.tanh(n, out=n)
+        np.subtract(before, n, out=state)
+        state *= gates[:h]
+        state += n
+        out[t] = state.T
+    return out, state.T, held if kept else None
+
+
+def _choice(all_weights: np.ndarray, inputs: np.ndarray, at: np.ndarray, share: float, slope: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None]:
+    """Log probability of choice ``at[i]`` by softmax for each row of ``inputs``, whose last column is 1: the last row of the weights is the bias.
+
+    With ``slope``, the gradient of the loss, of which each row is ``share``, is added there, and that for ``inputs`` is returned. Scores are
+    (choice, row) arrays: what is summed over choices adds whole rows.
+    """
+    by_choice = np.ascontiguousarray(all_weights.T)
+    scores = by_choice @ inputs.T
+    if np.abs(by_choice).sum(axis=1).max() > SAFE:  # inputs lie within -1 and 1
+        scores -= scores.max(axis=0)
+    places = at * len(at)
+    places += np.arange(len(at))
+    cells = scores.reshape(-1)
+    logp = cells[places]
+    np.exp(scores, out=scores)
+    total = scores.sum(axis=0)
+    logp -= np.log(total)
+    if slope is None:
+        return logp, None
+    np.divide(share, total, out=total)
+    scores *= total
+    cells[places] -= share
+    slope += (scores @ inputs).T
+    return logp, scores.T @ by_choice[:, :-1]
 
 
 def _outputs(shape: Shape, p: dict, hidden: np.ndarray, target: np.ndarray, slope: dict | None):
-    """Natural log probability of each target; with ``slope``, gradients of the mean loss are added there and returned for ``hidden``."""
+    """Natural log probability of each target; with ``slope``, gradients of the mean loss are added there and returned for ``hidden``.
+
+    Targets are put in the order of their classes, so that those of a class lie side by side.
+    """
     n, kind = len(target), shape.class_of[target]
-    scores = hidden @ p["to_class"]
-    scores += p["class_bias"]
-    logp, prob, total = _log_softmax_at(scores, kind)
-    back = None
-    if slope is not None:
-        prob /= total[:, None] * n
-        prob[np.arange(n), kind] -= 1 / n
-        slope["to_class"] += hidden.T @ prob
-        slope["class_bias"] += prob.sum(axis=0)
-        back = prob @ p["to_class"].T
-    order = np.argsort(kind.astype(np.uint16), kind="stable")  # a radix sort
-    cuts = np.searchsorted(kind[order], np.arange(len(shape.bounds)))
+    order = np.argsort(kind, kind="stable")  # a radix sort
+    inputs = np.ones((n, shape.hidden + 1), hidden.dtype)
+    inputs[:, :-1] = hidden[order]
+    kind, word = kind[order].astype(np.int64), target[order].astype(np.int64)
+    logp, back = np.empty(n, hidden.dtype), np.empty_like(hidden) if slope else None
+    for a in range(0, n, BLOCK):
+        at = slice(a, a + BLOCK)
+        logp[at], of_block = _choice(p["class"], inputs[at], kind[at], 1 / n, slope and slope["class"])
+        if slope:
+            back[at] = of_block
+    cuts = np.searchsorted(kind, np.arange(len(shape.bounds)))
     for c in range(len(shape.bounds) - 1):
         low, high = shape.bounds[c], shape.bounds[c + 1]
         if cuts[c] == cuts[c + 1] or high - low < 2:
             continue
-        at = order[cuts[c] : cuts[c + 1]]
-        mine = hidden[at]
-        scores = mine @ p["to_word"][:, low:high]
-        scores += p["word_bias"][low:high]
-        word = target[at] - low
-        inside, prob, total = _log_softmax_at(scores, word)
+        at, words = slice(cuts[c], cuts[c + 1]), slice(low, high)
+        inside, of_class = _choice(p["word"][:, words], inputs[at], word[at] - low, 1 / n, slope and slope["word"][:, words])
         logp[at] += inside
-        if slope is not None:
-            prob /= total[:, None] * n
-            prob[np.arange(len(at)), word] -= 1 / n
-            slope["to_word"][:, low:high] += mine.T @ prob
-            slope["word_bias"][low:high] += prob.sum(axis=0)
-            back[at] += prob @ p["to_word"][:, low:high].T
-    return logp, back
+        if slope:
+            back[at] += of_class
+    placed, placed_back = np.empty_like(logp), np.empty_like(back) if slope else None
+    placed[order] = logp
+    if slope:
+        placed_back[order] = back
+    return placed, placed_back
 
 
 def score(shape: Shape, flat: np.ndarray, documents: list[np.ndarray]) -> np.ndarray:
@@ -165,6 +190,7 @@ def score(shape: Shape, flat: np.ndarray, documents: list[np.ndarray]) -> np.nda
     tokens, owner, _ = laid_out(documents, SCORE_LANES)
     seen = np.vstack([np.zeros((1, tokens.shape[1]), np.int32), np.maximum(tokens[:-1], 0)])
     state = np.zeros((tokens.shape[1], shape.hidden), np.float32)
+    waiting, held = [], 0
     for a in range(0, len(tokens), WINDOW):
         valid = tokens[a : a + WINDOW] >= 0
         lanes = valid.any(axis=0)
@@ -172,8 +198,12 @@ def score(shape: Shape, flat: np.ndarray, documents: list[np.ndarray]) -> np.nda
         hidden, new, _ = _states(shape, p, fed, (fed != 0).astype(np.float32), state[lanes], False)
         state[lanes] = new
         valid = valid[:, lanes]
-        logp, _ = _outputs(shape, p, hidden[valid], tokens[a : a + WINDOW][:, lanes][valid], None)
-        total += np.bincount(owner[a : a + WINDOW][:, lanes][valid], logp, len(documents))
+        waiting.append((hidden[valid], tokens[a : a + WINDOW][:, lanes][valid], owner[a : a + WINDOW][:, lanes][valid]))
+        held += len(waiting[-1][1])
+        if held >= SCORED_AT_ONCE or a + WINDOW >= len(tokens):
+            hidden, target, of = (np.concatenate(w) for w in zip(*waiting, strict=True))
+            total += np.bincount(of, _outputs(shape, p, hidden, target, None)[0], len(documents))
+            waiting, held = [], 0
     return total
 
 
@@ -220,34 +250,53 @@ class Trainer:
         """Gradients of a window's embeddings and recurrent weights from those of its states. All that does not depend on later steps is
         worked out for the whole window at once."""
         h = self.shape.hidden
-        z, r = held.gates[:, :, :h], held.gates[:, :, h:]
-        to_new = (1 - z) * (1 - held.new * held.new)
-        to_keep = (held.before - held.new) * z * (1 - z)
-        to_reset = held.back * r * (1 - r)
-        inputs = np.empty((*fed.shape, 3 * h), np.float32)
-        pre = np.empty_like(inputs)
-        carried, back = np.zeros_like(from_output[0]), np.ascontiguousarray(p["recur"].T)
+        z, r = held.gates[:, :h], held.gates[:, h:]
+        kept = 1 - z
+        to_new = 1 - held.new * held.new
+        to_new *= kept
+        to_keep = held.before - held.new
+        to_keep *= z
+        to_keep *= kept
+        to_reset = held.back[:, 2 * h :] * r
+        to_reset *= 1 - r
+        onward = z * on[:, None, :]
+        slopes = np.ascontiguousarray(from_output.transpose(0, 2, 1))
+        pre = np.empty((len(fed), 3 * h, fed.shape[1]), slopes.dtype)
+        to_reset *= to_new  # of a state's slope; that of the new state is taken with it
+        by_reset = to_new * r
+        carried, room = np.zeros_like(slopes[0]), np.empty_like(slopes[0])
         for t in range(len(fed) - 1, -1, -1):
-            d = from_output[t] + carried
-            dn = d * to_new[t]
-            np.multiply(d, to_keep[t], out=pre[t, :, :h])
-            np.multiply(dn, to_reset[t], out=pre[t, :, h : 2 * h])
-            np.multiply(dn, r[t], out=pre[t, :, 2 * h :])
-            inputs[t, :, 2 * h :] = dn
-            carried = (d * z[t] + pre[t] @ back) * on[t][:, None]
-        inputs[:, :, : 2 * h] = pre[:, :, : 2 * h]
-        g["recur"] += held.before.reshape(-1, h).T @ pre.reshape(-1, 3 * h)
+            d = slopes[t]
+            d += carried
+            np.multiply(d, to_keep[t], out=pre[t, :h])
+            np.multiply(d, to_reset[t], out=pre[t, h : 2 * h])
+            np.multiply(d, by_reset[t], out=pre[t, 2 * h :])
+            np.matmul(p["recur"], pre[t], out=carried)
+            carried *= on[t]
+            np.multiply(d, onward[t], out=room)
+            carried += room
+        g["recur"] += np.matmul(held.before, pre.transpose(0, 2, 1)).sum(axis=0)
+        np.multiply(slopes, to_new, out=pre[:, 2 * h :])  # the input of the new state is not reset
+        inputs = pre.transpose(0, 2, 1).reshape(-1, 3 * h)
         seen_at = fed.reshape(-1)
         order = np.argsort(seen_at.astype(np.uint16) if self.shape.tokens < 1 << 16 else seen_at, kind="stable")
         begins = np.flatnonzero(np.diff(seen_at[order], prepend=-1))
-        g["embed"][seen_at[order][begins]] = np.add.reduceat(inputs.reshape(-1, 3 * h)[order], begins, axis=0)
+        g["embed"][seen_at[order][begins]] = np.add.reduceat(inputs[order], begins, axis=0)
 
     def _step(self, grad: np.ndarray) -> None:
         self.steps += 1
         norm = float(np.sqrt(grad @ grad))
         if norm > 1:
             grad /= norm
-        self.first += 0.1 * (grad - self.first)
-        self.second += 0.01 * (grad * grad - self.second)
-        rate = self.rate * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps)
-        self.flat -= rate * self.first / (np.sqrt(self.second) + 1e-7)
+        room = grad - self.first
+        room *= 0.1
+        self.first += room
+        np.multiply(grad, grad, out=room)
+        room -= self.second
+        room *= 0.01
+        self.second += room
+        np.sqrt(self.second, out=room)
+        room += 1e-7
+        np.divide(self.first, room, out=room)
+        room *= self.rate * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps)
+        self.flat -= room

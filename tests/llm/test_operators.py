@@ -474,6 +474,69 @@ class TestLanguageModel:
         monkeypatch.setattr(recurrent, "SCORE_LANES", 4)
         assert recurrent.score(shape, flat, docs) == pytest.approx(whole, abs=1e-3)
 
+    def test_texts_are_split_and_numbered_in_pieces(self, monkeypatch):
+        """Whole batches of texts at once, as the splitting of one text after the other would have it, wherever pieces end."""
+        import numpy as np
+        import pyarrow as pa
+
+        r = random.Random(5)
+        texts = ["", " ", "a", "\tA  b\x0b", "".join(map(chr, range(128))), "é\x85ÀZ\u2003y \x1c\x1dz", "x" * 50, *("".join(r.choices("abAB\n é", k=r.randrange(30))) for _ in range(60)), None]
+        split = [(t or "").encode().lower().split() for t in texts]
+        model = lm_score.Model(b"a b ab ba", np.arange(4), np.array([1, 2, 35, 35], np.int32), 1, 9, 5, np.ones(32), [0, 1, 3], np.zeros(0, np.float32))
+        token = {w: int(t) for w, t in zip(model.index(), model.tokens, strict=True)}
+        for size in (1, 20, 1 << 20):
+            monkeypatch.setattr(lm_score, "PIECE_BYTES", size)
+            parts = [p for start in (0, 9) for p in lm_score.pieces(pa.array(texts)[start : 9 if not start else None])]
+            assert pa.chunked_array(parts).to_pylist() == texts and all(len(p) == 1 or sum(len((t or "").encode()) for t in p.to_pylist()) <= size for p in parts)
+            found = [lm_score._numbered(model, p) for p in parts]
+            assert [d.tolist() for f in found for d in f.documents()] == [[*(token.get(w, model.shape.head + lm_score.bucket(w)) for w in ws), 0] for ws in split]
+            rare = [({x["word"]: x["times"] for x in pairs[a - m : a].to_pylist()}) for pairs, many in map(lm_score._rare, found) for a, m in zip(np.cumsum(many).tolist(), many.tolist(), strict=True)]
+            assert rare == [Counter(w for w in ws if w not in token) for ws in split]
+            counted = Counter()
+            for b in lm_score._counted([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])]):
+                counted.update(dict(zip(b["word"].to_pylist(), b["n"].to_pylist(), strict=True)))
+            assert counted == Counter([w for ws in split for w in ws]) + Counter({None: len(texts)})
+
+    def test_outputs_in_blocks_and_with_large_weights(self, monkeypatch):
+        """Values and gradients do not depend on how many targets are worked on at once, and large weights do not overflow."""
+        import numpy as np
+
+        shape, r = recurrent.Shape([0, 1, 3, 6], 2, 4), np.random.default_rng(3)
+        hidden, target = np.tanh(r.normal(size=(50, 4))), r.integers(0, 8, 50)
+        for scale in (1, 2000):
+            flat = r.normal(size=shape.size) * scale
+            p = shape.views(flat)
+
+            def softmax_at(x, at):
+                return x[at] - x.max() - math.log(np.exp(x - x.max()).sum())
+
+            want = [softmax_at(v @ p["to_class"] + p["class_bias"], shape.class_of[t]) for v, t in zip(hidden, target, strict=True)]
+            for i, (v, t) in enumerate(zip(hidden, target, strict=True)):
+                if t < shape.head:
+                    low_, high = shape.bounds[shape.class_of[t]], shape.bounds[shape.class_of[t] + 1]
+                    want[i] += softmax_at(v @ p["to_word"][:, low_:high] + p["word_bias"][low_:high], t - low_)
+            slopes = []
+            for block in (7, 1024):
+                monkeypatch.setattr(recurrent, "BLOCK", block)
+                grad = np.zeros(shape.size)
+                logp, back = recurrent._outputs(shape, p, hidden, target, shape.views(grad))
+                assert logp == pytest.approx(np.array(want)) and recurrent._outputs(shape, p, hidden, target, None)[0] == pytest.approx(np.array(want))
+                slopes.append(np.concatenate([grad, back.ravel()]))
+            assert slopes[0] == pytest.approx(slopes[1])
+
+    def test_the_last_steps_of_a_long_document_are_gathered(self, monkeypatch):
+        """Few lanes run behind all others where one document is much longer; their targets do not cost a softmax per window."""
+        import numpy as np
+
+        shape, calls, plain = recurrent.Shape([0, 1, 3, 6], 2, 4), [], recurrent._outputs
+        flat = shape.first(np.arange(1.0, 9.0))
+        docs = [np.array([1, 3, 0]), np.append(np.arange(5000) % 7 + 1, 0), np.array([2, 0])]
+        monkeypatch.setattr(recurrent, "_outputs", lambda *a: calls.append(len(a[3])) or plain(*a))
+        got = recurrent.score(shape, flat, docs)
+        assert len(calls) == 1 and sum(calls) == sum(map(len, docs))
+        monkeypatch.setattr(recurrent, "SCORED_AT_ONCE", 1)
+        assert recurrent.score(shape, flat, docs) == pytest.approx(got, rel=1e-5) and len(calls) == 1 + math.ceil(5001 / recurrent.WINDOW)
+
     def test_rounds_go_through_every_training_document_once(self, spark, monkeypatch, tmp_path):
         share = F.pmod(F.xxhash64("doc_id"), F.lit(16))
         docs = spark.createDataFrame(rows_of([(i, f"w{i}") for i in range(200)] + [(None, "none")]), SCHEMA)
