@@ -188,17 +188,18 @@ def score(shape: Shape, flat: np.ndarray, documents: list[np.ndarray]) -> np.nda
         return total
     p = shape.views(flat)
     tokens, owner, _ = laid_out(documents, SCORE_LANES)
-    seen = np.vstack([np.zeros((1, tokens.shape[1]), np.int32), np.maximum(tokens[:-1], 0)])
-    state = np.zeros((tokens.shape[1], shape.hidden), np.float32)
+    state, last = np.zeros((tokens.shape[1], shape.hidden), np.float32), np.zeros((1, tokens.shape[1]), np.int32)
     waiting, held = [], 0
     for a in range(0, len(tokens), WINDOW):
-        valid = tokens[a : a + WINDOW] >= 0
+        window = tokens[a : a + WINDOW]
+        valid = window >= 0
         lanes = valid.any(axis=0)
-        fed = seen[a : a + WINDOW][:, lanes]  # an end token says: a document starts
+        fed = np.maximum(np.vstack([last, window[:-1]])[:, lanes], 0)  # an end token says: a document starts
+        last = window[-1:]
         hidden, new, _ = _states(shape, p, fed, (fed != 0).astype(np.float32), state[lanes], False)
         state[lanes] = new
         valid = valid[:, lanes]
-        waiting.append((hidden[valid], tokens[a : a + WINDOW][:, lanes][valid], owner[a : a + WINDOW][:, lanes][valid]))
+        waiting.append((hidden[valid], window[:, lanes][valid], owner[a : a + WINDOW][:, lanes][valid]))
         held += len(waiting[-1][1])
         if held >= SCORED_AT_ONCE or a + WINDOW >= len(tokens):
             hidden, target, of = (np.concatenate(w) for w in zip(*waiting, strict=True))
