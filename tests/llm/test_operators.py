@@ -265,6 +265,40 @@ class TestTokens:
         assert [len(x) // 4 for x in ids] == [len(e.ids) for e in model.library.encode_batch(texts, add_special_tokens=False)]
         assert len(model.latin.young) + len(model.latin.old) < 200
 
+    def test_latin_words_need_no_library(self, monkeypatch):
+        import numpy as np
+
+        r = random.Random(3)
+        letters = [chr(c) for c in (*range(0x180), *range(0x2010, 0x2028), *range(0x2030, 0x205F), 0x20AC)]
+        texts = [x for c in letters for x in (c, f"a{c}b{c}", f"7{c}8", f"{c}{c}'s", f"!{c} .{c}", f"{c}'re")]
+        texts += ["".join(r.choice("abeorst'é.7 ") for _ in range(r.randint(1, 90))) for _ in range(3000)] + ["don't 'TIS ''ll x've !'s 1'd 'm", "", " ", "x" * 3000, "!" * 3000]
+        model = chunk_tokens.TextEncoder(WORD_FILE)
+        want = [np.array(e.ids, "<u4").tobytes() for e in model.library.encode_batch(texts, add_special_tokens=False)]
+        monkeypatch.setattr(chunk_tokens, "PART", 20)  # cut at every blank that comes after so many characters
+        assert model.ids(texts) == want
+        latin = [i for i, t in enumerate(texts) if not set("\u0130\u2028\u2029\u202f\u205f") & set(t)]
+        model.library, model.latin, model.other = None, chunk_tokens.Cache(), chunk_tokens.Cache()
+        assert model.ids([texts[i] for i in latin]) == [want[i] for i in latin]
+        assert not model.latin.young and not model.other.young
+
+    @pytest.mark.parametrize(
+        ("merges", "by_ranks"),
+        [(["a b", "ab c"], True), (["b c", "a b", "ab c"], False), (["b c</w>", "a b", "ab c</w>"], False), (["a b", "Ġ a"], False)],
+    )
+    def test_tokens_that_only_one_pair_makes(self, tmp_path, merges, by_ranks):
+        """A file in which the bytes of a token also meet as another pair, or hold a blank, stays with the library."""
+        import json
+
+        with open(WORD_FILE, encoding="utf-8") as f:
+            spec = json.load(f)
+        tokens = [*list(spec["model"]["vocab"])[:512], *(m.replace(" ", "") for m in merges)]
+        spec["model"] |= {"vocab": {t: i for i, t in enumerate(tokens)}, "merges": merges}
+        path = tmp_path / "words.json"
+        path.write_text(json.dumps(spec), encoding="utf-8")
+        model, texts = chunk_tokens.TextEncoder(str(path)), ["abc", "xabc", "abcx abc ab bc", "aabcc ABCabc", "a bc"]
+        assert (model.mode, model.words is not None) == (chunk_tokens.WORDS, by_ranks)
+        assert model.ids(texts) == [model.whole(t) for t in texts]
+
     def test_counts_through_the_cache(self, spark, docs, none, tmp_path):
         from tokenizers import Tokenizer
 
