@@ -258,3 +258,21 @@ def test_exact_percentiles_do_not_sort_the_rows_of_a_group(spark):
         assert {r.k: r.half for r in got.collect()} == {None: 99.0, 1: 100.0}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_runs_between_taken_places(spark):
+    keys = [None, 3, 5, 8]
+    classes = spark.createDataFrame([(("c",), keys)], "class struct<k: string>, members array<int>")
+    some = [[p for p in range(1, 5) if mask >> (p - 1) & 1] for mask in range(16)]
+    rows = spark.createDataFrame([(i, taken, ("c",)) for i, taken in enumerate([*some, None])], "i int, taken array<int>, class struct<k: string>")
+    runs = rows.select("i", "class", F.inline(J.free_runs(F.col("taken"))))
+    got = J.with_members(runs, classes, ["i"]).select("i", F.explode_outer("_members").alias("key")).collect()
+    want = [(i, keys[p - 1]) for i, taken in enumerate([*some, []]) for p in range(1, 5) if p not in taken]
+    assert sorted(((r.i, r.key) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_members_of_a_class_have_one_order(spark):
+    """A place in the list of members is the same wherever the list is worked out, however the rows come."""
+    dim = spark.createDataFrame([(k, "x") for k in [9, 4, None, 7, 4, 1]], "k int, a string")
+    for frame in (dim, dim.orderBy(F.desc("k")), dim.repartition(3)):
+        assert J.entity_classes(frame, "k", ["a"]).first().members == [None, 1, 4, 7, 9]

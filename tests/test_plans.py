@@ -346,6 +346,18 @@ def test_exclusions_of_classes_are_not_shuffled_by_store(spark):
     assert got.count() == 20 and not shuffled(got)
 
 
+def test_exclusions_take_members_off_by_place(spark):
+    """No list of stores is hashed for a row, rows that multiply are not joined to few tasks, and nothing above the generator keeps rows per store."""
+    dim = spark.createDataFrame([(s, s % 3, "a") for s in range(30)], "store_id long, region int, business_unit string")
+    dates = {"note": F.lit("n"), "start_date": d("2024-01-01"), "end_date": d("2024-02-01"), "proc_date": d("2024-01-01")}
+    region = spark.createDataFrame([(1, 5), (2, 6)], "region int, product_id int").withColumns(dates)
+    site = spark.createDataFrame([(1, 5), (28, 5), (99, 5)], "store_id long, product_id int").withColumns(dates)
+    got = marts.expand_exclusions([(1, region, "region"), (2, site, "site")], dim, None, [F.asc("proc_date")])
+    assert sorted(r.store_id for r in got.where("product_id = 5").collect()) == [*range(1, 30, 3), 99] and got.count() == 21
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "array_except" not in plan and "REPARTITION_BY_NUM" in plan and plan.index("Generate explode") < plan.index("Union")
+
+
 def test_delivery_calendar_single_day(spark):
     df = spark.createDataFrame([("1",)], "days string")
     got = marts.delivery_calendar(df, F.col("days"), F.lit(0), "2024-01-14").first()  # a Sunday
