@@ -346,6 +346,17 @@ def test_exclusions_of_classes_are_not_shuffled_by_store(spark):
     assert got.count() == 20 and not shuffled(got)
 
 
+def test_price_waterfall_takes_members_off_by_place(spark):
+    """Stores with a price of their own leave the run of their class by their place; rows that multiply are not joined to few tasks."""
+    dim = spark.createDataFrame([(s, 1) for s in range(6)], "store_id long, grp int")
+    given = [("SITE", "2", 7, 1.0), ("SITE", "5", 7, 2.0), ("GROUP", "1", 7, 3.0), ("SITE", "0", 8, 4.0)]
+    prices = spark.createDataFrame(given, "level string, level_key string, product_id int, price double").withColumns({"valid_from": d("2024-01-01"), "valid_to": d("2024-12-31")})
+    got = pricing.price_waterfall(dim, prices, {"SITE": "store_id", "GROUP": "grp"}, ["store_id", "product_id"], "2024-04-15")
+    assert sorted((r.product_id, r.store_id, r.price) for r in got.collect()) == [(7, 0, 3.0), (7, 1, 3.0), (7, 2, 1.0), (7, 3, 3.0), (7, 4, 3.0), (7, 5, 2.0), (8, 0, 4.0)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "array_except" not in plan and "REPARTITION_BY_NUM" in plan
+
+
 def test_exclusions_take_members_off_by_place(spark):
     """No list of stores is hashed for a row, rows that multiply are not joined to few tasks, and nothing above the generator keeps rows per store."""
     dim = spark.createDataFrame([(s, s % 3, "a") for s in range(30)], "store_id long, region int, business_unit string")
